@@ -1,6 +1,6 @@
 """Registered queries over the given tables, each with its SQL twin where one exists."""
 
-from textmill.catalog import cleaning, rendering
+from textmill.catalog import cleaning, mixing, rendering
 from textmill.catalog.base import QUERIES, SQL
 
 

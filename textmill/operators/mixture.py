@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textmill.functions.text import non_null
 from textmill.operators.prefix import HASH_SHIFTS, hash_int, shuffle_key, take_budget, take_until
 
 # The seed of the shuffle and the character budgets.
@@ -20,10 +21,11 @@ BUDGET_WRITING = 8_000_000
 
 
 def as_blocks(df: DataFrame, domain: Column, source: Column, row_key: Column, block: Column) -> DataFrame:
-    """A block table of one-piece blocks."""
-    return df.select(
-        domain.alias("domain"), source.alias("source"), row_key.cast("string").alias("row_key"),
-        F.lit(0).cast("bigint").alias("piece"), F.length(block).cast("bigint").alias("weight"), block.alias("block"),
+    """A block table of one-piece blocks; rows with a null block are dropped."""
+    keys = domain.alias("domain"), source.alias("source"), row_key.cast("string").alias("row_key")
+    return non_null(df, *keys, block=block).select(
+        "domain", "source", "row_key", F.lit(0).cast("bigint").alias("piece"),
+        F.length("block").cast("bigint").alias("weight"), "block",
     )
 
 

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from textmill.session import cut_lineage
+
 # Source order: 4,096 rows to a bucket, then 4,096 buckets to the next level.
 ORDER_SHIFTS = (12, 24)
 # Hash order: a 60-bit key cut into 65,536 even buckets.
@@ -111,14 +113,14 @@ def take_budget(
 ) -> DataFrame:
     """Rows in order up to the first that would pass ``budget``.
 
-    The last bucket that can hold such a row is one scalar, so all later rows leave at the
-    scan and only the chosen part of the data is shuffled.
+    A first job sums the buckets. The last one that can hold such a row is a single number, so in
+    the second pass all later rows leave at the scan and only the chosen part is shuffled.
     """
     off = bucket_offsets(df, size, key, (), shifts, None)
     bucket = f"_b{shifts[0]}"
-    open_buckets = off.filter(F.col("_off") < budget)
-    last = open_buckets.agg(F.max(bucket)).scalar()
-    near = df.filter(F.shiftright(F.col(key).cast("bigint"), shifts[0]) <= last)
+    open_buckets = cut_lineage(off.filter(F.col("_off") < budget))
+    last = open_buckets.agg(F.max(bucket).alias("b")).first()["b"]
+    near = df.filter(F.shiftright(F.col(key).cast("bigint"), shifts[0]) <= F.lit(last))
     done = _accumulate(near, open_buckets, size, key, (), shifts, None, ties, out)
     return done.filter(F.col(out) <= budget)
 
@@ -129,13 +131,14 @@ def take_until(
 ) -> DataFrame:
     """Rows before which the total is still below ``limit``, plus the rows marked ``always``.
 
-    Rows beyond the last open bucket that are not marked leave before the shuffle.
+    A first job sums the buckets; rows beyond the last open one leave before the shuffle unless
+    they are marked.
     """
     off = bucket_offsets(df, size, key, (), shifts, major)
-    open_buckets = off.filter(F.col("_off") < limit)
+    open_buckets = cut_lineage(off.filter(F.col("_off") < limit))
     bucket = f"_b{shifts[0]}"
     here = F.struct(F.col(major).alias("_major"), F.shiftright(F.col(key).cast("bigint"), shifts[0]).alias(bucket))
-    last = open_buckets.agg(F.max(F.struct("_major", bucket))).scalar()
+    last = _last_bucket(open_buckets, ["_major", bucket])
     marked = df.withColumns({"_always": always, "_open": F.coalesce(here <= last, F.lit(False))})
     near = marked.filter(F.col("_always") | F.col("_open"))
     done = _accumulate(near, open_buckets, size, key, (), shifts, major, (), "_running")
@@ -149,11 +152,11 @@ def take_first(
 ) -> DataFrame:
     """The first ``n`` rows of every group in order.
 
-    Buckets that start at or beyond the cap stay out of the shuffle: their limit is one scalar,
-    or one row per group.
+    A first job counts the buckets. Those that start at or beyond the cap stay out of the shuffle:
+    the limit is a single value, or one row per group.
     """
     off = bucket_offsets(df, F.lit(1), key, group, shifts, major)
-    open_buckets = off.filter(F.col("_off") < n)
+    open_buckets = cut_lineage(off.filter(F.col("_off") < n))
     levels = _levels(key, shifts, major)
     bucket = next(iter(levels))
     names = (["_major"] if major is not None else []) + [bucket]
@@ -162,12 +165,18 @@ def take_first(
         cuts = open_buckets.groupBy(*group).agg(F.max(F.struct(*names)).alias("_last"))
         near = _semi_bounded(df.withColumn("_here", here), cuts, group)
     else:
-        last = open_buckets.agg(F.max(F.struct(*names))).scalar()
-        near = df.filter(here <= last)
+        near = df.filter(here <= _last_bucket(open_buckets, names))
     done = _accumulate(near, open_buckets, F.lit(1), key, group, shifts, major, (), "_rank")
     return done.filter(F.col("_rank") <= n).drop("_rank")
 
 
+def _last_bucket(open_buckets: DataFrame, names: Sequence[str]) -> Column:
+    """The greatest open bucket as a literal struct; null, which keeps nothing, when there is none."""
+    row = open_buckets.agg(F.max(F.struct(*names)).alias("m")).first()["m"]
+    types = {f.name: f.dataType for f in open_buckets.schema}
+    return F.struct(*[F.lit(None if row is None else row[c]).cast(types[c]).alias(c) for c in names])
+
+
 def _semi_bounded(df: DataFrame, cuts: DataFrame, group: Sequence[str]) -> DataFrame:
     """Keep rows whose ``_here`` is at most their group's ``_last``; null groups match."""
     cuts = cuts.select(*[F.col(g).alias(f"_g_{g}") for g in group], "_last")

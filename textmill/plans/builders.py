@@ -61,7 +61,7 @@ def build_corpus(
     if corpus.saturating:
         blocks = _read_until_full(used, limit)
     else:
-        blocks = union_blocks([P.render(r, df) for r, df in used]).filter(F.col("block").isNotNull())
+        blocks = union_blocks([P.render(r, df) for r, df in used])
     return M.char_budget(blocks, limit, seed)
 
 
@@ -96,3 +96,23 @@ def _until_cap(r: P.Recipe, df: DataFrame) -> DataFrame:
     last = kept.agg(F.max("row_id")).scalar()
     short = kept.agg(F.count("*")).scalar() < r.cap
     return df.filter(short | (F.col("row_id") <= last))
+
+
+def source_report(name: str, frames: Mapping[str, DataFrame | None]) -> DataFrame:
+    """``(source, attempted, kept)``: rows a recipe counts and blocks that come of them.
+
+    The two differ, as cleaning can empty a counted row.
+    """
+    parts = []
+    for r in CORPORA[name].recipes:
+        df = frames.get(r.key)
+        if df is None:
+            continue
+        label = F.lit(r.key + ":" + r.source).alias("source")
+        kept = P.render(r, df).agg(F.sum(F.when(F.col("weight") > 0, 1).otherwise(0)).alias("n"))
+        tried = P.chosen_rows(r, df).agg(F.count("*").alias("n"))
+        zero = F.lit(0).cast("bigint")
+        parts.append(tried.select(label, F.col("n").alias("attempted"), zero.alias("kept")))
+        parts.append(kept.select(label, zero.alias("attempted"), F.coalesce("n", zero).alias("kept")))
+    both = union_blocks(parts)
+    return both.groupBy("source").agg(F.sum("attempted").alias("attempted"), F.sum("kept").alias("kept"))

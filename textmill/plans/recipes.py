@@ -287,7 +287,7 @@ def chosen_rows(recipe: Recipe, df: DataFrame) -> DataFrame:
 
 
 def render(recipe: Recipe, df: DataFrame) -> DataFrame:
-    """Block table of one source; attempts that end without a block have a null one."""
+    """Block table of one source. Chosen rows that clean to nothing give no block."""
     c = Fields(df)
     split = F.col("split") if "split" in df.columns else F.lit("train")
     rows = chosen_rows(recipe, df)

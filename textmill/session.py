@@ -46,9 +46,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """The table written to the shared folder and read back: survives the loss of executors.
+
+    Unlike ``checkpoint`` this computes the table once, and its size is known to later plans.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, *cols: str) -> DataFrame:
