@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from textmill.functions.tokens import MAX_ID, char_of, token_ids
+
 
 def char_vocab(df: DataFrame, text: str) -> DataFrame:
     """``(ch, id)``: distinct characters numbered by code point from 0.
@@ -17,27 +19,36 @@ def char_vocab(df: DataFrame, text: str) -> DataFrame:
     return distinct.withColumn("id", F.row_number().over(W.orderBy(F.ascii("ch"))) - 1)
 
 
-def vocab_map(vocab: DataFrame) -> Column:
-    """The vocabulary as one map value, usable in any expression (a scalar subquery)."""
-    return vocab.agg(F.map_from_entries(F.collect_list(F.struct("ch", "id")))).scalar()
-
-
-def id_list(vocab: DataFrame) -> Column:
-    """Characters in id order as one array value."""
-    entries = F.sort_array(F.collect_list(F.struct("id", "ch")))
-    return vocab.agg(F.transform(entries, lambda e: e["ch"])).scalar()
-
-
-def char_encode(text: Column, stoi: Column) -> Column:
-    """Text to ids; a character outside the vocabulary is an error."""
-    ids = F.transform(
-        F.split(text, ""),
-        lambda ch: F.coalesce(F.try_element_at(stoi, ch), F.raise_error(F.lit("character not in vocabulary"))),
-    )
-    return F.when(F.length(text) > 0, ids).otherwise(F.array().cast("array<int>"))
+class CharTokenizer:
+    """A character vocabulary held by the driver; at most ``MAX_ID`` characters.
 
+    Token strings hold the character of id + 1, as ``translate`` reads character 0 as a deletion.
+    """
 
-def char_decode(ids: Column, itos: Column) -> Column:
-    return F.array_join(
-        F.transform(ids, lambda i: F.coalesce(F.get(itos, i), F.raise_error(F.lit("unknown token id")))), ""
-    )
+    def __init__(self, stoi: dict[str, int]):
+        if not stoi or max(stoi.values()) >= MAX_ID:
+            raise ValueError(f"a character vocabulary has 1 to {MAX_ID} entries")
+        self._chars = "".join(stoi)
+        self._codes = "".join(char_of(i + 1) for i in stoi.values())
+        self.vocab_size = len(stoi)
+
+    @classmethod
+    def of(cls, vocab: DataFrame) -> CharTokenizer:
+        """From a ``(ch, id)`` table; a table beyond the bound is refused, not cut."""
+        rows = vocab.select("ch", "id").limit(MAX_ID + 1).collect()
+        return cls({r["ch"]: r["id"] for r in sorted(rows, key=lambda r: r["id"])})
+
+    def encode(self, text: Column) -> Column:
+        """Text to a token string; a character outside the vocabulary is an error."""
+        unknown = F.translate(text, self._chars, "") != ""
+        error = F.raise_error(F.lit("character not in the vocabulary")).cast("string")
+        return F.when(unknown, error).otherwise(F.translate(text, self._chars, self._codes))
+
+    def ids(self, tokens: Column) -> Column:
+        return F.transform(token_ids(tokens), lambda i: i - 1)
+
+    def decode(self, tokens: Column) -> Column:
+        """Token string to text; an unknown id is an error."""
+        unknown = F.translate(tokens, self._codes, "") != ""
+        error = F.raise_error(F.lit("unknown token id")).cast("string")
+        return F.when(unknown, error).otherwise(F.translate(tokens, self._codes, self._chars))
