@@ -5,55 +5,80 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from textmill.functions.text import let
+
 # Fixed value: the layout of a run folder, name-vN-size. The name is greedy.
 FOLDER_PATTERN = r"^(.+)-v(\d+)-([\d.]+[KMB]?)$"
 
 
-def _over_tie(n: Column, scale: int, twice: int, m: Column) -> Column:
-    """``n / scale * twice - m`` without rounding error, for the double ``n / scale``.
+def _over_tie(x: Column, twice: int, m: Column) -> Column:
+    """``x * twice - m`` without rounding error.
 
     The product is summed from power-of-two multiples, each exact, and the error of every
     addition is kept.
     """
-    x = n / F.lit(float(scale))
     bits = [b for b in range(twice.bit_length() - 1, -1, -1) if twice >> b & 1]
-    total, lost = x * F.lit(float(1 << bits[0])), F.lit(0.0)
+
+    def add(state: Column, b: int) -> Column:
+        def step(s: Column) -> Column:
+            term = x * F.lit(float(1 << b))
+            new = s["total"] + term
+            return F.struct(new.alias("total"), (s["lost"] + (term - (new - s["total"]))).alias("lost"))
+
+        return let(state, step)
+
+    state = F.struct((x * F.lit(float(1 << bits[0]))).alias("total"), F.lit(0.0).alias("lost"))
     for b in bits[1:]:
-        term = x * F.lit(float(1 << b))
-        new = total + term
-        lost = lost + (term - (new - total))
-        total = new
-    return (total - m) + lost
-
-
-def fixed_point(n: Column, power: int, digits: int) -> Column:
-    """``n / 10**power`` with ``digits`` decimals, rounded as C's printf rounds the double."""
-    unit = 10 ** (power - digits)
-    k = ((n - F.pmod(n, F.lit(unit))) / F.lit(unit)).cast("bigint")
-    twice_rest = F.pmod(n, F.lit(unit)) * 2
-    over = _over_tie(n, 10**power, 2 * 10**digits, (k * 2 + 1).cast("double"))
-    up = (twice_rest > unit) | ((twice_rest == unit) & ((over > 0) | ((over == 0) & (F.pmod(k, F.lit(2)) == 1))))
-    q = k + F.when(up, 1).otherwise(0)
+        state = add(state, b)
+    return let(state, lambda s: (s["total"] - m) + s["lost"])
+
+
+def fixed_point(n: Column, scale: Column, digits: int) -> Column:
+    """``n / scale`` with ``digits`` decimals, rounded as C's printf rounds the double."""
     base = 10**digits
-    whole = ((q - F.pmod(q, F.lit(base))) / base).cast("bigint").cast("string")
-    return F.concat(whole, F.lit("."), F.lpad(F.pmod(q, F.lit(base)).cast("string"), digits, "0"))
+
+    def shown(s: Column) -> Column:
+        twice_rest = (s["n"] % s["unit"]) * 2
+        over = _over_tie(s["n"] / s["scale"].cast("double"), 2 * base, (s["k"] * 2 + 1).cast("double"))
+        tie_up = let(over, lambda o: (o > 0) | ((o == 0) & (s["k"] % 2 == 1)))
+        up = (twice_rest > s["unit"]) | ((twice_rest == s["unit"]) & tie_up)
+        q = s["k"] + F.when(up, 1).otherwise(0)
+        return let(q, lambda v: F.concat(
+            F.floor(v / base).cast("string"), F.lit("."), F.lpad((v % base).cast("string"), digits, "0")
+        ))
+
+    unit = (scale / base).cast("bigint")
+    parts = let(
+        F.struct(n.alias("n"), scale.alias("scale"), unit.alias("unit")),
+        lambda s: F.struct(
+            s["n"].alias("n"), s["scale"].alias("scale"), s["unit"].alias("unit"),
+            ((s["n"] - s["n"] % s["unit"]) / s["unit"]).cast("bigint").alias("k"),
+        ),
+    )
+    return let(parts, shown)
 
 
 def size_tag(n: Column, digits: int = 1) -> Column:
     """Parameter count as B, M or K with ``digits`` decimals; '?' when unknown."""
-    n = n.cast("bigint")
-    scaled = [
-        F.when(n >= 10**power, F.concat(fixed_point(n, power, digits), F.lit(unit)))
-        for power, unit in ((9, "B"), (6, "M"), (3, "K"))
-    ]
-    return F.when(n.isNull(), F.lit("?")).otherwise(F.coalesce(*scaled, n.cast("string")))
+
+    def tag(v: Column) -> Column:
+        by_size = lambda b, m, k: F.when(v >= 10**9, F.lit(b)).when(v >= 10**6, F.lit(m)).otherwise(F.lit(k))
+        scale = by_size(10**9, 10**6, 10**3).cast("bigint")
+        scaled = F.concat(fixed_point(v, scale, digits), by_size("B", "M", "K"))
+        return F.when(v.isNull(), F.lit("?")).when(v < 1000, v.cast("string")).otherwise(scaled)
+
+    return let(n.cast("bigint"), tag)
 
 
 def parse_folder(folder: Column) -> Column:
     """Struct (name, version, size) of a run folder; null fields when it does not match."""
-    hit = folder.rlike(FOLDER_PATTERN)
-    part = lambda i: F.when(hit, F.regexp_extract(folder, FOLDER_PATTERN, i))
-    return F.struct(part(1).alias("name"), part(2).cast("int").alias("version"), part(3).alias("size"))
+
+    def parts(f: Column) -> Column:
+        hit = f.rlike(FOLDER_PATTERN)
+        part = lambda i: F.when(hit, F.regexp_extract(f, FOLDER_PATTERN, i))
+        return F.struct(part(1).alias("name"), part(2).cast("int").alias("version"), part(3).alias("size"))
+
+    return let(folder, parts)
 
 
 def run_folder(name: Column, version: Column, num_params: Column) -> Column:

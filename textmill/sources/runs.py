@@ -12,18 +12,18 @@ SCHEMA = (
 )
 
 
-def read_runs(spark: SparkSession, root: str) -> DataFrame:
-    """All ``info.json`` files one folder below ``root``; unreadable ones are left out.
+def read_runs(spark: SparkSession, root: str, name: str = "info.json") -> DataFrame:
+    """All metadata files one folder below ``root``; unreadable ones are left out.
 
     ``path_folder`` is the folder on disk, which can differ from the recorded one.
     """
     df = (
         spark.read.schema(SCHEMA + ", _corrupt string")
         .option("columnNameOfCorruptRecord", "_corrupt")
-        .json(f"{root}/*/info.json", multiLine=True, mode="PERMISSIVE")
-        .withColumn("path_folder", F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/info\.json$", 1)))
+        .json(f"{root}/*/{name}", multiLine=True, mode="PERMISSIVE")
     )
-    return df.filter(F.col("_corrupt").isNull()).drop("_corrupt")
+    on_disk = F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1))
+    return df.withColumn("path_folder", on_disk).filter(F.col("_corrupt").isNull()).drop("_corrupt")
 
 
 def write_runs(runs: DataFrame, path: str) -> None:

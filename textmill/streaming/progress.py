@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 # The shapes of the log lines. The step may or may not name its goal.
 STEP_PATTERN = r"step\s+(\d+)\s*(?:/\s*\d+\s*)?\|"
@@ -17,8 +18,10 @@ def last_match(text: Column, pattern: str) -> Column:
 
 def parse_lines(lines: DataFrame, text: str, max_iters: int) -> DataFrame:
     """Adds ``step``, at most ``max_iters``, and ``percent``; null where a line has none."""
+    # least() skips nulls, so a line without a step would read as the last one.
+    clamp = lambda v: F.when(v > max_iters, F.lit(max_iters).cast("bigint")).otherwise(v)
     return lines.withColumns({
-        "step": F.least(last_match(F.col(text), STEP_PATTERN).cast("bigint"), F.lit(max_iters).cast("bigint")),
+        "step": clamp(last_match(F.col(text), STEP_PATTERN).cast("bigint")),
         "percent": last_match(F.col(text), DOWNLOAD_PATTERN).cast("double"),
     })
 
@@ -64,3 +67,29 @@ def stage_status(events: DataFrame, run: str, seq: str, code: str) -> DataFrame:
         .otherwise(F.lit("failed"))
     )
     return last.select(run, status.alias("status"))
+
+
+def publish(live: DataFrame, folder: str, checkpoint: str) -> None:
+    """Run a progress stream over what has arrived; every batch writes the whole small table anew.
+
+    Batches go to folders of their own, so a reader never sees a table half replaced.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/batch={number}")
+
+    query = (
+        live.writeStream.outputMode("complete")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def published(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    """The newest published table."""
+    table = spark.read.schema(StructType(schema.fields + [StructField("batch", LongType())])).parquet(folder)
+    newest = table.agg(F.max("batch")).scalar()
+    return table.filter(F.col("batch") == newest).drop("batch")
