@@ -11,7 +11,7 @@ from textmill.operators import dialogue as D
 from textmill.operators import mixture as M
 from textmill.operators.prefix import running_total, take_first
 from textmill.plans.builders import build_corpus, source_report, union_blocks
-from textmill.session import scratch_path
+from textmill.session import scratch_path, spread_few
 from textmill.sources import sinks
 
 BUDGET = 1_000_000
@@ -26,8 +26,9 @@ def c(name):
 
 def document_blocks(spark, sf):
     return M.as_blocks(
-        table(spark, sf, "documents"), F.lit("facts"), c("source"), c("doc_id"), R.document_block(c("text"), 40)
-    )
+        spread_few(table(spark, sf, "documents").select("doc_id", "source", "text"), "doc_id"),
+        F.lit("facts"), c("source"), c("doc_id"), R.document_block(c("text"), 40),
+    )
 
 
 def mixed_blocks(spark, sf):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from textmill.catalog.base import query, table
 from textmill.functions import tokens as K
 from textmill.operators import bpe, chartok, stats
-from textmill.session import scratch_path
+from textmill.session import scratch_path, spread_few
 from textmill.sources import tokenizers as TS
 
 N_MERGES = 8
@@ -18,7 +18,7 @@ def c(name):
 
 
 def docs(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return spread_few(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
 
 
 _trained: dict[tuple[str, str], bpe.Tokenizer] = {}

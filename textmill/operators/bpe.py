@@ -30,6 +30,9 @@ BYTES = 256
 CANDIDATES = 64
 PASSES_PER_CHECKPOINT = 12
 
+# Learned ids up to which decoding is a chain of replacements instead of a lookup per token.
+FOLD_LIMIT = 128
+
 
 @dataclass
 class Tokenizer:
@@ -285,7 +288,18 @@ def decode_ids(ids: Column, tok: Tokenizer, *, skip_specials: bool = True) -> Co
 
 
 def decode_tokens(tokens: Column, tok: Tokenizer, *, skip_specials: bool = True) -> Column:
-    return decode_ids(token_ids(tokens), tok, skip_specials=skip_specials)
+    """Token string to text, like ``decode_ids``.
+
+    A small vocabulary is expanded by one ``replace`` per learned id, which leaves byte tokens;
+    any character that is no byte then is an unknown id and fails in the encoding.
+    """
+    learned = {i: b for i, b in tok.vocab.items() if i >= BYTES}
+    if len(learned) > FOLD_LIMIT:
+        return decode_ids(token_ids(tokens), tok, skip_specials=skip_specials)
+    named = {i: b"" if skip_specials else n.encode() for n, i in tok.specials.items()}
+    for i, b in {**learned, **named}.items():
+        tokens = F.replace(tokens, F.lit(char_of(i)), F.lit(b.decode("latin-1")))
+    return bytes_to_text(F.encode(tokens, "ISO-8859-1"))
 
 
 def round_trip_failures(df: DataFrame, text: str, tok: Tokenizer) -> DataFrame:

@@ -60,3 +60,14 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
     spark = df.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     return df.repartition(parts, *cols)
+
+
+def spread_few(df: DataFrame, *cols: str) -> DataFrame:
+    """Spread a scan that has fewer parts than there are cores, such as one small file.
+
+    A scan of many files has more parts than cores and stays as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *cols)
