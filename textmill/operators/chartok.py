@@ -30,6 +30,8 @@ class CharTokenizer:
             raise ValueError(f"a character vocabulary has 1 to {MAX_ID} entries")
         self._chars = "".join(stoi)
         self._codes = "".join(char_of(i + 1) for i in stoi.values())
+        # ``translate`` cannot produce character 0 either; a character of no use stands in for it.
+        self._zero = next(chr(c) for c in range(0xE000, 0xF900) if chr(c) not in stoi) if "\x00" in stoi else None
         self.vocab_size = len(stoi)
 
     @classmethod
@@ -51,4 +53,7 @@ class CharTokenizer:
         """Token string to text; an unknown id is an error."""
         unknown = F.translate(tokens, self._codes, "") != ""
         error = F.raise_error(F.lit("unknown token id")).cast("string")
-        return F.when(unknown, error).otherwise(F.translate(tokens, self._codes, self._chars))
+        if self._zero is None:
+            return F.when(unknown, error).otherwise(F.translate(tokens, self._codes, self._chars))
+        text = F.translate(tokens, self._codes, self._chars.replace("\x00", self._zero))
+        return F.when(unknown, error).otherwise(F.replace(text, F.lit(self._zero), F.lit("\x00")))

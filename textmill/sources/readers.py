@@ -76,7 +76,7 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Files below a folder with sizes; contents are not read."""
+    """Files below a folder with sizes; contents are not read. Spark's scan leaves out empty files."""
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
     )
