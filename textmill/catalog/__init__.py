@@ -1,6 +1,6 @@
 """Registered queries over the given tables, each with its SQL twin where one exists."""
 
-from textmill.catalog import cleaning, live, mixing, rendering, runs, tokens, training
+from textmill.catalog import cleaning, corpora, live, mixing, rendering, runs, tokens, training
 from textmill.catalog.base import QUERIES, SQL
 
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textmill.catalog.base import NL, query, sql_clean, sql_qa, table
-from textmill.catalog.rendering import SQL_PAIRS, multiple_choice, pairs
+from textmill.catalog.rendering import SQL_PAIRS, pairs
 from textmill.functions import render as R
 from textmill.operators import dialogue as D
 from textmill.operators import mixture as M
 from textmill.operators.prefix import running_total, take_first
-from textmill.plans.builders import build_corpus, source_report, union_blocks
+from textmill.plans.builders import union_blocks
 from textmill.session import scratch_path, spread_few
 from textmill.sources import sinks
 
@@ -172,64 +172,3 @@ def write_corpus(spark, sf):
     path = scratch_path(spark, "mixture")
     sinks.write_corpus(M.char_budget(mixed_blocks(spark, sf), BUDGET), path, parts=4)
     return spark.read.text(path, lineSep="\n\n").withColumnRenamed("value", "block").filter(c("block") != "")
-
-
-# ---------------------------------------------------------------- corpora over the tables
-
-
-def math_frames(spark, sf):
-    """The math sources filled from parts and dialogue pairs."""
-    talk = pairs(spark, sf).withColumn("row_id", c("conv_id") * 4096 + c("turn"))
-    mc = multiple_choice(spark, sf)
-    return {
-        "H1": talk,
-        "H2": mc.select("row_id", c("question").alias("Problem"), F.array_join("choices", ", ").alias("options"),
-                        c("answer_key").alias("correct"), c("lecture").alias("Rationale")),
-        "H3": mc.select("row_id", "question", c("choices").alias("options"), c("answer_key").alias("correct"),
-                        c("lecture").alias("rationale")),
-        "H4": mc.select("row_id", c("lecture").alias("Body"), c("question").alias("Question"),
-                        c("answer").alias("Answer"), c("answer_key").alias("Equation")),
-        "H5": talk.select("row_id", c("question").alias("body"), c("answer").alias("solution"),
-                          F.when(c("turn") % 2 == 0, c("question")).alias("answer")),
-        "H6": talk,
-    }
-
-
-def sql_prompted(prompt: str, q: str) -> str:
-    return f"'{prompt}' || {NL} || {q}"
-
-
-def _sql_math() -> str:
-    from textmill.catalog.rendering import SQL_MC
-
-    key = "(conv_id * 4096 + turn)"
-    lines = f"CASE WHEN len(choices) = 0 THEN '' ELSE {NL} || 'Choices:' || {NL} || array_to_string(choices, {NL}) END"
-    option_text = "array_to_string(choices, ', ')"
-    text_form = f"CASE WHEN len(choices) = 0 THEN '' ELSE {NL} || 'Choices:' || {NL} || {option_text} END"
-    reasons = f"concat_ws({NL}, nullif(lecture, ''), 'Correct answer: ' || answer_key)"
-    some = "(nullif(lecture, '') IS NOT NULL OR answer_key IS NOT NULL)"
-    parts = [
-        ("H1:gsm8k", key, sql_prompted("Solve this math problem step by step:", "question"), "answer", SQL_PAIRS, "true"),
-        ("H2:math_qa", "row_id", f"question || {text_form}", reasons, SQL_MC, some),
-        ("H3:aqua_rat", "row_id", f"question || {lines}", reasons, SQL_MC, some),
-        ("H4:svamp", "row_id", f"CASE WHEN nullif(lecture, '') IS NULL THEN '' ELSE lecture || {NL} END || question",
-         f"concat_ws({NL}, 'Equation: ' || answer_key, 'Answer: ' || answer)", SQL_MC, "(answer_key IS NOT NULL OR answer IS NOT NULL)"),
-        ("H5:asdiv", key, sql_prompted("Solve this problem and explain the reasoning:", "question"),
-         f"concat_ws({NL}, answer, CASE WHEN turn % 2 = 0 THEN 'Answer: ' || question END)", SQL_PAIRS, "true"),
-        ("H6:algebra", key, sql_prompted("Solve this algebra problem:", "question"), "answer", SQL_PAIRS, "true"),
-    ]
-    return " UNION ALL ".join(
-        f"SELECT '{s}' AS source, 'train:' || {k} AS row_key, {sql_qa('q', 'a', 'MATH')} AS block FROM "
-        f"(SELECT *, {sql_clean(q)} AS q, {sql_clean(a)} AS a FROM {src} WHERE {cond}) WHERE q <> '' AND a <> ''"
-        for s, k, q, a, src, cond in parts
-    )
-
-
-@query("math_corpus", f"SELECT source, row_key, running, block FROM {sql_budget(f'({_sql_math()})', 400_000)}")
-def math_corpus(spark, sf):
-    return build_corpus("math", math_frames(spark, sf), budget=400_000).select("source", "row_key", "running", "block")
-
-
-@query("math_report", f"SELECT source, count(*) AS kept FROM ({_sql_math()}) GROUP BY source")
-def math_report(spark, sf):
-    return source_report("math", math_frames(spark, sf)).select("source", "kept")

@@ -6,10 +6,13 @@ distributed and brings at most a few dozen candidate pairs to the driver per pas
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import re
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
+from operator import add
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,8 +33,8 @@ BYTES = 256
 CANDIDATES = 64
 PASSES_PER_CHECKPOINT = 12
 
-# Learned ids up to which decoding is a chain of replacements instead of a lookup per token.
-FOLD_LIMIT = 128
+# Merges up to which encoding and decoding are chains of native replacements.
+FOLD_LIMIT = 64
 
 
 @dataclass
@@ -241,8 +244,84 @@ def apply_merges(tokens: Column, tok: Tokenizer) -> Column:
 
 
 def encode_text(text: Column, tok: Tokenizer) -> Column:
-    """Text to a token string."""
-    return apply_merges(byte_tokens(text), tok)
+    """Text to a token string: a native fold for few merges, else per piece in Arrow batches."""
+    if len(tok.merges) <= FOLD_LIMIT:
+        return apply_merges(byte_tokens(text), tok)
+    return _piecewise(tok, None)(text)
+
+
+class PieceEncoder:
+    """Encodes byte strings piece by piece, remembering pieces.
+
+    Two neighbouring bytes that stand together in no learned token can never be merged across,
+    so a text falls into independent pieces there. Pieces repeat like words do.
+    """
+
+    # Distinct pieces remembered per task, and the length from which merges are tried in turn.
+    CACHE = 200_000
+    LONG = 64
+
+    def __init__(self, tok: Tokenizer):
+        self.steps = merge_steps(tok)
+        self.rank = {pair: i for i, (pair, _) in enumerate(self.steps)}
+        self.joined = np.zeros(1 << 16, dtype=bool)
+        for i, token in tok.vocab.items():
+            if i >= BYTES:
+                for left, right in zip(token, token[1:]):
+                    self.joined[left << 8 | right] = True
+        self.known: dict[bytes, str] = {}
+
+    def merge_all(self, data: bytes) -> str:
+        tokens = data.decode("latin-1")
+        if len(tokens) >= self.LONG:
+            for pair, out in self.steps:
+                tokens = tokens.replace(pair, out)
+            return tokens
+        none = len(self.steps)
+        while len(tokens) > 1:
+            best = min([self.rank.get(p, none) for p in map(add, tokens, tokens[1:])])
+            if best == none:
+                break
+            tokens = tokens.replace(*self.steps[best])
+        return tokens
+
+    def encode(self, data: bytes) -> str:
+        flat = np.frombuffer(data, dtype=np.uint8).astype(np.uint16)
+        cuts = np.flatnonzero(~self.joined[(flat[:-1] << 8) | flat[1:]]) + 1
+        ends = [*cuts.tolist(), len(data)]
+        out, start = [], 0
+        for end in ends:
+            piece = data[start:end]
+            found = self.known.get(piece)
+            if found is None:
+                found = self.merge_all(piece)
+                if len(self.known) >= self.CACHE:
+                    self.known.clear()
+                self.known[piece] = found
+            out.append(found)
+            start = end
+        return "".join(out)
+
+
+def _piecewise(tok: Tokenizer, pattern: str | None) -> Callable[[Column], Column]:
+    """Pandas UDF of ``PieceEncoder``; with a pattern, special tokens in the text become their ids."""
+    marks = {n: char_of(i) for n, i in tok.specials.items()}
+
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encoder = PieceEncoder(tok)
+
+        def one(text: str | None) -> str | None:
+            if text is None:
+                return None
+            if pattern is None:
+                return encoder.encode(text.encode())
+            parts = re.split(f"({pattern})", text)
+            return "".join(marks[p] if i % 2 else encoder.encode(p.encode()) for i, p in enumerate(parts))
+
+        for batch in batches:
+            yield batch.map(one)
+
+    return F.pandas_udf(encode, "string")
 
 
 def _special_pattern(tok: Tokenizer) -> str:
@@ -256,6 +335,8 @@ def encode_with_specials(text: Column, tok: Tokenizer) -> Column:
     Text between them is encoded on its own. Patterns try the longest name first.
     """
     pattern = _special_pattern(tok)
+    if len(tok.merges) > FOLD_LIMIT:
+        return _piecewise(tok, pattern)(text)
     plain = F.transform(F.split(text, pattern), lambda x: encode_text(x, tok))
     marks = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
     lookup = F.create_map(*[F.lit(v) for n, i in tok.specials.items() for v in (n, char_of(i))])
