@@ -45,13 +45,14 @@ def token_ids(tokens: Column) -> Column:
     return F.when(F.length(tokens) > 0, parts).otherwise(F.array().cast("array<int>"))
 
 
+def code_char(code: Column) -> Column:
+    """Character of a code up to 65,535. Spark's chr() wraps at 256, so it goes through two bytes."""
+    return F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE")
+
+
 def id_char(token: Column) -> Column:
     """Token id to its character."""
-    code = F.when(token < SURROGATES_START, token).otherwise(token + SURROGATES_SIZE)
-    low = F.when(code < 256, code).otherwise(F.lit(0))
-    # chr() wraps at 256, so wider ids go through their two bytes.
-    wide = F.decode(F.unhex(F.lpad(F.hex(code), 4, "0")), "UTF-16BE")
-    return F.when(code < 256, F.chr(low)).otherwise(wide)
+    return code_char(F.when(token < SURROGATES_START, token).otherwise(token + SURROGATES_SIZE))
 
 
 def tokens_from_ids(ids: Column) -> Column:

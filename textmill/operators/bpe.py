@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions.tokens import (
-    adjacent, byte_tokens, bytes_to_text, char_of, code_id, id_of, packed, token_ids,
+    adjacent, byte_tokens, bytes_to_text, char_of, code_char, code_id, id_of, packed, token_ids,
 )
 from textmill.session import cut_lineage, spread
 
@@ -31,6 +31,8 @@ BYTES = 256
 
 # Candidate pairs looked at per pass, and passes between two checkpoints of the token strings.
 CANDIDATES = 64
+# Tied pairs up to which each is searched for by itself.
+FEW = 8
 PASSES_PER_CHECKPOINT = 12
 
 # Merges up to which encoding and decoding are chains of native replacements.
@@ -109,28 +111,30 @@ def pair_counts(df: DataFrame, tokens: str) -> DataFrame:
     return counts.groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
-def first_met(df: DataFrame, tokens: str, order: str, pairs: Sequence[str]) -> str:
-    """The pair met first in row order among tied ones.
+def met_order(df: DataFrame, tokens: str, order: str, tied: DataFrame, k: int) -> list[str]:
+    """The first ``k`` of the tied pairs in the order they are met.
 
-    Few pairs are found by a search per pair, many by one pass over the positions; the result
-    is one row either way.
+    ``tied`` has the columns a and b. Their positions are joined in Spark; ``k`` rows come back.
     """
-    if len(pairs) <= 16:
-        spots = [
-            F.min(F.when(F.instr(F.col(tokens), p) > 0, F.struct(F.col(order), F.instr(F.col(tokens), p)))).alias(str(i))
-            for i, p in enumerate(pairs)
-        ]
-        row = df.agg(*spots).first()
-        return min((row[str(i)], p) for i, p in enumerate(pairs) if row[str(i)] is not None)[1]
+    pairs = tied.select(F.concat(code_char(F.col("a")), code_char(F.col("b"))).alias("pair"))
     spots = df.select(order, F.posexplode(adjacent(F.col(tokens))).alias("_at", "pair"))
-    row = spots.filter(F.col("pair").isin(*pairs)).agg(F.min(F.struct(order, "_at", "pair")).alias("m")).first()
-    return row["m"]["pair"]
+    met = spots.join(pairs, "pair").groupBy("pair").agg(F.min(F.struct(order, "_at")).alias("_m"))
+    return [r["pair"] for r in met.orderBy("_m").limit(k).collect()]
+
+
+def met_order_of_few(df: DataFrame, tokens: str, order: str, pairs: Sequence[str]) -> list[str]:
+    """The same for a handful of pairs: one search each, one row of results."""
+    at = [F.instr(F.col(tokens), p) for p in pairs]
+    spots = [F.min(F.when(i > 0, F.struct(F.col(order).alias("o"), i.alias("i")))).alias(f"m{n}") for n, i in enumerate(at)]
+    row = df.agg(*spots).first()
+    return [p for _, p in sorted((row[f"m{n}"], p) for n, p in enumerate(pairs))]
 
 
 def top_pairs(df: DataFrame, tokens: str, order: str, k: int = CANDIDATES) -> list[tuple[str, int]]:
-    """Most frequent pairs in descending order; a tie at the very top is settled by first meeting.
+    """Most frequent pairs in descending order, as far as their order is certain.
 
-    Of the rest only those before the next tie are returned, as only their order is certain.
+    A tie at the top is settled by first meeting and returned alone; otherwise the pairs before
+    the next tie are returned.
     """
     counts = pair_counts(df, tokens)
     rows = [(chr(r["a"]) + chr(r["b"]), r["n"]) for r in counts.orderBy(F.desc("n"), "a", "b").limit(k).collect()]
@@ -138,11 +142,10 @@ def top_pairs(df: DataFrame, tokens: str, order: str, k: int = CANDIDATES) -> li
         return []
     best = rows[0][1]
     tied = [p for p, n in rows if n == best]
-    if len(tied) == k:
-        # More pairs are tied than were looked at. Their number is bounded by the vocabulary.
-        tied = [chr(r["a"]) + chr(r["b"]) for r in counts.filter(F.col("n") == best).collect()]
+    if len(tied) > FEW:
+        return [(p, best) for p in met_order(df, tokens, order, counts.filter(F.col("n") == best), k)]
     if len(tied) > 1:
-        return [(first_met(df, tokens, order, tied), best)]
+        return [(p, best) for p in met_order_of_few(df, tokens, order, tied)]
     sure = []
     for i, (p, n) in enumerate(rows):
         last = i + 1 == len(rows)
@@ -155,9 +158,10 @@ def top_pairs(df: DataFrame, tokens: str, order: str, k: int = CANDIDATES) -> li
 def independent_prefix(pairs: Sequence[tuple[str, int]], min_frequency: int, room: int) -> list[tuple[str, int]]:
     """The leading pairs that are sure to be the next merges in this order.
 
-    While no token is shared, merging a pair leaves the counts of the others alone, and a pair
-    made with the new token is no more frequent than one that ranks below them. Pairs of one
-    token twice end the run, as their product can follow itself.
+    While no token is shared, merging a pair leaves the counts of the others alone. A pair made
+    with the new token stands where a pair that shares a token with it stood, so it is no more
+    frequent and no earlier met than one that ranks below them. Pairs of one token twice end the
+    run, as their product can follow itself.
     """
     out: list[tuple[str, int]] = []
     used: set[str] = set()

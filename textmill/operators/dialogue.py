@@ -37,8 +37,10 @@ def conversation_blocks(
     whose texts, in piece order, make up the block; ``weight``, the characters of the whole
     block, stands on its first piece and is 0 on the others.
     """
-    lines = non_null(df, conv, turn, _line=turn_line(speaker, text))
-    short, long = split_long(lines, conv, turn, bits)
+    short, long = (
+        non_null(part, conv, turn, _line=turn_line(F.col("_speaker"), F.col("_text")))
+        for part in split_long(df.select(conv, turn, speaker.alias("_speaker"), text.alias("_text")), conv, turn, bits)
+    )
     ordered = F.transform(F.sort_array(F.collect_list(F.struct(turn, "_line"))), lambda x: x["_line"])
 
     n_chars = F.sum(F.length("_line")) + F.count("*") + F.lit(len("[CONVERSATION]\n") + 1)

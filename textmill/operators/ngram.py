@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from textmill.functions.tokens import code_char
 from textmill.operators.bpe import pair_counts
 from textmill.operators.prefix import hash_int, shuffle_key
 from textmill.session import cut_lineage
@@ -87,11 +88,10 @@ def lm_generate(
             F.get(F.filter("choices", lambda c: c["hi"] > F.col("_u")), F.lit(0))["nxt"],
             F.try_element_at("choices", F.lit(-1))["nxt"],
         )
-        char = F.decode(F.unhex(F.lpad(F.hex(picked), 4, "0")), "UTF-16BE")
         rows = (
             rows.withColumns({"ctx": ctx, "_u": u})
             .join(table, "ctx", "left")
-            .withColumn("_c", char)
+            .withColumn("_c", code_char(picked))
             .withColumn("tokens", F.concat("tokens", F.coalesce("_c", F.lit(""))))
             .withColumn("_done", F.col("_c").isNull() | (F.col("_c") == eos) if eos is not None else F.col("_c").isNull())
             .select(key, "tokens", "_done")

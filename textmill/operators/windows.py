@@ -46,8 +46,7 @@ def pack_blocks(df: DataFrame, tokens: str, order: str, block: int) -> DataFrame
     A document is sliced at block borders, so a block gathers at most ``block`` slices.
     """
     placed = with_offsets(df.select(order, tokens), tokens, order).filter(F.col("n_tokens") > 0)
-    first = F.floor(F.col("start") / block)
-    last = F.floor((F.col("start") + F.col("n_tokens") - 1) / block)
+    first, last = F.expr(f"start div {block}"), F.expr(f"(start + n_tokens - 1) div {block}")
     ids = placed.select(
         "start", "n_tokens", packed(F.col(tokens)).alias("_data"), F.explode(F.sequence(first, last)).alias("block_id")
     )
@@ -79,7 +78,7 @@ def sample_windows(
         .filter(room > 0)
         .withColumn("start", F.pmod(hash_int(shuffle_key(seed, F.col("step"), F.col("slot"))), room))
     )
-    wanted = draws.withColumn("_b", F.floor(F.col("start") / block)).select(
+    wanted = draws.withColumn("_b", F.expr(f"start div {block}")).select(
         "step", "slot", "start", F.explode(F.array(F.col("_b"), F.col("_b") + 1)).alias("block_id")
     )
     found = wanted.join(blocks.select("block_id", "tokens"), "block_id")
