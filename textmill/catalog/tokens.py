@@ -235,7 +235,12 @@ def round_trip(spark, sf):
     return failed.select("failures", docs(spark, sf).agg(F.count("*")).scalar().alias("n_rows"))
 
 
-@query("vocab_info")
+@query(
+    "vocab_info",
+    f"{SQL_ENCODED}, n AS (SELECT count(*) AS m FROM ({SQL_LOG})) SELECT 'bpe_vocab_size' AS item, 256 + m AS value FROM n UNION ALL SELECT 'merges', m FROM n "
+    "UNION ALL SELECT 'specials', 4 UNION ALL SELECT 'vocab_size', 260 + m FROM n UNION ALL SELECT '<PAD>', 256 + m FROM n UNION ALL SELECT '<UNK>', 257 + m FROM n "
+    "UNION ALL SELECT '<BOS>', 258 + m FROM n UNION ALL SELECT '<EOS>', 259 + m FROM n",
+)
 def vocab_info(spark, sf):
     """Sizes of the learned tokenizer's tables, and its special ids."""
     tok = trained(spark, sf)

@@ -114,9 +114,10 @@ def pair_counts(df: DataFrame, tokens: str) -> DataFrame:
 def met_order(df: DataFrame, tokens: str, order: str, tied: DataFrame, k: int) -> list[str]:
     """The first ``k`` of the tied pairs in the order they are met.
 
-    ``tied`` has the columns a and b. Their positions are joined in Spark; ``k`` rows come back.
+    ``tied`` has the columns a and b, at most one row per pair of ids. It is written first, so that
+    its size is known and the positions need no shuffle before the join; ``k`` rows come back.
     """
-    pairs = tied.select(F.concat(code_char(F.col("a")), code_char(F.col("b"))).alias("pair"))
+    pairs = cut_lineage(tied).select(F.concat(code_char(F.col("a")), code_char(F.col("b"))).alias("pair"))
     spots = df.select(order, F.posexplode(adjacent(F.col(tokens))).alias("_at", "pair"))
     met = spots.join(pairs, "pair").groupBy("pair").agg(F.min(F.struct(order, "_at")).alias("_m"))
     return [r["pair"] for r in met.orderBy("_m").limit(k).collect()]

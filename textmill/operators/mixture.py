@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.text import non_null
 from textmill.operators.prefix import HASH_SHIFTS, hash_int, shuffle_key, take_budget, take_until
+from textmill.session import cut_lineage
 
 # The seed of the shuffle and the character budgets.
 SEED = 18
@@ -58,10 +59,10 @@ def saturating_budget(
 
     A source stops after the row that reaches the limit, so each later one still gives its first
     row. Rows with a null block are read and add nothing. Sources not ``checked`` are read whole.
-    ``source_ord`` numbers the sources of one plan, so the table of their first rows is that short.
+    The table of first rows is written, so that its size decides how it is joined.
     """
-    firsts = rows.groupBy(source_ord).agg(F.min(row_ord).alias("_first"))
-    marked = rows.join(F.broadcast(firsts), source_ord)
+    firsts = cut_lineage(rows.groupBy(source_ord).agg(F.min(row_ord).alias("_first")))
+    marked = rows.join(firsts, source_ord)
     always = F.col(row_ord) == F.col("_first")
     if checked is not None:
         always = always | ~checked

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,19 +22,28 @@ def ingest(
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
     blocks = non_null(source, key, block=document_block(F.col(text), min_chars))
 
-    def stored() -> int:
+    def stored(without: int | None = None) -> int:
         try:
             table = spark.read.schema(f"{key} bigint, block string, n_chars bigint, batch bigint").parquet(target)
-        except Exception as error:
+        except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
             return 0
+        if without is not None:
+            table = table.filter(F.col("batch") != without)
         return table.agg(F.coalesce(F.sum("n_chars"), F.lit(0))).first()[0]
 
+    # Summed once per run, without the batch that may be a replay, then carried on batch by batch.
+    total: list[int] = []
+
     def append(batch: DataFrame, number: int) -> None:
-        if budget is not None and stored() >= budget:
+        if not total:
+            total.append(stored(without=number))
+        if budget is not None and total[0] >= budget:
             return
-        batch.withColumn("n_chars", F.length("block").cast("bigint")).write.mode("overwrite").parquet(f"{target}/batch={number}")
+        path = f"{target}/batch={number}"
+        batch.withColumn("n_chars", F.length("block").cast("bigint")).write.mode("overwrite").parquet(path)
+        total[0] += spark.read.parquet(path).agg(F.coalesce(F.sum("n_chars"), F.lit(0))).first()[0]
 
     query = (
         blocks.writeStream.foreachBatch(append)
