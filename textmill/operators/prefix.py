@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from textmill.session import cut_lineage
 
-# Source order: 4,096 rows to a bucket, then 4,096 buckets to the next level.
-ORDER_SHIFTS = (12, 24)
+# Source order: 1,024 rows to a bucket, then 1,024 buckets to the next level.
+ORDER_SHIFTS = (10, 20)
 # Hash order: a 60-bit key cut into 65,536 even buckets.
 HASH_SHIFTS = (44,)
 

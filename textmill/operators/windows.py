@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textmill.functions.text import let
 from textmill.functions.tokens import packed, packed_slice
 from textmill.operators.prefix import ORDER_SHIFTS, hash_int, running_total, shuffle_key
 
@@ -47,14 +48,18 @@ def pack_blocks(df: DataFrame, tokens: str, order: str, block: int) -> DataFrame
     """
     placed = with_offsets(df.select(order, tokens), tokens, order).filter(F.col("n_tokens") > 0)
     first, last = F.expr(f"start div {block}"), F.expr(f"(start + n_tokens - 1) div {block}")
-    ids = placed.select(
-        "start", "n_tokens", packed(F.col(tokens)).alias("_data"), F.explode(F.sequence(first, last)).alias("block_id")
-    )
-    lo = F.greatest(F.col("block_id") * block, F.col("start"))
-    hi = F.least((F.col("block_id") + 1) * block, F.col("start") + F.col("n_tokens"))
-    parts = ids.select(
-        "block_id", lo.alias("_at"), packed_slice(F.col("_data"), lo - F.col("start"), hi - lo).alias("_part")
-    )
+    end = F.col("start") + F.col("n_tokens")
+
+    def slices(data: Column) -> Column:
+        def one(i: Column) -> Column:
+            lo, hi = F.greatest(i * block, F.col("start")), F.least((i + 1) * block, end)
+            part = packed_slice(data, lo - F.col("start"), hi - lo)
+            return F.struct(i.alias("block_id"), lo.alias("_at"), part.alias("_part"))
+
+        return F.transform(F.sequence(first, last), one)
+
+    # The text is packed once, not once per slice.
+    parts = placed.select(F.inline(let(packed(F.col(tokens)), slices)))
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("_at", "_part"))), lambda p: p["_part"])
     return (
         parts.groupBy("block_id")
