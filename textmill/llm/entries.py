@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textmill.catalog.base import table
-from textmill.llm import mixing, secrets, warc
+from textmill.llm import langid, mixing, quality, secrets, toxicity, warc
 from textmill.llm.registry import query
+from textmill.llm.sampling import remainder
 from textmill.session import scratch_path
 
 MIX_SQL = """
@@ -81,3 +82,35 @@ FROM documents LEFT JOIN g USING (doc_id)
 @query("op6_secrets", SECRETS_SQL)
 def op6(spark, folder):
     return secrets.digest(secrets.scan(table(spark, folder, "documents")))
+
+
+@query("op1_langid")
+def op1(spark, folder):
+    docs = table(spark, folder, "documents")
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    model = langid.fit(docs.where(~held_out))
+    found = langid.predict(docs, model)
+    return found.select(F.col("key").alias("doc_id"), held_out_of("key", 3, 1), "lang_pred", "score", "bits_per_byte")
+
+
+def held_out_of(key: str, modulus: int, fold: int):
+    return (remainder(F.col(key), modulus) == fold).alias("held_out")
+
+
+def _scored(found, modulus: int, fold: int):
+    predicted = F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted")
+    return found.select(F.col("key").alias("doc_id"), held_out_of("key", modulus, fold), "score", predicted)
+
+
+@query("op3_toxicity")
+def op3(spark, folder):
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = toxicity.fit(docs, labels.where(remainder(F.col("doc_id"), 3) != 1))
+    return _scored(toxicity.predict(docs, model), 3, 1)
+
+
+@query("op7_quality")
+def op7(spark, folder):
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    forest = quality.fit(docs, labels.where(remainder(F.col("doc_id"), 4) != 2))
+    return _scored(quality.predict(docs, forest), 4, 2)
