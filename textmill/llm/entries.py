@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textmill.catalog.base import table
-from textmill.llm import langid, mixing, quality, secrets, toxicity, warc
+from textmill.llm import forest, langid, minhash, mixing, quality, secrets, toxicity, warc
 from textmill.llm.registry import query
 from textmill.llm.sampling import remainder
 from textmill.session import scratch_path
@@ -114,3 +114,30 @@ def op7(spark, folder):
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     forest = quality.fit(docs, labels.where(remainder(F.col("doc_id"), 4) != 2))
     return _scored(quality.predict(docs, forest), 4, 2)
+
+
+@query("op4_fingerprints")
+def op4(spark, folder):
+    return minhash.compare_neighbours(table(spark, folder, "documents")).withColumnRenamed("key", "doc_id")
+
+
+FOREST_SQL = """
+WITH RECURSIVE w AS (SELECT doc_id, md5(coalesce(text, '')) AS t,
+  list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\v\\f\\r]+'), lambda x: x <> '') AS w FROM documents),
+c AS (SELECT t, min(doc_id) AS first, count(*) AS n_copies, any_value(w) AS w FROM w GROUP BY t),
+s AS (SELECT DISTINCT first, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3),
+  lambda i: array_to_string(w[i:i+4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM c),
+n AS (SELECT first, count(*) AS n FROM s GROUP BY first),
+p AS (SELECT a.first AS a, b.first AS b, count(*) AS shared FROM s a JOIN s b USING (g) WHERE a.first <> b.first GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.first = a JOIN n y ON y.first = b WHERE shared >= 0.8 * (x.n + y.n - shared) - 1e-9),
+r AS (SELECT first AS id, first AS top FROM c UNION SELECT l.b, r.top FROM r JOIN l ON l.a = r.id),
+k AS (SELECT id, min(top) AS class_id FROM r GROUP BY id),
+d AS (SELECT a, count(*) AS n_links, sum(n_copies)::BIGINT AS n_link_docs FROM l JOIN c ON c.first = l.b GROUP BY a)
+SELECT doc_id, class_id, first AS copy_of, n_copies, coalesce(n_links, 0) AS n_links, coalesce(n_link_docs, 0) AS n_link_docs
+FROM w JOIN c USING (t) JOIN k ON k.id = first LEFT JOIN d ON d.a = first
+"""
+
+
+@query("op10_jaccard_join", FOREST_SQL)
+def op10(spark, folder):
+    return forest.similar_texts(table(spark, folder, "documents")).withColumnRenamed("key", "doc_id")
