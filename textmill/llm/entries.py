@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textmill.catalog.base import table
-from textmill.llm import forest, langid, minhash, mixing, quality, secrets, toxicity, warc
+from textmill.llm import decontaminate, forest, langid, minhash, mixing, pii, quality, secrets, toxicity, warc
 from textmill.llm.registry import query
 from textmill.llm.sampling import remainder
 from textmill.session import scratch_path
@@ -141,3 +141,27 @@ FROM w JOIN c USING (t) JOIN k ON k.id = first LEFT JOIN d ON d.a = first
 @query("op10_jaccard_join", FOREST_SQL)
 def op10(spark, folder):
     return forest.similar_texts(table(spark, folder, "documents")).withColumnRenamed("key", "doc_id")
+
+
+@query("op5_decontaminate")
+def op5(spark, folder):
+    found = decontaminate.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.withColumnsRenamed({"key": "doc_id", "item": "item_id"})
+
+
+@query("op2_pii")
+def op2(spark, folder):
+    docs = table(spark, folder, "documents")
+    found = pii.scan(docs, pii.fit(docs))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+
+    base = F.filter("spans", lambda s: s["base"])
+
+    def n(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [n(k) for k in pii.KINDS]
+    n_added = (F.size("spans") - F.size(base)).cast("long").alias("n_added")
+    return found.select(F.col("key").alias("doc_id"), *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), n_added)

@@ -12,10 +12,12 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from textmill.llm.arrow import shingles
 from textmill.llm.links import classes, link
 from textmill.llm.minhash import band_keys, signatures
+from textmill.session import cut_lineage
 
 SHINGLE, THRESHOLD, TREES, MAX_DEPTH, RECALL = 5, 0.8, 16, 10, 0.998
 
@@ -50,3 +52,18 @@ def similar_texts(
     """One row per document with its class and number of links, see ``links.classes``."""
     depth = depth_for(threshold, trees, MAX_DEPTH, recall)
     return classes(docs, lambda d: link(d, prefixes(trees, depth, size), threshold, size), text, key)
+
+
+def one_per_group(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The rows, with all their columns, without those whose text equals or is linked to that of a smaller key.
+
+    Of rows that repeat a key one stays; rows with a null key stay.
+    """
+    found = cut_lineage(similar_texts(docs, threshold, recall, text=text, key=key).where("key IS NOT NULL"))
+    stays = found.where("key = class_id")
+    again = stays.groupBy(F.col("key").alias(key)).count().where("count > 1").select(key)
+    goes = found.where("key <> class_id").select(F.col("key").alias(key)).unionByName(again).distinct()
+    out = docs.join(goes, key, "left_anti").select(*docs.columns)
+    if again.isEmpty():
+        return out
+    return out.unionByName(docs.join(again, key, "left_semi").dropDuplicates([key]).select(*docs.columns))
