@@ -105,41 +105,43 @@ def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 class _Bags:
-    """The n-grams of all windows of the training texts, as one array of buckets."""
+    """The n-grams of all windows of the training texts, in parts of some texts each."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        buckets, bounds, texts, at = [], [np.zeros(1, np.int64)], [], 0
-        for lo in range(0, len(offsets) - 1, 256):
-            hi = min(lo + 256, len(offsets) - 1)
+        self.parts, texts, part_of, within = [], [], [], []
+        for lo in range(0, len(offsets) - 1, 64):
+            hi = min(lo + 64, len(offsets) - 1)
             folded, own = marked(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
             starts, text, kept = windows(folded, own)
-            place, bucket = [], []
-            for b, inner in ngrams(folded, kept):
-                p = np.flatnonzero(inner)
-                place.append(p.astype(np.int32))
-                bucket.append(b[p].astype(np.int32))
-            place = np.concatenate(place) if place else np.zeros(0, np.int32)
+            found = [(np.flatnonzero(inner).astype(np.int32), bucket[inner].astype(np.int32)) for bucket, inner in ngrams(folded, kept)]
+            place = np.concatenate([p for p, _ in found] or [np.zeros(0, np.int32)])
             order = np.argsort(place, kind="stable")
-            buckets.append((np.concatenate(bucket) if bucket else place)[order])
-            ends = np.searchsorted(place[order], np.append(starts[1:], len(folded)))
-            bounds.append(ends + at)
+            bucket = np.concatenate([b for _, b in found] or [place])[order]
+            bounds = np.searchsorted(place[order], np.append(starts, len(folded)))
+            self.parts.append((bucket, bounds))
             texts.append(text + lo)
-            at += len(place)
-        self.buckets, self.bounds, self.texts = np.concatenate(buckets), np.concatenate(bounds), np.concatenate(texts)
+            part_of.append(np.full(len(text), len(self.parts) - 1))
+            within.append(np.arange(len(text)))
+        self.texts, self.part_of, self.within = np.concatenate(texts), np.concatenate(part_of), np.concatenate(within)
         self.first = np.searchsorted(self.texts, np.arange(len(offsets)))
 
     def worst(self, weights: np.ndarray) -> np.ndarray:
         """The window of the highest log-odds of each text."""
-        sums = np.concatenate([[0.0], np.cumsum(weights[self.buckets], dtype=np.float64)])
-        odds = np.diff(sums[self.bounds]) / np.maximum(FLOOR, np.diff(self.bounds))
-        order = np.lexsort((odds, self.texts))
+        odds = []
+        for bucket, bounds in self.parts:
+            sums = np.concatenate([[0.0], np.cumsum(weights[bucket], dtype=np.float64)])
+            odds.append(np.diff(sums[bounds]) / np.maximum(FLOOR, np.diff(bounds)))
+        order = np.lexsort((np.concatenate(odds), self.texts))
         return order[self.first[1:] - 1]
 
-    def gather(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        size = np.diff(self.bounds)[windows]
-        at = np.concatenate([[0], np.cumsum(size)])
-        place = np.arange(at[-1]) + np.repeat(self.bounds[windows] - at[:-1], size)
-        return self.buckets[place], np.repeat(np.arange(len(windows)), size)
+    def gather(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The n-grams of the windows, and the place of each one's window among those chosen."""
+        own = []
+        for w in chosen.tolist():
+            bucket, bounds = self.parts[self.part_of[w]]
+            k = self.within[w]
+            own.append(bucket[bounds[k] : bounds[k + 1]])
+        return np.concatenate(own), np.repeat(np.arange(len(own)), [len(x) for x in own])
 
 
 def train(data: np.ndarray, offsets: np.ndarray, label: np.ndarray, seed: int = 7) -> Model:
@@ -223,6 +225,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     return train(data, offsets, found.column(1).to_numpy())
 
 
+def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose score is below the threshold; no shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, offsets in chunks(batches, text):
+            yield rows.filter(pa.array(shared.value.score(data, offsets) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def predict(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, score) per row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
