@@ -23,28 +23,33 @@ def by_conv(rows):
     return out
 
 
-@pytest.mark.parametrize("bits", [2, 3, 12])
-def test_blocks_do_not_depend_on_the_piece_size(talk, bits):
+def test_blocks_and_lines_make_the_same_text(talk):
     rows, df = talk
     want = {}
     for conv, turns in by_conv(rows).items():
         lines = [f"{w}: {t.strip()}" for _, _, w, t in turns if t.strip()]
         if len(lines) >= 2:
             want[conv] = "[CONVERSATION]\n" + "\n".join(lines) + "\n\n"
-    got = D.conversation_blocks(df, "conv", "turn", F.col("who"), F.col("text"), bits=bits).collect()
-    text, weight = {}, {}
-    for r in sorted(got, key=lambda r: (r.conv, r.piece)):
-        text[r.conv] = text.get(r.conv, "") + r.block
-        weight[r.conv] = weight.get(r.conv, 0) + r.weight
-    assert text == want
-    assert weight == {k: len(v) for k, v in want.items()}
+    got = D.conversation_blocks(df, "conv", "turn", F.col("who"), F.col("text")).collect()
+    assert {r.conv: r.block for r in got} == want and len(got) == len(want)
+    assert all(r.weight == len(r.block) for r in got)
+    lines = D.conversation_lines(df, "conv", "turn", F.col("who"), F.col("text"))
+    sizes = D.conversation_sizes(lines, "conv", "turn")
+    assert {r.conv: (r.weight, r.n_turns) for r in sizes.collect()} == {r.conv: (r.weight, r.n_turns) for r in got}
+    parts = {}
+    for r in sorted(D.conversation_parts(lines, sizes, "conv", "turn").collect()):
+        parts[r.conv] = parts.get(r.conv, "") + r.part
+    assert parts == want
 
 
-@pytest.mark.parametrize("bits", [2, 3, 12])
-def test_pairs_do_not_depend_on_the_piece_size(talk, bits):
+def test_a_dialogue_of_many_rows_is_one_row(spark):
+    df = spark.range(4090, 4100).select(F.lit(0).alias("conv"), "id", F.lit("A").alias("who"), F.lit("t").alias("text"))
+    assert [r.n_turns for r in D.conversation_blocks(df, "conv", "id", F.col("who"), F.col("text")).collect()] == [10]
+
+
+def test_pairs(talk):
     rows, df = talk
     want = []
     for conv, turns in by_conv(rows).items():
         want += [(conv, a[1], a[3], b[3]) for a, b in zip(turns, turns[1:]) if a[3] and b[3]]
-    got = D.turn_pairs(df, "conv", "turn", "text", bits=bits).collect()
-    assert sorted(map(tuple, got)) == sorted(want)
+    assert sorted(map(tuple, D.turn_pairs(df, "conv", "turn", "text").collect())) == sorted(want)

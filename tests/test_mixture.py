@@ -52,16 +52,6 @@ def test_budget_takes_nothing_behind_an_overflow(spark):
         assert [int(r.row_key) for r in got] == want
 
 
-def test_pieces_follow_their_block(spark):
-    rows = [("d", "s", "a", 0, 9, "x" * 4), ("d", "s", "a", 1, 0, "x" * 5), ("d", "s", "b", 0, 3, "yyy")]
-    df = spark.createDataFrame(rows, "domain string, source string, row_key string, piece long, weight long, block string")
-    assert {(r.row_key, r.piece) for r in M.char_budget(df, 12).collect()} == {("a", 0), ("a", 1), ("b", 0)}
-    kept = {(r.row_key, r.piece) for r in M.char_budget(df, 9).collect()}
-    assert kept in ({("a", 0), ("a", 1)}, {("b", 0)})
-    total = M.report(df).filter("domain is null").first()
-    assert (total.examples, total.chars) == (2, 12)
-
-
 def test_written_corpus_is_the_concatenation(spark, tmp_path):
     texts = ["one\n\n", "two\nlines\n\n", "drei é\n\n", "four\n\n"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")

@@ -166,11 +166,31 @@ def test_document_corpora_saturate_source_by_source(spark):
         "F4": frame(spark, "F4", [("q" * 60, None, None), ("q" * 60, None, None)]),
         "F5": frame(spark, "F5", [("",), (text,)]),
     }
-    from textmill.plans.builders import _read_until_full
+    from textmill.plans.builders import read_until_full
 
     used = [(P.RECIPES[k], df) for k, df in frames.items()]
     # 50 + 50 characters fill the budget in F1; F2 gives its first row, F4 all, F5 an empty first row.
-    got = {(r.source, r.row_key) for r in _read_until_full(used, 100).collect()}
+    got = {(r.source, r.row_key.removeprefix("train:")) for r in read_until_full(used, 100)[1].collect()}
     assert got == {("F1:wikipedia", "0"), ("F1:wikipedia", "2"), ("F2:open_web_math", "0"), ("F4:openbookqa", "0"), ("F4:openbookqa", "1")}
     total = build_corpus("facts", frames, budget=100).agg(F.sum("weight")).first()[0]
     assert total <= 100
+
+
+def test_document_sources_read_the_train_split(spark):
+    rows = [(0, "train", "x" * 48), (0, "test", "y" * 48), (1, "validation", "z" * 48)]
+    df = spark.createDataFrame([(i, s, "", t) for i, s, t in rows], "row_id long, split string, title string, text string")
+    for name, key in (("facts", "F1"), ("writing", "W1"), ("writing", "W2")):
+        got = build_corpus(name, {key: df}).collect()
+        assert [(r.row_key, r.block) for r in got] == [("train:0", "x" * 48 + "\n\n")]
+
+
+def test_answers_of_any_type(spark):
+    df = spark.createDataFrame([(0, "q", ["a", "b"], "1", "")], "row_id long, question string, choices array<string>, answer string, lecture string")
+    assert "Answer: 1\n" in P.render(P.RECIPES["N1"], df).first().block
+    assert "Assistant: 1\n" in P.render(P.RECIPES["K3"], df).first().block
+    df = df.withColumn("answer", F.lit(1.5))
+    assert "Answer: 1.5\n" in P.render(P.RECIPES["N1"], df).first().block
+    df = df.withColumn("answer", F.lit(1))
+    assert "Answer: b\n" in P.render(P.RECIPES["N1"], df).first().block
+    numbers = spark.createDataFrame([(0, "p", "r", 7)], "row_id long, Problem string, Rationale string, correct int")
+    assert "Correct answer: 7\n" in P.render(P.RECIPES["H2"], numbers).first().block

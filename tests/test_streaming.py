@@ -51,8 +51,20 @@ def test_ingest_stops_at_its_budget(spark, tmp_path):
     assert I.ingest(spark, folder, "k long, t string", target, state, budget=120, **args) == 150
     rows = spark.read.parquet(target).collect()
     assert len(rows) == 3 and all(r.n_chars == 50 and r.block == "x" * 48 + "\n\n" for r in rows)
-    # All files have been seen, so a later run adds nothing.
+    # The same budget adds nothing; a larger one gets what is left, row for row.
     assert I.ingest(spark, folder, "k long, t string", target, state, budget=120, **args) == 150
+    assert I.ingest(spark, folder, "k long, t string", target, state, budget=160, **args) == 200
+    assert I.ingest(spark, folder, "k long, t string", target, state, **args) == 250
+    assert sorted(r.k for r in spark.read.parquet(target).collect()) == [0, 2, 4, 6, 8]
+
+
+def test_ingest_stops_at_its_budget_file_by_file(spark, tmp_path):
+    folder, target, state = (str(tmp_path / x) for x in ("in", "out", "state"))
+    for i in range(5):
+        spark.createDataFrame([(i, "x" * 48)], "k long, t string").coalesce(1).write.mode("append").parquet(folder)
+    args = {"text": "t", "key": "k", "min_chars": 40, "files_per_batch": 1}
+    assert I.ingest(spark, folder, "k long, t string", target, state, budget=100, **args) == 100
+    assert I.ingest(spark, folder, "k long, t string", target, state, budget=10**6, **args) == 250
 
 
 def test_ingest_without_budget_takes_all(spark, tmp_path):

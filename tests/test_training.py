@@ -45,7 +45,7 @@ def test_windows_are_slices_of_the_stream(spark, stream):
     size = 8
     blocks = B.pack_blocks(df, "t", "i", size)
     got = B.sample_windows(
-        blocks, F.lit(len(whole)), size, seed=18, step=F.floor(F.col("block_id") / 4), slot=F.col("block_id") % 4
+        blocks, F.lit(len(whole)), size, seed=18, draws=blocks.select(F.floor(F.col("block_id") / 4).alias("step"), (F.col("block_id") % 4).alias("slot"))
     ).collect()
     assert len(got) == math.ceil(len(whole) / size)
     for r in got:
@@ -57,9 +57,7 @@ def test_windows_are_slices_of_the_stream(spark, stream):
 @pytest.mark.parametrize("n,rows", [(8, 0), (9, 0), (10, 2)])
 def test_short_streams_give_no_window(spark, n, rows):
     df = spark.createDataFrame([(0, "x" * n)], "i long, t string")
-    got = B.sample_windows(
-        B.pack_blocks(df, "t", "i", 8), F.lit(n), 8, seed=1, step=F.lit(0), slot=F.col("block_id")
-    ).collect()
+    got = B.sample_windows(blocks := B.pack_blocks(df, "t", "i", 8), F.lit(n), 8, seed=1, draws=blocks.select(F.lit(0).alias("step"), F.col("block_id").alias("slot"))).collect()
     assert len(got) == rows and all(r.start == 0 for r in got)
 
 

@@ -23,22 +23,22 @@ def c(name):
 
 # ---------------------------------------------------------------- frames
 
-SQL_TALK = f"(SELECT conv_id * 4096 + turn AS row_id, conv_id, turn, question, answer FROM {SQL_PAIRS})"
-SQL_MSG = """(SELECT conv_id * 4096 + turn AS row_id, CASE WHEN conv_id % 3 > 0 THEN 'en' ELSE 'fr' END AS lang,
+SQL_TALK = f"(SELECT conv_id * 4294967296 + turn AS row_id, conv_id, turn, question, answer FROM {SQL_PAIRS})"
+SQL_MSG = """(SELECT conv_id * 4294967296 + turn AS row_id, CASE WHEN conv_id % 3 > 0 THEN 'en' ELSE 'fr' END AS lang,
  CASE role WHEN 'user' THEN 'prompter' ELSE role END AS role, conv_id, turn, text FROM conversations)"""
 SQL_TITLED = f"(SELECT doc_id AS row_id, text, lang, {SQL_TITLE} AS title FROM documents)"
 SQL_PART = "(SELECT p_partkey AS row_id, p_name, p_brand, p_type, p_size FROM part)"
 
 
 def talk(spark, sf):
-    return pairs(spark, sf).withColumn("row_id", c("conv_id") * 4096 + c("turn"))
+    return pairs(spark, sf).withColumn("row_id", F.shiftleft(c("conv_id").cast("bigint"), 32) + c("turn"))
 
 
 def messages(spark, sf):
     role = F.when(c("role") == "user", "prompter").otherwise(c("role"))
     lang = F.when(c("conv_id") % 3 > 0, "en").otherwise(F.lit("fr"))
     rows = table(spark, sf, "conversations")
-    return rows.select((c("conv_id") * 4096 + c("turn")).alias("row_id"), lang.alias("lang"), role.alias("role"), "conv_id", "turn", "text")
+    return rows.select((F.shiftleft(c("conv_id").cast("bigint"), 32) + c("turn")).alias("row_id"), lang.alias("lang"), role.alias("role"), "conv_id", "turn", "text")
 
 
 def titled(spark, sf):
@@ -117,10 +117,23 @@ def frames(name, spark, sf):
             "C4": lists(spark, sf), "C5": messages(spark, sf).select("row_id", msgs.alias("messages")),
             "C6": lists(spark, sf).withColumnRenamed("dialog", "dialogue"), "C7": instructions(spark, sf), "C8": messages(spark, sf),
         }
+    if name in ("facts", "writing"):
+        return {k: three_splits(df) for k, df in document_frames(name, docs, t, keyed_choices(spark, sf)).items()}
+    raise KeyError(name)
+
+
+def three_splits(df):
+    """A third of the rows in each split; row ids repeat: those of the train split are found in the others as well."""
+    split = F.when(c("row_id") % 3 == 0, "train").otherwise(F.when(c("row_id") % 3 == 1, "test").otherwise(F.lit("validation")))
+    other = df.filter(c("row_id") % 3 == 0).withColumn("split", F.lit("test"))
+    return df.withColumn("split", split).unionByName(other)
+
+
+def document_frames(name, docs, t, choices):
     if name == "facts":
         return {
             "F1": docs, "F2": docs.filter(c("lang") == "en"),
-            "F3": docs.select("row_id", F.array("title", "lang").alias("source")), "F4": keyed_choices(spark, sf),
+            "F3": docs.select("row_id", F.array("title", "lang").alias("source")), "F4": choices,
             "F5": t.select("row_id", c("answer").alias("text")),
         }
     return {"W1": docs, "W2": t.select("row_id", c("question").alias("text")), "W3": docs.filter(c("lang") != "en"),
@@ -267,20 +280,38 @@ def sql_corpus(name: str) -> str:
 
 def sql_read_until_full(name: str, limit: int) -> str:
     rows = " UNION ALL ".join(
-        f"SELECT {i} AS so, '{label(k)}' AS source, row_id, CASE WHEN {cond} AND length({sql_clean(text)}) >= {n} THEN {sql_clean(text)} || {NL} || {NL} END AS block FROM {source}"
+        f"SELECT {i} AS so, '{label(k)}' AS source, row_id, CASE WHEN {cond} AND length({sql_clean(text)}) >= {n} THEN {sql_clean(text)} || {NL} || {NL} END AS block FROM {source} WHERE row_id % 3 = 0"
         for i, (k, (source, text, n, cond)) in enumerate(DOCS[name].items())
     )
     return (
-        "SELECT source, row_id::VARCHAR AS row_key, block FROM (SELECT *, coalesce(sum(coalesce(length(block), 0)) OVER (ORDER BY so, row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, "
+        "SELECT source, 'train:' || row_id AS row_key, block FROM (SELECT *, coalesce(sum(coalesce(length(block), 0)) OVER (ORDER BY so, row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, "
         f"row_number() OVER (PARTITION BY so ORDER BY row_id) AS r FROM ({rows})) WHERE (before < {limit} OR r = 1 OR source LIKE 'F4%') AND block IS NOT NULL"
     )
 
 
 LIMITS = {
     "conversation": 900_000, "language": 900_000, "knowledge": 900_000, "science": 900_000, "math": 400_000,
-    "facts": 2_700_000, "writing": 2_500_000,
+    "facts": 900_000, "writing": 900_000,
 }
 
+# recipe -> rows it counts, where a cleaned text can come out empty after the count
+SQL_TRIED = {"C2": "(SELECT * FROM conversations WHERE text <> '')", "C8": f"(SELECT * FROM {SQL_MSG} WHERE lang = 'en' AND text <> '')"}
+
+
+def sql_tried(name: str) -> str:
+    parts = []
+    for r in CORPORA[name].recipes:
+        if r.key in SQL_TRIED:
+            rows = SQL_TRIED[r.key]
+        elif r.key in QA or r.key in TALKS:
+            source, *_, cond = (QA if r.key in QA else TALKS)[r.key]
+            rows = f"(SELECT * FROM {source} WHERE {cond})"
+        else:
+            source, _, _, cond = DOCS[name][r.key]
+            rows = f"(SELECT * FROM {source} WHERE row_id % 3 = 0 AND {cond})"
+        parts.append(f"SELECT '{label(r.key)}' AS source, count(*) AS attempted, 0 AS kept FROM {rows}")
+    return " UNION ALL ".join(parts)
+
 
 def register(name: str) -> None:
     limit = LIMITS[name]
@@ -290,12 +321,13 @@ def register(name: str) -> None:
     def corpus(spark, sf):
         return build_corpus(name, frames(name, spark, sf), budget=limit).select("source", "row_key", "running", "block")
 
-    if not CORPORA[name].saturating:
-
-        @query(f"{name}_report", f"SELECT source, count(*) AS kept FROM ({blocks}) GROUP BY source")
-        def report(spark, sf):
-            rep = source_report(name, frames(name, spark, sf))
-            return rep.filter(c("kept") > 0).select("source", "kept")
+    @query(
+        f"{name}_report",
+        f"SELECT source, sum(attempted)::BIGINT AS attempted, sum(kept)::BIGINT AS kept FROM ({sql_tried(name)} UNION ALL "
+        f"SELECT source, 0, count(*) FROM ({blocks}) GROUP BY source) GROUP BY source",
+    )
+    def report(spark, sf):
+        return source_report(name, frames(name, spark, sf), limit)
 
 
 for _name in CORPORA:

@@ -87,6 +87,20 @@ def stream_ingest(spark, sf):
     table(spark, sf, "documents").select("doc_id", "text").repartition(4, "doc_id").write.parquet(folder)
     I.ingest(
         spark, folder, "doc_id bigint, text string", target, scratch_path(spark, "state"),
-        text="text", key="doc_id", min_chars=40,
+        text="text", key="doc_id", min_chars=40, files_per_batch=1,
     )
     return spark.read.parquet(target).select("doc_id", "block", "n_chars")
+
+
+@query(
+    "stream_ingest_budget",
+    f"""SELECT doc_id, block, n_chars FROM (SELECT *, sum(n_chars) OVER (ORDER BY doc_id) AS upto FROM (SELECT doc_id, t || {NL} || {NL} AS block,
+ (length(t) + 2)::BIGINT AS n_chars FROM (SELECT doc_id, {sql_clean('text')} AS t FROM documents) WHERE length(t) >= 40)) WHERE upto - n_chars < 300000""",
+)
+def stream_ingest_budget(spark, sf):
+    """Stopped at one budget, then taken up again with a larger one."""
+    folder, target, state = scratch_path(spark, "arriving"), scratch_path(spark, "ingested"), scratch_path(spark, "state")
+    table(spark, sf, "documents").select("doc_id", "text").repartition(4, "doc_id").write.parquet(folder)
+    for budget in (100_000, 300_000):
+        I.ingest(spark, folder, "doc_id bigint, text string", target, state, text="text", key="doc_id", min_chars=40, budget=budget)
+    return spark.read.parquet(target).select("doc_id", "block", "n_chars")

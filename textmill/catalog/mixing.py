@@ -9,7 +9,7 @@ from textmill.catalog.rendering import SQL_PAIRS, pairs
 from textmill.functions import render as R
 from textmill.operators import dialogue as D
 from textmill.operators import mixture as M
-from textmill.operators.prefix import running_total, take_first
+from textmill.operators.prefix import hash_int, running_total, take_first
 from textmill.plans.builders import union_blocks
 from textmill.session import scratch_path, spread_few
 from textmill.sources import sinks
@@ -41,7 +41,7 @@ def mixed_blocks(spark, sf):
     speaker = F.when(c("role") == "user", "User").otherwise(F.lit("Assistant"))
     chats = D.conversation_blocks(table(spark, sf, "conversations"), "conv_id", "turn", speaker, c("text")).select(
         F.lit("conversation").alias("domain"), F.lit("chat").alias("source"),
-        c("conv_id").cast("string").alias("row_key"), "piece", "weight", "block",
+        c("conv_id").cast("string").alias("row_key"), "weight", "block",
     )
     items = M.as_blocks(
         table(spark, sf, "benchmark"), F.lit("writing"), F.lit("benchmark"), c("item_id"), R.document_block(c("text"), 30)
@@ -105,6 +105,27 @@ def mix_union(spark, sf):
     return mixed_blocks(spark, sf).select("domain", "source", "row_key", "block")
 
 
+@query(
+    "running_total_hashed",
+    """SELECT o_orderkey, (sum(length(o_orderpriority)) OVER (ORDER BY k))::BIGINT AS running FROM
+ (SELECT *, ('0x' || substr(md5(o_orderkey::VARCHAR), 1, 15))::BIGINT AS k FROM orders)""",
+)
+def hashed_total(spark, sf):
+    """One running total over all rows, ordered by a hash: keys as sparse as they come."""
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", hash_int(F.md5(c("o_orderkey").cast("string"))).alias("k"))
+    return running_total(rows, F.length("o_orderpriority"), "k").select("o_orderkey", "running")
+
+
+@query(
+    "source_cap_hashed",
+    """SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY
+ ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT) AS r FROM documents) WHERE r <= 20""",
+)
+def source_cap_hashed(spark, sf):
+    rows = table(spark, sf, "documents").select("doc_id", "source", hash_int(F.md5(c("doc_id").cast("string"))).alias("k"))
+    return take_first(rows, 20, "k", group=["source"]).select("doc_id", "source")
+
+
 @query("seeded_shuffle", "SELECT doc_id, source, md5('18:' || source || ':' || doc_id) AS ord FROM documents")
 def seeded_shuffle(spark, sf):
     rows = table(spark, sf, "documents").select("doc_id", "source", c("doc_id").cast("string").alias("row_key"))
@@ -158,7 +179,7 @@ SQL_SATURATED = f"""(SELECT source, doc_id::VARCHAR AS row_key, t || {NL} || {NL
 def facts_mixture(spark, sf):
     rows = table(spark, sf, "documents").select(
         F.lit("facts").alias("domain"), "source", c("doc_id").cast("string").alias("row_key"),
-        F.lit(0).cast("bigint").alias("piece"), F.substring("source", 4, 9).cast("int").alias("source_ord"), "doc_id",
+        F.substring("source", 4, 9).cast("int").alias("source_ord"), "doc_id",
         R.document_block(c("text"), 40).alias("block"),
     )
     read = M.saturating_budget(rows, 700_000, source_ord="source_ord", row_ord="doc_id")

@@ -9,6 +9,7 @@ from textmill.catalog.cleaning import SQL_TITLE, titled_documents
 from textmill.functions import render as R
 from textmill.functions.text import clean_text, let, non_null
 from textmill.operators import dialogue as D
+from textmill.plans.recipes import RECIPES, render
 
 # Multiple-choice rows made of parts: lists of unequal length, answers null, -1, in and out of range.
 SQL_MC = """(SELECT p_partkey AS row_id, 'Which one fits ' || p_name || '?' AS question,
@@ -63,7 +64,7 @@ def qa_block(spark, sf):
 
 @query(
     "conversation_block",
-    f"""SELECT conv_id, 0::BIGINT AS piece, count(*) AS n_turns,
+    f"""SELECT conv_id, count(*) AS n_turns,
  '[CONVERSATION]' || {NL} || string_agg(speaker || ': ' || t, {NL} ORDER BY turn) || {NL} || {NL} AS block
  FROM (SELECT conv_id, turn, CASE role WHEN 'user' THEN 'User' ELSE 'Assistant' END AS speaker, {sql_clean("text")} AS t
  FROM conversations) WHERE t <> '' GROUP BY conv_id HAVING count(*) >= 2""",
@@ -71,7 +72,7 @@ def qa_block(spark, sf):
 def conversation_block(spark, sf):
     speaker = F.when(c("role") == "user", "User").otherwise(F.lit("Assistant"))
     blocks = D.conversation_blocks(table(spark, sf, "conversations"), "conv_id", "turn", speaker, c("text"))
-    return blocks.select("conv_id", "piece", "n_turns", "block")
+    return blocks.select("conv_id", "n_turns", "block")
 
 
 @query("document_block", f"SELECT doc_id, t || {NL} || {NL} AS block FROM (SELECT doc_id, {sql_clean('text')} AS t FROM documents) WHERE length(t) >= 40")
@@ -170,6 +171,20 @@ def answer_by_index(spark, sf):
     )
 
 
+@query(
+    "answer_by_value",
+    f"SELECT row_id, 'Answer: ' || v AS line, coalesce(v, 'None') AS sentence FROM (SELECT row_id, CASE WHEN row_id % 2 = 0 THEN answer::VARCHAR ELSE answer_key END AS v FROM {SQL_MC})",
+)
+def answer_by_value(spark, sf):
+    """Answers that come as texts, some of them digits, are printed."""
+    mc = multiple_choice(spark, sf)
+    mixed = mc.withColumn("answer", F.when(c("row_id") % 2 == 0, c("answer").cast("string")).otherwise(c("answer_key")))
+    return mixed.select(
+        "row_id", R.indexed_answer(c("answer"), c("choices"), integer=False).alias("line"),
+        R.indexed_sentence(c("answer"), c("choices"), integer=False).alias("sentence"),
+    )
+
+
 @query("answer_key", f"SELECT row_id, 'The correct answer is ' || coalesce(answer_key, 'None') || '.' AS sentence FROM {SQL_MC}")
 def answer_key(spark, sf):
     return multiple_choice(spark, sf).select("row_id", R.key_sentence(c("answer_key")).alias("sentence"))
@@ -214,6 +229,28 @@ def group_dialogue(spark, sf):
     return blocks.select(parts[0].alias("split"), parts[1].cast("bigint").alias("conv_id"), "n_turns", "block")
 
 
+SQL_LONG = f"""SELECT kind, dialogue, count(*) AS n_turns, sum(length(l) + 1)::BIGINT + 16 AS weight,
+ md5('[CONVERSATION]' || {NL} || string_agg(l, {NL} ORDER BY o) || {NL} || {NL}) AS digest FROM (SELECT kind, dialogue, o, speaker || ': ' || t AS l FROM
+ (SELECT 'merged' AS kind, conv_id % 3 AS dialogue, conv_id * 4294967296 + turn AS o, CASE role WHEN 'user' THEN 'User' ELSE 'Assistant' END AS speaker,
+ {sql_clean("text")} AS t FROM conversations UNION ALL SELECT 'by row', 0, conv_id * 4294967296 + turn, 'Person' || turn % 2, {sql_clean("text")} FROM conversations)
+ WHERE t <> '') GROUP BY ALL HAVING count(*) >= 2"""
+
+
+@query("long_dialogue", SQL_LONG)
+def long_dialogue(spark, sf):
+    """All conversations in three dialogues ordered by a wide turn, and in one that a recipe orders by its row numbers."""
+    rows = table(spark, sf, "conversations").withColumn("row_id", F.shiftleft(c("conv_id").cast("bigint"), 32) + c("turn"))
+    speaker = F.when(c("role") == "user", "User").otherwise(F.lit("Assistant"))
+    merged = D.conversation_blocks(rows.withColumn("dialogue", c("conv_id") % 3), "dialogue", "row_id", speaker, c("text"))
+    utterances = rows.select("row_id", F.lit(0).alias("conv_id"), (c("turn") % 2).alias("speaker_idx"), c("text").alias("utterance"))
+    plain = render(RECIPES["C2"], utterances).withColumn("n_turns", F.size(F.split("block", "\n")).cast("bigint") - 3)
+    both = [
+        merged.select(F.lit("merged").alias("kind"), c("dialogue").cast("bigint").alias("dialogue"), "n_turns", "weight", "block"),
+        plain.select(F.lit("by row").alias("kind"), F.lit(0).cast("bigint").alias("dialogue"), "n_turns", "weight", "block"),
+    ]
+    return both[0].unionByName(both[1]).withColumn("digest", F.md5("block")).drop("block")
+
+
 # Dialogues as lists: the lines of a document.
 SQL_LINES = f"(SELECT doc_id, string_split(text, {NL}) AS dialog FROM documents)"
 

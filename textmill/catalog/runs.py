@@ -168,7 +168,8 @@ def run_details(spark, sf):
 
 @query(
     "upsert_runs",
-    f"SELECT folder, size_tag, CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 2 = 1 THEN iteration + 100 ELSE iteration END AS iteration, "
+    f"SELECT folder, size_tag, CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 5 > 0 THEN CASE WHEN o_orderkey % 2 = 1 THEN 'Character-level GPT trained on ' || format('{{:,}}', o_orderkey) || ' characters of text.' ELSE 'Character-level GPT trained from scratch.' END ELSE description END AS description, "
+    f"CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 2 = 1 THEN iteration + 100 ELSE iteration END AS iteration, "
     f"CASE WHEN o_orderkey % 2 = 1 THEN coalesce(updated_at, CASE WHEN o_orderkey % 3 = 0 THEN '{NOW}' END) ELSE '{NOW}' END AS created_at, "
     f"CASE WHEN o_orderkey % 3 = 0 THEN '{NOW}' ELSE updated_at END AS updated_at FROM {SQL_RUNS} WHERE has_info AND (o_orderkey % 2 = 1 OR o_orderkey % 3 = 0)",
 )
@@ -179,10 +180,14 @@ def upsert_runs(spark, sf):
     old = keyed.filter(c("o_orderkey") % 2 == 1).drop("o_orderkey")
     step = F.when(c("o_orderkey") % 2 == 1, 100).otherwise(0)
     new = keyed.filter(c("o_orderkey") % 3 == 0).withColumns(
-        {"iteration": c("iteration") + step, "created_at": F.lit(None).cast("string")}
-    )
+        {
+            "iteration": c("iteration") + step, "created_at": F.lit(None).cast("string"),
+            "description": F.when(c("o_orderkey") % 5 == 0, c("description")),
+            "dataset_chars": F.when(c("o_orderkey") % 2 == 1, c("o_orderkey").cast("bigint")),
+        }
+    )
     done = G.upsert_runs(old, new.drop("o_orderkey"), F.lit(NOW))
-    return done.select("folder", "size_tag", "iteration", "created_at", "updated_at")
+    return done.select("folder", "size_tag", "description", "iteration", "created_at", "updated_at")
 
 
 SQL_LEGACY = f"(SELECT max(num_params) AS num_params, max(iteration) AS iteration FROM {SQL_RUNS})"

@@ -60,8 +60,26 @@ def sample_windows(spark, sf):
     d = byte_docs(spark, sf)
     blocks = cut_lineage(B.pack_blocks(d, "x", "doc_id", BLOCK))
     n = B.total_tokens(blocks, "tokens")
-    step, slot = F.floor(c("block_id") / 64), c("block_id") % 64
-    return B.sample_windows(blocks, n, BLOCK, seed=SEED, step=step, slot=slot)
+    draws = blocks.select(F.floor(c("block_id") / 64).alias("step"), (c("block_id") % 64).alias("slot"))
+    return B.sample_windows(blocks, n, BLOCK, seed=SEED, draws=draws)
+
+
+SQL_DRAWS = (
+    "(SELECT i // 32 AS step, i % 32 AS slot, ('0x' || substr(md5('18:' || i // 32 || ':' || i % 32), 1, 15))::BIGINT % (N - 257) AS start "
+    "FROM range(40 * 32) AS r(i), (SELECT sum(length(tokens))::BIGINT AS N FROM blocks))"
+)
+
+
+@query(
+    "sample_windows_steps",
+    f"WITH blocks AS MATERIALIZED {SQL_BLOCKS}, d AS {SQL_DRAWS} SELECT step, slot, start, substr(t, start % 256 + 1, 256) AS x, substr(t, start % 256 + 2, 256) AS y FROM "
+    "(SELECT d.*, a.tokens || coalesce(b.tokens, '') AS t FROM d JOIN blocks a ON a.block_id = d.start // 256 LEFT JOIN blocks b ON b.block_id = d.start // 256 + 1)",
+)
+def sample_windows_steps(spark, sf):
+    """A training run of 40 steps with 32 windows each."""
+    blocks = cut_lineage(B.pack_blocks(byte_docs(spark, sf), "x", "doc_id", BLOCK))
+    n = B.total_tokens(blocks, "tokens")
+    return B.sample_windows(blocks, n, BLOCK, seed=SEED, draws=B.draw_table(spark, 40, 32))
 
 
 @query("shifted_targets", f"SELECT doc_id, substr(x, 1, length(x) - 1) AS inputs, substr(x, 2) AS targets FROM {SQL_BYTES}")
@@ -116,6 +134,33 @@ def lm_eval(spark, sf):
     return out[0].unionByName(out[1])
 
 
+SQL_TRIPLES = (
+    "(SELECT substr(x, i, 2) AS ctx, unicode(substr(x, i + 2, 1))::INT AS nxt FROM (SELECT x, unnest(range(1, length(x) - 1)) AS i FROM {0}))"
+)
+SQL_FIT2 = (
+    f"s AS MATERIALIZED {SQL_SPLIT}, model AS MATERIALIZED (SELECT *, ln((n + 1.0::DOUBLE) / (ctx_n + 256.0::DOUBLE)) AS logp FROM "
+    "(SELECT *, (sum(n) OVER (PARTITION BY ctx))::BIGINT AS ctx_n FROM (SELECT ctx, nxt, count(*) AS n FROM "
+    f"{SQL_TRIPLES.format('(SELECT train AS x FROM s)')} GROUP BY ALL)))"
+)
+
+
+@query("lm_fit_order2", f"WITH {SQL_FIT2} SELECT ctx, nxt, n, ctx_n, round(logp, 9) AS logp FROM model")
+def lm_fit_order2(spark, sf):
+    parts = B.split_tokens(byte_docs(spark, sf), "x", "doc_id")
+    return L.lm_fit(parts, "train", vocab_size=256, order=2).withColumn("logp", F.round("logp", 9))
+
+
+@query(
+    "lm_eval_order2",
+    f"WITH {SQL_FIT2} SELECT count(*) AS n_pairs, round(avg(-coalesce(logp, ln(1.0::DOUBLE / (coalesce(ctx_n, 0) + 256.0::DOUBLE)))), 6) AS loss FROM "
+    f"{SQL_TRIPLES.format('(SELECT val AS x FROM s)')} LEFT JOIN (SELECT DISTINCT ctx, ctx_n FROM model) USING (ctx) LEFT JOIN (SELECT ctx, nxt, logp FROM model) USING (ctx, nxt)",
+)
+def lm_eval_order2(spark, sf):
+    parts = B.split_tokens(byte_docs(spark, sf), "x", "doc_id")
+    model = cut_lineage(L.lm_fit(parts, "train", vocab_size=256, order=2))
+    return L.lm_eval(model, parts, "val", vocab_size=256, order=2).select("n_pairs", F.round("loss", 6).alias("loss"))
+
+
 SQL_NEXT = (
     "nx AS MATERIALIZED (SELECT ctx, nxt, w / sum(w) OVER (PARTITION BY ctx) AS p FROM (SELECT *, exp((logp - max(logp) OVER (PARTITION BY ctx)) / {0}::DOUBLE) AS w FROM "
     "(SELECT * FROM (SELECT *, rank() OVER (PARTITION BY ctx ORDER BY logp DESC) AS r FROM model) WHERE r <= 40)))"
@@ -131,21 +176,23 @@ STEPS = 6
 _SQL_GEN = []
 for _k in range(1, STEPS + 1):
     _SQL_GEN.append(
-        f"g{_k} AS MATERIALIZED (SELECT conv_id, t || coalesce(chr(nxt), '') AS t FROM (SELECT conv_id, t, "
-        f"coalesce(min(nxt) FILTER (WHERE hi > u), max(nxt)) AS nxt FROM (SELECT *, ('0x' || substr(md5('18:' || conv_id || ':{_k - 1}'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u "
-        f"FROM g{_k - 1}) q LEFT JOIN cum ON cum.ctx = unicode(right(t, 1)) GROUP BY conv_id, t))"
+        f"g{_k} AS MATERIALIZED (SELECT conv_id, turn, t || coalesce(chr(nxt), '') AS t FROM (SELECT conv_id, turn, t, "
+        f"coalesce(min(nxt) FILTER (WHERE hi > u), max(nxt)) AS nxt FROM (SELECT *, ('0x' || substr(md5('18:' || conv_id || '-' || turn || ':{_k - 1}'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u "
+        f"FROM g{_k - 1}) q LEFT JOIN cum ON cum.ctx = unicode(right(t, 1)) GROUP BY conv_id, turn, t))"
     )
 
 
 @query(
     "lm_generate",
     f"WITH {SQL_FIT}, {SQL_NEXT.format(1.0)}, cum AS MATERIALIZED (SELECT ctx, nxt, sum(p) OVER (PARTITION BY ctx ORDER BY nxt) AS hi FROM nx), "
-    "g0 AS (SELECT conv_id, array_to_string(list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: chr(('0x' || h)::INT)), '') AS t "
-    f"FROM conversations WHERE turn = 0 AND text <> ''), {', '.join(_SQL_GEN)} SELECT conv_id, t AS tokens FROM g{STEPS}",
+    "g0 AS (SELECT conv_id, turn, array_to_string(list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: chr(('0x' || h)::INT)), '') AS t "
+    f"FROM conversations WHERE text <> ''), {', '.join(_SQL_GEN)} SELECT conv_id, turn, t AS tokens FROM g{STEPS}",
 )
 def lm_generate(spark, sf):
-    """The first turns of all dialogues continued by a few tokens at temperature 1."""
+    """All turns continued by a few tokens at temperature 1."""
     dist = L.lm_next(model_and_split(spark, sf)[0], temperature=1.0)
-    first = table(spark, sf, "conversations").filter((c("turn") == 0) & (c("text") != ""))
-    prompts = first.select("conv_id", K.byte_tokens(c("text")).alias("t"))
-    return L.lm_generate(prompts, dist, key="conv_id", tokens="t", steps=STEPS, seed=SEED)
+    said = table(spark, sf, "conversations").filter(c("text") != "")
+    prompts = said.select(F.concat_ws("-", "conv_id", "turn").alias("k"), K.byte_tokens(c("text")).alias("t"))
+    done = L.lm_generate(prompts, dist, key="k", tokens="t", steps=STEPS, seed=SEED)
+    parts = F.split("k", "-")
+    return done.select(parts[0].cast("bigint").alias("conv_id"), parts[1].cast(dict(said.dtypes)["turn"]).alias("turn"), "tokens")

@@ -59,8 +59,11 @@ def conversation_block(turns: Column) -> Column:
     return let(lines, lambda x: F.when(F.size(x) >= 2, conversation_text(x)))
 
 
+CONVERSATION_HEAD = "[CONVERSATION]\n"
+
+
 def conversation_text(lines: Column) -> Column:
-    return F.concat(F.lit("[CONVERSATION]\n"), F.array_join(lines, "\n"), F.lit("\n\n"))
+    return F.concat(F.lit(CONVERSATION_HEAD), F.array_join(lines, "\n"), F.lit("\n\n"))
 
 
 def prompted(name: str, text: Column) -> Column:
@@ -115,8 +118,13 @@ def choices_labelled(question: Column, labels: Column, texts: Column, header: st
     return F.concat(question, F.lit(header), labelled_lines(labels, texts))
 
 
-def indexed_answer(answer: Column, choices: Column) -> Column:
-    """``Answer: …`` by index. Out of range: null; without choices: the number itself; null: null."""
+def indexed_answer(answer: Column, choices: Column, integer: bool = True) -> Column:
+    """``Answer: …`` by index. Out of range: null; without choices: the number itself; null: null.
+
+    An answer that is no integer is printed as it is.
+    """
+    if not integer:
+        return F.concat(F.lit("Answer: "), answer.cast("string"))
     by_index = F.when(
         (answer >= 0) & (answer < F.size(choices)), F.concat(F.lit("Answer: "), F.get(choices, answer))
     )
@@ -124,8 +132,10 @@ def indexed_answer(answer: Column, choices: Column) -> Column:
     return F.when(answer.isNull(), None).when(is_empty_list(choices), plain).otherwise(by_index)
 
 
-def indexed_sentence(answer: Column, choices: Column) -> Column:
+def indexed_sentence(answer: Column, choices: Column, integer: bool = True) -> Column:
     """``The correct answer is ….`` by index, else the bare value (None when null)."""
+    if not integer:
+        return _shown(answer)
     hit = ~is_empty_list(choices) & (answer >= 0) & (answer < F.size(choices))
     sentence = F.concat(F.lit("The correct answer is "), F.get(choices, answer), F.lit("."))
     return F.when(hit, sentence).otherwise(_shown(answer))
@@ -141,8 +151,8 @@ def labelled_part(label: str, value: Column) -> Column:
 
 
 def present(value: Column) -> Column:
-    """Null instead of the empty string."""
-    return F.nullif(value, F.lit(""))
+    """Text of the value; null instead of the empty string."""
+    return F.nullif(value.cast("string"), F.lit(""))
 
 
 def joined_parts(*parts: Column) -> Column:

@@ -1,7 +1,7 @@
 """Dialogue shaping over the long form: one row per (conversation, turn).
 
-``turn`` is an integer, unique in its conversation. Conversations with turns outside
-[0, 4096) are long: they take a path of their own that never holds one of them in one task.
+``turn`` is an integer, unique in its conversation. Lengths, and whether a conversation has a block at all, are decided on
+its lines; a whole block is put together only where one is asked for.
 """
 
 from __future__ import annotations
@@ -10,110 +10,54 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from textmill.functions.render import conversation_text, turn_line
+from textmill.functions.render import CONVERSATION_HEAD, conversation_text, turn_line
 from textmill.functions.text import non_null
 
-# Turns of one piece of a long conversation: 2 ** 12.
-PIECE_BITS = 12
 
+def conversation_lines(df: DataFrame, conv: str, turn: str, speaker: Column, text: Column) -> DataFrame:
+    """Lines ``(conv, turn, line)`` of the turns whose text is not empty after cleaning."""
+    rows = df.select(conv, turn, speaker.alias("_speaker"), text.alias("_text"))
+    return non_null(rows, conv, turn, line=turn_line(F.col("_speaker"), F.col("_text")))
 
-def _piece(turn: str, bits: int) -> Column:
-    return F.shiftright(F.col(turn).cast("bigint"), bits)
 
+def conversation_sizes(lines: DataFrame, conv: str, turn: str) -> DataFrame:
+    """``(conv, n_turns, weight, first, last)`` of conversations of two lines or more; ``weight`` counts the block's characters.
 
-def split_long(df: DataFrame, conv: str, turn: str, bits: int) -> tuple[DataFrame, DataFrame]:
-    """Rows of short and of long conversations. Long ones are found by a filter on ``turn`` alone."""
-    outside = (F.col(turn) < 0) | (F.col(turn) >= (1 << bits))
-    long_ids = df.filter(outside).select(conv).distinct()
-    return df.join(long_ids, conv, "left_anti"), df.join(long_ids, conv, "left_semi")
+    Only these numbers are gathered, and they are combined before the shuffle.
+    """
+    chars = F.sum(F.length("line")) + F.count("*") + F.lit(len(CONVERSATION_HEAD) + 1)
+    sizes = lines.groupBy(conv).agg(
+        F.count("*").alias("n_turns"), chars.alias("weight"), F.min(turn).alias("first"), F.max(turn).alias("last")
+    )
+    return sizes.filter(F.col("n_turns") >= 2)
 
 
-def conversation_blocks(
-    df: DataFrame, conv: str, turn: str, speaker: Column, text: Column, *, bits: int = PIECE_BITS
-) -> DataFrame:
-    """Conversation blocks ``(conv, piece, n_turns, weight, block)``; fewer than two non-empty turns: none.
+def conversation_parts(lines: DataFrame, sizes: DataFrame, conv: str, turn: str) -> DataFrame:
+    """Lines as ``(conv, turn, part)``: the parts of a conversation in the order of ``turn`` make up its block.
 
-    A short conversation is one piece. A long one comes in pieces of at most ``2**bits`` turns
-    whose texts, in piece order, make up the block; ``weight``, the characters of the whole
-    block, stands on its first piece and is 0 on the others.
+    Lines stay rows, so a conversation of any length is written by many tasks; see ``sinks.write_lines``.
     """
-    short, long = (
-        non_null(part, conv, turn, _line=turn_line(F.col("_speaker"), F.col("_text")))
-        for part in split_long(df.select(conv, turn, speaker.alias("_speaker"), text.alias("_text")), conv, turn, bits)
+    head = F.when(F.col(turn) == F.col("first"), F.lit(CONVERSATION_HEAD)).otherwise(F.lit(""))
+    tail = F.when(F.col(turn) == F.col("last"), F.lit("\n\n")).otherwise(F.lit("\n"))
+    joined = lines.join(sizes.select(conv, "first", "last"), conv)
+    return joined.select(conv, turn, F.concat(head, "line", tail).alias("part"))
+
+
+def conversation_blocks(df: DataFrame, conv: str, turn: str, speaker: Column, text: Column) -> DataFrame:
+    """Whole blocks ``(conv, n_turns, weight, block)``, one row per conversation of two non-empty turns or more."""
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct(turn, "line"))), lambda x: x["line"])
+    gathered = conversation_lines(df, conv, turn, speaker, text).groupBy(conv).agg(ordered.alias("_lines"))
+    blocks = gathered.filter(F.size("_lines") >= 2).select(
+        conv, F.size("_lines").cast("bigint").alias("n_turns"), conversation_text(F.col("_lines")).alias("block")
     )
-    ordered = F.transform(F.sort_array(F.collect_list(F.struct(turn, "_line"))), lambda x: x["_line"])
-
-    n_chars = F.sum(F.length("_line")) + F.count("*") + F.lit(len("[CONVERSATION]\n") + 1)
-
-    whole = (
-        short.groupBy(conv)
-        .agg(ordered.alias("_lines"), F.count("*").alias("n_turns"), n_chars.alias("weight"))
-        .filter(F.col("n_turns") >= 2)
-        .select(
-            conv, F.lit(0).cast("bigint").alias("piece"), "n_turns", "weight",
-            conversation_text(F.col("_lines")).alias("block"),
-        )
-    )
-
-    keyed = long.withColumn("piece", _piece(turn, bits))
-    spans = (
-        keyed.groupBy(conv)
-        .agg(
-            F.min("piece").alias("_first"), F.max("piece").alias("_last"),
-            F.count("*").alias("_all"), n_chars.alias("_chars"),
-        )
-        .filter(F.col("_all") >= 2)
-    )
-    body = F.array_join(F.col("_lines"), "\n")
-    is_first = F.col("piece") == F.col("_first")
-    head = F.when(is_first, F.lit("[CONVERSATION]\n")).otherwise(F.lit(""))
-    tail = F.when(F.col("piece") == F.col("_last"), F.lit("\n\n")).otherwise(F.lit("\n"))
-    pieces = (
-        keyed.groupBy(conv, "piece")
-        .agg(ordered.alias("_lines"), F.count("*").alias("n_turns"))
-        .join(spans, conv)
-        .select(
-            conv, "piece", "n_turns", F.when(is_first, F.col("_chars")).otherwise(F.lit(0)).alias("weight"),
-            F.concat(head, body, tail).alias("block"),
-        )
-    )
-    return whole.unionByName(pieces)
-
-
-def turn_pairs(
-    df: DataFrame, conv: str, turn: str, text: str, *, bits: int = PIECE_BITS
-) -> DataFrame:
+    return blocks.select(conv, "n_turns", F.length("block").cast("bigint").alias("weight"), "block")
+
+
+def turn_pairs(df: DataFrame, conv: str, turn: str, text: str) -> DataFrame:
     """Overlapping pairs of adjacent turns ``(conv, turn, question, answer)``, both non-empty."""
-    rows = df.select(conv, turn, text)
-    short, long = split_long(rows, conv, turn, bits)
-    w = W.partitionBy(conv).orderBy(turn)
-    near = short.withColumn("_next", F.lead(text).over(w))
-
-    # The first turn of each piece is copied to the end of the piece before it.
-    keyed = long.withColumn("_piece", _piece(turn, bits)).withColumn("_copy", F.lit(False))
-    links = (
-        keyed.groupBy(conv, "_piece")
-        .agg(F.min(turn).alias(turn))
-        .withColumn("_before", F.lag("_piece").over(W.partitionBy(conv).orderBy("_piece")))
-        .filter(F.col("_before").isNotNull())
-        .select(conv, turn, "_before")
-    )
-    copies = (
-        rows.join(links, [conv, turn])
-        .withColumnRenamed("_before", "_piece")
-        .withColumn("_copy", F.lit(True))
-    )
-    wp = W.partitionBy(conv, "_piece").orderBy(turn)
-    far = (
-        keyed.unionByName(copies)
-        .withColumn("_next", F.lead(text).over(wp))
-        .filter(~F.col("_copy"))
-        .drop("_piece", "_copy")
-    )
-    pairs = near.unionByName(far)
-    return pairs.filter((F.col(text) != "") & (F.col("_next") != "")).select(
-        conv, turn, F.col(text).alias("question"), F.col("_next").alias("answer")
-    )
+    following = F.lead(text).over(W.partitionBy(conv).orderBy(turn))
+    pairs = df.select(conv, turn, F.col(text).alias("question"), following.alias("answer"))
+    return pairs.filter((F.col("question") != "") & (F.col("answer") != ""))
 
 
 def alternate(texts: Column) -> Column:

@@ -1,8 +1,7 @@
 """Order, cap, cut and report text blocks of many sources.
 
-A block table has ``domain, source, row_key, piece, weight, block``. ``(source, row_key)``
-identifies a block; only a very long conversation has more than one piece, and then ``weight``,
-the characters of the whole block, stands on the first piece and is 0 on the others.
+A block table has ``domain, source, row_key, weight, block``; ``(source, row_key)`` identifies a block and ``weight`` is its length
+in characters. Budgets are decided on a written table of keys and weights; texts are rendered again for the chosen keys alone.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions.text import non_null
-from textmill.operators.prefix import HASH_SHIFTS, hash_int, shuffle_key, take_budget, take_until
+from textmill.operators.prefix import hash_int, shuffle_key, take_budget, take_until
 from textmill.session import cut_lineage
 
 # The seed of the shuffle and the character budgets.
@@ -22,12 +21,11 @@ BUDGET_WRITING = 8_000_000
 
 
 def as_blocks(df: DataFrame, domain: Column, source: Column, row_key: Column, block: Column) -> DataFrame:
-    """A block table of one-piece blocks; rows with a null block are dropped."""
+    """A block table; rows with a null block are dropped."""
     keys = domain.alias("domain"), source.alias("source"), row_key.cast("string").alias("row_key")
     return non_null(df, *keys, block=block).select(
-        "domain", "source", "row_key", F.lit(0).cast("bigint").alias("piece"),
-        F.length("block").cast("bigint").alias("weight"), "block",
-    )
+        "domain", "source", "row_key", F.length("block").cast("bigint").alias("weight"), "block"
+    )
 
 
 def seeded_order(blocks: DataFrame, seed: int = SEED) -> DataFrame:
@@ -37,42 +35,52 @@ def seeded_order(blocks: DataFrame, seed: int = SEED) -> DataFrame:
     )
 
 
-def char_budget(blocks: DataFrame, budget: int, seed: int = SEED) -> DataFrame:
-    """Blocks in shuffled order until the first that does not fit; adds ``running``.
+def char_budget(blocks: DataFrame, budget: int, seed: int = SEED, sizes: DataFrame | None = None) -> DataFrame:
+    """Blocks in shuffled order until the first that does not fit; adds ``ord``, ``ord_key`` and ``running``.
 
-    Only first pieces are counted; further pieces follow the decision on their block.
+    ``sizes`` has (source, row_key, weight) of the blocks that take part, if a narrower table than ``blocks`` is at hand.
     """
-    ordered = seeded_order(blocks, seed)
-    firsts = take_budget(
-        ordered.filter(F.col("weight") > 0), F.col("weight"), budget, "ord_key",
-        ties=["ord", "source", "row_key"], shifts=HASH_SHIFTS,
-    )
-    decided = firsts.select("source", "row_key", "running")
-    rest = ordered.filter(F.col("weight") == 0).join(decided, ["source", "row_key"])
-    return firsts.unionByName(rest)
+    narrow = cut_lineage(seeded_order((blocks if sizes is None else sizes).select("source", "row_key", "weight"), seed))
+    chosen = take_budget(narrow, F.col("weight"), budget, "ord_key", ties=["ord", "source", "row_key"])
+    chosen = cut_lineage(chosen.select("source", "row_key", "running"))
+    last = chosen.agg(F.max(shuffle_key(seed, F.col("source"), F.col("row_key"))).alias("ord")).first()["ord"]
+    # The order is known from the keys, so later blocks leave before they are rendered.
+    near = seeded_order(blocks, seed).filter(F.col("ord") <= F.lit(last))
+    return near.join(chosen, ["source", "row_key"])
 
 
-def saturating_budget(
-    rows: DataFrame, limit: int, *, source_ord: str, row_ord: str, block: str = "block", checked: Column | None = None
+def saturating_sizes(
+    sizes: DataFrame, limit: int, *, source_ord: str, row_ord: str, size: str, checked: Column | None = None
 ) -> DataFrame:
-    """Read ordered sources until ``limit`` characters are met; returns the rows with a block.
+    """Of a narrow table of all rows, those that are read until ``limit`` characters are met.
 
-    A source stops after the row that reaches the limit, so each later one still gives its first
-    row. Rows with a null block are read and add nothing. Sources not ``checked`` are read whole.
-    The table of first rows is written, so that its size decides how it is joined.
+    A source stops after the row that reaches the limit, so each later one still gives its first row. Sources not
+    ``checked`` are read whole.
     """
-    firsts = cut_lineage(rows.groupBy(source_ord).agg(F.min(row_ord).alias("_first")))
-    marked = rows.join(firsts, source_ord)
+    firsts = cut_lineage(sizes.groupBy(source_ord).agg(F.min(row_ord).alias("_first")))
+    marked = sizes.join(firsts, source_ord)
     always = F.col(row_ord) == F.col("_first")
     if checked is not None:
         always = always | ~checked
-    size = F.coalesce(F.length(block), F.lit(0))
-    read = take_until(marked, size, limit, row_ord, major=source_ord, always=always)
-    return read.filter(F.col(block).isNotNull()).drop("_first")
+    read = take_until(marked, F.coalesce(size, F.lit(0)), limit, row_ord, major=source_ord, always=always)
+    return read.drop("_first")
+
+
+def saturating_budget(
+    rows: DataFrame, limit: int, *, source_ord: str, row_ord: str, block: str = "block", checked: Column | None = None
+) -> DataFrame:
+    """Read ordered sources until ``limit`` characters are met; returns the rows with a block.
+
+    Rows with a null block are read and add nothing. What is read is decided on a written table of lengths.
+    """
+    keys = rows.select(source_ord, row_ord, F.length(block).alias("_chars"), (F.lit(True) if checked is None else checked).alias("_checked"))
+    read = saturating_sizes(cut_lineage(keys), limit, source_ord=source_ord, row_ord=row_ord, size="_chars", checked=F.col("_checked"))
+    chosen = read.filter(F.col("_chars").isNotNull()).select(source_ord, row_ord)
+    return rows.join(chosen, [source_ord, row_ord], "left_semi")
 
 
 def report(blocks: DataFrame) -> DataFrame:
     """Examples and characters per source, per domain and in total (null names a total)."""
     return blocks.rollup("domain", "source").agg(
-        F.sum(F.when(F.col("weight") > 0, 1).otherwise(0)).alias("examples"), F.sum("weight").alias("chars")
+        F.count("weight").alias("examples"), F.sum("weight").alias("chars")
     )

@@ -6,6 +6,10 @@ vocabulary size, whatever the size of the corpus. Context and next are token cha
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -23,22 +27,47 @@ MIN_TEMPERATURE = 1e-5
 STEPS_PER_CHECKPOINT = 8
 
 
-def next_counts(df: DataFrame, tokens: str) -> DataFrame:
-    """``(ctx, nxt, n)`` with character codes of neighbours."""
+def _count_runs(order: int):
+    """Runs of ``order + 1`` tokens of a row, summed per Arrow batch."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+            ends = np.cumsum([len(t) for t in texts])
+            starts = np.arange(max(0, len(codes) - order))
+            starts = starts[starts + order < ends[np.searchsorted(ends, starts, "right")]] if len(starts) else starts
+            runs, n = np.unique(codes[starts[:, None] + np.arange(order + 1)], axis=0, return_counts=True)
+            ctx = [r.tobytes().decode("utf-32-le") for r in np.ascontiguousarray(runs[:, :-1])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ctx, pa.string()), pa.array(runs[:, -1].astype(np.int32)), pa.array(n)], names=["ctx", "nxt", "n"]
+            )
+
+    return count
+
+
+def next_counts(df: DataFrame, tokens: str, order: int = 1) -> DataFrame:
+    """``(ctx, nxt, n)``: character codes of neighbours, for a longer context its text before the next code.
+
+    Counted per Arrow batch before the shuffle, whatever the order.
+    """
+    if order > 1:
+        data = df.filter(F.length(tokens) > order).select(tokens)
+        return data.mapInArrow(_count_runs(order), "ctx string, nxt int, n bigint").groupBy("ctx", "nxt").agg(F.sum("n").alias("n"))
     return pair_counts(df, tokens).select(F.col("a").alias("ctx"), F.col("b").alias("nxt"), "n")
 
 
-def lm_fit(df: DataFrame, tokens: str, *, vocab_size: int, add_k: float = 1.0) -> DataFrame:
+def lm_fit(df: DataFrame, tokens: str, *, vocab_size: int, add_k: float = 1.0, order: int = 1) -> DataFrame:
     """``(ctx, nxt, n, ctx_n, logp)`` with add-k smoothing. Contexts hold at most ``vocab_size`` rows."""
-    counts = next_counts(df, tokens)
+    counts = next_counts(df, tokens, order)
     total = F.sum("n").over(W.partitionBy("ctx"))
     logp = F.ln((F.col("n") + F.lit(add_k)) / (F.col("ctx_n") + F.lit(add_k * vocab_size)))
     return counts.withColumn("ctx_n", total).withColumn("logp", logp)
 
 
-def lm_eval(model: DataFrame, df: DataFrame, tokens: str, *, vocab_size: int, add_k: float = 1.0) -> DataFrame:
+def lm_eval(model: DataFrame, df: DataFrame, tokens: str, *, vocab_size: int, add_k: float = 1.0, order: int = 1) -> DataFrame:
     """``(n_pairs, loss)``: mean cross-entropy. Pairs are counted first, so the join is vocabulary-sized."""
-    held = next_counts(df, tokens).withColumnRenamed("n", "_m")
+    held = next_counts(df, tokens, order).withColumnRenamed("n", "_m")
     contexts = model.select("ctx", "ctx_n").distinct()
     scored = held.join(contexts, "ctx", "left").join(model.select("ctx", "nxt", "logp"), ["ctx", "nxt"], "left")
     unseen = F.ln(F.lit(add_k) / (F.coalesce("ctx_n", F.lit(0)) + F.lit(add_k * vocab_size)))

@@ -1,13 +1,14 @@
 """Running totals, caps and budgets without a global window.
 
-Rows carry an integer order ``key`` that is unique within their group. The key's high bits are
-the row's bucket, so a bucket of a source order never holds more than ``2**shift`` rows, whatever
-the skew. Bucket totals are summed up level by level, each level in windows of bounded size, and
-every bucket then gets its offset as one extra header row. One shuffle of the data, no join.
+Rows carry an integer order ``key`` that is unique within their group. The key's high bits are the row's bucket; how many low bits
+a bucket spans is read from the keys, so that row numbers, time stamps and hashes alike give buckets of some
+thousand rows. Bucket totals are summed up level by level, each in windows of at most 1,024 buckets, and every bucket then gets its
+offset as one extra header row. One shuffle of the data, no join.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,10 +17,29 @@ from pyspark.sql import functions as F
 
 from textmill.session import cut_lineage
 
-# Source order: 1,024 rows to a bucket, then 1,024 buckets to the next level.
-ORDER_SHIFTS = (10, 20)
-# Hash order: a 60-bit key cut into 65,536 even buckets.
-HASH_SHIFTS = (44,)
+# Rows of a bucket where keys are densest, and bits from one level to the next.
+BUCKET_ROWS = 2048
+LEVEL_BITS = 10
+_QUANTILES = 256
+
+
+def key_shifts(df: DataFrame, key: str) -> tuple[int, ...]:
+    """Bits below the bucket for each level, from one small aggregate over the keys.
+
+    The densest of _QUANTILES equal shares of the rows decides the finest level; levels go up until one window holds the rest.
+    """
+    k = F.col(key).cast("bigint")
+    at = [i / _QUANTILES for i in range(_QUANTILES + 1)]
+    found = df.agg(F.percentile_approx(k, at, 10 * _QUANTILES).alias("q"), F.min(k).alias("lo"), F.max(k).alias("hi"), F.count(k).alias("n")).first()
+    if not found["n"]:
+        return (0,)
+    q = sorted({found["lo"], *found["q"], found["hi"]})
+    gap = min((b - a for a, b in zip(q, q[1:], strict=False)), default=1)
+    shift = max(0, math.floor(math.log2(max(1.0, BUCKET_ROWS * gap * _QUANTILES / found["n"]))))
+    shifts = [min(shift, 62)]
+    while (found["hi"] >> shifts[-1]) - (found["lo"] >> shifts[-1]) >= 1 << LEVEL_BITS:
+        shifts.append(shifts[-1] + LEVEL_BITS)
+    return tuple(shifts)
 
 
 def shuffle_key(seed: int, *cols: Column) -> Column:
@@ -96,26 +116,28 @@ def _accumulate(
 
 def running_total(
     df: DataFrame, size: Column, key: str, *, group: Sequence[str] = (), major: str | None = None,
-    ties: Sequence[str] = (), shifts: Sequence[int] = ORDER_SHIFTS, out: str = "running",
+    ties: Sequence[str] = (), shifts: Sequence[int] | None = None, out: str = "running",
 ) -> DataFrame:
     """Inclusive running total of ``size`` within ``group`` in the order (``major``, ``key``).
 
     Equal to a plain ordered window; ``major`` is a short leading order column such as the
     position of a source.
     """
+    shifts = shifts or key_shifts(df, key)
     off = bucket_offsets(df, size, key, group, shifts, major)
     return _accumulate(df, off, size, key, group, shifts, major, ties, out)
 
 
 def take_budget(
     df: DataFrame, size: Column, budget: int, key: str, *, ties: Sequence[str] = (),
-    shifts: Sequence[int] = HASH_SHIFTS, out: str = "running",
+    shifts: Sequence[int] | None = None, out: str = "running",
 ) -> DataFrame:
     """Rows in order up to the first that would pass ``budget``.
 
     A first job sums the buckets. The last one that can hold such a row is a single number, so in
     the second pass all later rows leave at the scan and only the chosen part is shuffled.
     """
+    shifts = shifts or key_shifts(df, key)
     off = bucket_offsets(df, size, key, (), shifts, None)
     bucket = f"_b{shifts[0]}"
     open_buckets = cut_lineage(off.filter(F.col("_off") < budget))
@@ -127,13 +149,14 @@ def take_budget(
 
 def take_until(
     df: DataFrame, size: Column, limit: int, key: str, *, major: str, always: Column,
-    shifts: Sequence[int] = ORDER_SHIFTS,
+    shifts: Sequence[int] | None = None,
 ) -> DataFrame:
     """Rows before which the total is still below ``limit``, plus the rows marked ``always``.
 
     A first job sums the buckets; rows beyond the last open one leave before the shuffle unless
     they are marked.
     """
+    shifts = shifts or key_shifts(df, key)
     off = bucket_offsets(df, size, key, (), shifts, major)
     open_buckets = cut_lineage(off.filter(F.col("_off") < limit))
     bucket = f"_b{shifts[0]}"
@@ -148,13 +171,14 @@ def take_until(
 
 def take_first(
     df: DataFrame, n: int, key: str, *, group: Sequence[str] = (), major: str | None = None,
-    shifts: Sequence[int] = ORDER_SHIFTS,
+    shifts: Sequence[int] | None = None,
 ) -> DataFrame:
     """The first ``n`` rows of every group in order.
 
     A first job counts the buckets. Those that start at or beyond the cap stay out of the shuffle:
     the limit is a single value, or one row per group.
     """
+    shifts = shifts or key_shifts(df, key)
     off = bucket_offsets(df, F.lit(1), key, group, shifts, major)
     open_buckets = cut_lineage(off.filter(F.col("_off") < n))
     levels = _levels(key, shifts, major)
@@ -170,6 +194,21 @@ def take_first(
     return done.filter(F.col("_rank") <= n).drop("_rank")
 
 
+def take_while(
+    df: DataFrame, counts: Column, n: int, key: str, *, major: str | None = None, shifts: Sequence[int] | None = None
+) -> DataFrame:
+    """Rows in order up to the ``n``-th that counts, and those before it; all rows when fewer count."""
+    shifts = shifts or key_shifts(df, key)
+    one = F.coalesce(counts, F.lit(False)).cast("bigint")
+    off = bucket_offsets(df, one, key, (), shifts, major)
+    open_buckets = cut_lineage(off.filter(F.col("_off") < n))
+    levels = _levels(key, shifts, major)
+    names = (["_major"] if major is not None else []) + [next(iter(levels))]
+    near = df.filter(F.struct(*[levels[x].alias(x) for x in names]) <= _last_bucket(open_buckets, names))
+    done = _accumulate(near, open_buckets, one, key, (), shifts, major, (), "_count")
+    return done.filter(F.col("_count") - one < n).drop("_count")
+
+
 def _last_bucket(open_buckets: DataFrame, names: Sequence[str]) -> Column:
     """The greatest open bucket as a literal struct; null, which keeps nothing, when there is none."""
     row = open_buckets.agg(F.max(F.struct(*names)).alias("m")).first()["m"]

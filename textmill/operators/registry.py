@@ -20,8 +20,25 @@ def default_description(tokenizer_type: Column, n_chars: Column) -> Column:
     return F.concat(kind, F.when(F.coalesce(n_chars, F.lit(0)) > 0, trained).otherwise(F.lit(" model.")))
 
 
+# The descriptions a saved run gets when it brings none.
+SAVED_CHARS = ("Character-level GPT trained on ", " characters of text.")
+SAVED_PLAIN = "Character-level GPT trained from scratch."
+
+
+def saved_description(n_chars: Column) -> Column:
+    """Description written with a run that brings none; ``n_chars`` is null or 0 where it is not known."""
+    return F.when(
+        F.coalesce(n_chars, F.lit(0)) > 0, F.concat(F.lit(SAVED_CHARS[0]), F.format_number(n_chars, 0), F.lit(SAVED_CHARS[1]))
+    ).otherwise(F.lit(SAVED_PLAIN))
+
+
 def upsert_runs(old: DataFrame, new: DataFrame, now: Column) -> DataFrame:
-    """New rows replace old ones of the same folder; the first ``created_at`` stays."""
+    """New rows replace old ones of the same folder; the first ``created_at`` stays.
+
+    ``new`` may have ``dataset_chars`` for the description of runs that bring none.
+    """
+    n_chars = F.col("dataset_chars") if "dataset_chars" in new.columns else F.lit(None).cast("bigint")
+    new = new.withColumn("description", F.coalesce("description", saved_description(n_chars))).drop("dataset_chars")
     kept = old.select(*[F.col(c).alias(f"_o_{c}") for c in old.columns])
     both = kept.join(new, F.col("_o_folder") == F.col("folder"), "full_outer")
     fresh = F.col("folder").isNotNull()

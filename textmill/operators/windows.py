@@ -6,18 +6,18 @@ Documents stand one after the other in the order of an integer key; their offset
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions.text import let
 from textmill.functions.tokens import packed, packed_slice
-from textmill.operators.prefix import ORDER_SHIFTS, hash_int, running_total, shuffle_key
+from textmill.operators.prefix import hash_int, running_total, shuffle_key
 
 
-def with_offsets(df: DataFrame, tokens: str, order: str, shifts: tuple[int, ...] = ORDER_SHIFTS) -> DataFrame:
+def with_offsets(df: DataFrame, tokens: str, order: str) -> DataFrame:
     """Adds ``n_tokens`` and the document's first position ``start`` in the stream."""
     sized = df.withColumn("n_tokens", F.length(tokens).cast("bigint"))
-    total = running_total(sized, F.col("n_tokens"), order, shifts=shifts, out="_end")
+    total = running_total(sized, F.col("n_tokens"), order, out="_end")
     return total.withColumn("start", F.col("_end") - F.col("n_tokens")).drop("_end")
 
 
@@ -68,18 +68,21 @@ def pack_blocks(df: DataFrame, tokens: str, order: str, block: int) -> DataFrame
     )
 
 
-def sample_windows(
-    blocks: DataFrame, n: Column, block: int, *, seed: int, step: Column, slot: Column
-) -> DataFrame:
-    """One random window per row of ``blocks``: ``(step, slot, start, x, y)`` token strings.
+def draw_table(spark: SparkSession, steps: int, batch: int) -> DataFrame:
+    """The draws of a training run: ``batch`` slots in each of ``steps`` steps."""
+    i = F.col("id")
+    return spark.range(steps * batch).select(F.expr(f"id div {batch}").alias("step"), (i % batch).alias("slot"))
 
-    ``blocks`` are the packed blocks of a stream of ``n`` tokens; ``step`` and ``slot`` number the
-    draws. Starts lie in [0, n - block - 1), so the last possible start is never drawn, and a
+
+def sample_windows(blocks: DataFrame, n: Column, block: int, *, seed: int, draws: DataFrame) -> DataFrame:
+    """One random window per draw: ``(step, slot, start, x, y)`` token strings.
+
+    ``blocks`` are the packed blocks of a stream of ``n`` tokens; ``draws`` has ``(step, slot)``, see ``draw_table``. Starts lie in [0, n - block - 1), so the last possible start is never drawn, and a
     stream of ``block + 1`` tokens or fewer gives none. y is x moved by one token.
     """
     room = n - block - 1
     draws = (
-        blocks.select(step.alias("step"), slot.alias("slot"))
+        draws.select("step", "slot")
         .filter(room > 0)
         .withColumn("start", F.pmod(hash_int(shuffle_key(seed, F.col("step"), F.col("slot"))), room))
     )

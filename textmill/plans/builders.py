@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from textmill.functions.render import document_block
 from textmill.operators import mixture as M
+from textmill.operators.prefix import take_while
 from textmill.plans import recipes as P
+from textmill.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -59,60 +61,66 @@ def build_corpus(
     if not used:
         raise ValueError(f"no source of {name} can be read")
     if corpus.saturating:
-        blocks = _read_until_full(used, limit)
-    else:
-        blocks = union_blocks([P.render(r, df) for r, df in used])
+        return _read_until_full(used, limit, seed)
+    blocks = union_blocks([P.render(r, df) for r, df in used])
     return M.char_budget(blocks, limit, seed)
 
 
-def _read_until_full(used: list[tuple[P.Recipe, DataFrame]], limit: int) -> DataFrame:
-    """Document sources in order, each read until the corpus is full.
+def _documents(used: list[tuple[P.Recipe, DataFrame]]) -> DataFrame:
+    """All rows that document sources may read, in order; those that fail the filter have a null block.
 
-    Rows that fail the filter are read too, so they stay in the order with a null block. Only
-    sources with a cap drop them before, as the cap stops the reading.
+    They are read too, so they stay in the order. Only sources with a cap stop by the rows kept.
     """
     parts = []
     for i, (r, df) in enumerate(used):
+        df = P.of_split(r, df)
         c = P.Fields(df)
         kept = F.when(r.keep(c), document_block(r.text(c), r.min_chars))
-        rows = df if r.cap is None else _until_cap(r, df)
+        rows = df if r.cap is None else take_while(df, r.keep(c), r.cap, "row_id", major=P.split_order(df))
         parts.append(
             rows.select(
-                F.lit(r.domain).alias("domain"), F.lit(r.key + ":" + r.source).alias("source"),
-                F.col("row_id").cast("string").alias("row_key"), F.lit(0).cast("bigint").alias("piece"),
-                F.length(kept).cast("bigint").alias("weight"), kept.alias("block"),
-                F.lit(i).alias("source_ord"), F.col("row_id").alias("row_ord"), F.lit(r.checked).alias("checked"),
+                F.lit(r.domain).alias("domain"), F.lit(r.key + ":" + r.source).alias("source"), P.row_key(df).alias("row_key"),
+                kept.alias("block"), F.lit(i).alias("source_ord"), F.col("row_id").alias("row_ord"), F.lit(r.checked).alias("checked"),
             )
         )
-    full = M.saturating_budget(
-        union_blocks(parts), limit, source_ord="source_ord", row_ord="row_ord", checked=F.col("checked")
+    return union_blocks(parts)
+
+
+def read_until_full(used: list[tuple[P.Recipe, DataFrame]], limit: int) -> tuple[DataFrame, DataFrame]:
+    """All documents, and the sizes (source, row_key, weight) of those read before the corpus is full."""
+    rows = _documents(used)
+    keys = ["source", "row_key", "source_ord", "row_ord", "checked"]
+    sizes = cut_lineage(rows.select(*keys, F.length("block").cast("bigint").alias("weight")))
+    read = M.saturating_sizes(
+        sizes, limit, source_ord="source_ord", row_ord="row_ord", size="weight", checked=F.col("checked")
     )
-    return full.drop("source_ord", "row_ord", "checked")
+    blocks = rows.withColumn("weight", F.length("block").cast("bigint")).select("domain", "source", "row_key", "weight", "block")
+    return blocks, read.filter(F.col("weight").isNotNull()).select("source", "row_key", "weight")
 
 
-def _until_cap(r: P.Recipe, df: DataFrame) -> DataFrame:
-    """Rows up to the one that fills the cap: those kept, and the others read before it."""
-    kept = P.chosen_rows(r, df)
-    last = kept.agg(F.max("row_id")).scalar()
-    short = kept.agg(F.count("*")).scalar() < r.cap
-    return df.filter(short | (F.col("row_id") <= last))
+def _read_until_full(used: list[tuple[P.Recipe, DataFrame]], limit: int, seed: int) -> DataFrame:
+    blocks, sizes = read_until_full(used, limit)
+    return M.char_budget(blocks, limit, seed, sizes)
 
 
-def source_report(name: str, frames: Mapping[str, DataFrame | None]) -> DataFrame:
-    """``(source, attempted, kept)``: rows a recipe counts and blocks that come of them.
+def source_report(name: str, frames: Mapping[str, DataFrame | None], limit: int | None = None) -> DataFrame:
+    """``(source, attempted, kept)``: rows a recipe counts and blocks that come of them, zeros included.
 
-    The two differ, as cleaning can empty a counted row.
+    The two differ, as cleaning can empty a counted row. Document sources are counted as far as they are read before the corpus is full.
     """
+    corpus = CORPORA[name]
+    used = [(r, frames[r.key]) for r in corpus.recipes if frames.get(r.key) is not None]
+    zero = F.lit(0).cast("bigint")
     parts = []
-    for r in CORPORA[name].recipes:
-        df = frames.get(r.key)
-        if df is None:
-            continue
+    if corpus.saturating:
+        _, sizes = read_until_full(used, corpus.budget if limit is None else limit)
+        parts.append(sizes.groupBy("source").agg(F.count("*").alias("kept")).select("source", zero.alias("attempted"), "kept"))
+    for r, df in used:
         label = F.lit(r.key + ":" + r.source).alias("source")
-        kept = P.render(r, df).agg(F.sum(F.when(F.col("weight") > 0, 1).otherwise(0)).alias("n"))
         tried = P.chosen_rows(r, df).agg(F.count("*").alias("n"))
-        zero = F.lit(0).cast("bigint")
         parts.append(tried.select(label, F.col("n").alias("attempted"), zero.alias("kept")))
-        parts.append(kept.select(label, zero.alias("attempted"), F.coalesce("n", zero).alias("kept")))
-    both = union_blocks(parts)
+        if not corpus.saturating:
+            kept = P.render(r, df).agg(F.count("weight").alias("n"))
+            parts.append(kept.select(label, zero.alias("attempted"), "n"))
+    both = union_blocks([p.toDF("source", "attempted", "kept") for p in parts])
     return both.groupBy("source").agg(F.sum("attempted").alias("attempted"), F.sum("kept").alias("kept"))

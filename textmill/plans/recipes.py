@@ -34,6 +34,9 @@ class Fields:
     def kind(self, name: str) -> type:
         return type(self._schema[name].dataType) if name in self._schema.names else T.NullType
 
+    def integer(self, name: str) -> bool:
+        return issubclass(self.kind(name), T.IntegralType)
+
     def part(self, name: str, field: str, dtype: str = "array<string>") -> Column:
         """A struct's field, null when the column or the field is absent."""
         if self.kind(name) is T.StructType and field in self._schema[name].dataType.names:
@@ -93,7 +96,7 @@ def _numbered(value: Column) -> Column:
 
 
 def _indexed(c: Fields) -> Column:
-    return R.joined_parts(R.present(c.lecture), R.indexed_answer(c.answer, c.listed("choices")))
+    return R.joined_parts(R.present(c.lecture), R.indexed_answer(c.answer, c.listed("choices"), c.integer("answer")))
 
 
 def _rationale(name: str) -> Callable[[Fields], Column]:
@@ -166,7 +169,7 @@ KNOWLEDGE = [
            question=lambda c: c.text, answer=lambda c: F.lit(R.COMPLETE_ANSWER)),
     Recipe("K3", "scienceqa", "knowledge", split="train", keep=lambda c: ~is_missing(c.question),
            question=lambda c: R.choices_inline(c.question, c.listed("choices")),
-           answer=lambda c: R.indexed_sentence(c.answer, c.listed("choices"))),
+           answer=lambda c: R.indexed_sentence(c.answer, c.listed("choices"), c.integer("answer"))),
     Recipe("K4", "arc_challenge", "knowledge", split="train",
            keep=lambda c: ~is_missing(c.question) & c.choices.isNotNull(),
            question=lambda c: R.choices_labelled(c.question, *_choice_table(c), "\n"), answer=_answer_key),
@@ -246,26 +249,26 @@ LANGUAGE = [
 ]
 
 FACTS = [
-    Recipe("F1", "wikipedia", "facts", min_chars=40, keep=lambda c: ~is_missing(c.text),
+    Recipe("F1", "wikipedia", "facts", split="train", min_chars=40, keep=lambda c: ~is_missing(c.text),
            text=lambda c: titled(c.title, c.text)),
-    Recipe("F2", "open_web_math", "facts", min_chars=40, cap=50_000, keep=lambda c: ~is_missing(c.text),
+    Recipe("F2", "open_web_math", "facts", split="train", min_chars=40, cap=50_000, keep=lambda c: ~is_missing(c.text),
            text=lambda c: c.text),
-    Recipe("F3", "scitldr", "facts", min_chars=40, cap=20_000,
+    Recipe("F3", "scitldr", "facts", split="train", min_chars=40, cap=20_000,
            keep=lambda c: ~is_empty_list(c.source) if c.kind("source") is T.ArrayType else ~is_missing(c.source),
            text=lambda c: _joined(c, "source", " ")),
-    Recipe("F4", "openbookqa", "facts", min_chars=40, cap=10_000, checked=False, keep=lambda c: ~is_missing(c.question),
+    Recipe("F4", "openbookqa", "facts", split="train", min_chars=40, cap=10_000, checked=False, keep=lambda c: ~is_missing(c.question),
            text=lambda c: R.fact_qa(c.question, *_choice_table(c), c.answerKey)),
-    Recipe("F5", "emotion", "facts", min_chars=40, cap=20_000, keep=lambda c: ~is_missing(c.text),
+    Recipe("F5", "emotion", "facts", split="train", min_chars=40, cap=20_000, keep=lambda c: ~is_missing(c.text),
            text=lambda c: c.text),
 ]
 
 WRITING = [
-    Recipe("W1", "wikipedia", "writing", min_chars=30, keep=lambda c: ~is_missing(c.text), text=lambda c: c.text),
-    Recipe("W2", "reviews", "writing", min_chars=30, cap=50_000, keep=lambda c: ~is_missing(c.text),
+    Recipe("W1", "wikipedia", "writing", split="train", min_chars=30, keep=lambda c: ~is_missing(c.text), text=lambda c: c.text),
+    Recipe("W2", "reviews", "writing", split="train", min_chars=30, cap=50_000, keep=lambda c: ~is_missing(c.text),
            text=lambda c: c.text),
-    Recipe("W3", "books", "writing", min_chars=30, cap=3_000, keep=lambda c: ~is_missing(c.text),
+    Recipe("W3", "books", "writing", split="train", min_chars=30, cap=3_000, keep=lambda c: ~is_missing(c.text),
            text=lambda c: c.text),
-    Recipe("W4", "reports", "writing", min_chars=30, cap=10_000, keep=lambda c: ~is_missing(c.report),
+    Recipe("W4", "reports", "writing", split="train", min_chars=30, cap=10_000, keep=lambda c: ~is_missing(c.report),
            text=lambda c: c.report),
 ]
 
@@ -275,25 +278,39 @@ RECIPES = {r.key: r for r in CONVERSATION + KNOWLEDGE + SCIENCE + MATH + LANGUAG
 TAGS = {"knowledge": "KNOWLEDGE", "science": "SCIENCE", "math": "MATH", "language": "LANGUAGE"}
 
 
+def of_split(recipe: Recipe, df: DataFrame) -> DataFrame:
+    """The rows of the split a recipe asks for; a source without splits is taken whole."""
+    if recipe.split is not None and "split" in df.columns:
+        return df.filter(F.col("split") == recipe.split)
+    return df
+
+
+def split_order(df: DataFrame) -> str | None:
+    return "split_ord" if "split_ord" in df.columns else None
+
+
+def row_key(df: DataFrame) -> Column:
+    """Unique in a source: row ids may repeat from split to split."""
+    split = F.col("split") if "split" in df.columns else F.lit("train")
+    return F.concat_ws(":", split, F.col("row_id").cast("string"))
+
+
 def chosen_rows(recipe: Recipe, df: DataFrame) -> DataFrame:
     """The rows a recipe counts: its split, its own filter, its cap."""
     c = Fields(df)
-    if recipe.split is not None and "split" in df.columns:
-        df = df.filter(F.col("split") == recipe.split)
-    df = df.filter(recipe.keep(c))
+    df = of_split(recipe, df).filter(recipe.keep(c))
     if recipe.cap is not None:
-        df = take_first(df, recipe.cap, "row_id", major="split_ord" if "split_ord" in df.columns else None)
+        df = take_first(df, recipe.cap, "row_id", major=split_order(df))
     return df
 
 
 def render(recipe: Recipe, df: DataFrame) -> DataFrame:
     """Block table of one source. Chosen rows that clean to nothing give no block."""
     c = Fields(df)
-    split = F.col("split") if "split" in df.columns else F.lit("train")
     rows = chosen_rows(recipe, df)
+    key = row_key(df)
     tag = TAGS.get(recipe.domain, "")
     labels = (F.lit(recipe.domain), F.lit(recipe.key + ":" + recipe.source))
-    key = F.concat_ws(":", split, F.col("row_id").cast("string"))
     if recipe.pairs is not None:
         long = rows.select(key.alias("_key"), F.posexplode(recipe.pairs(c)).alias("_i", "_p"))
         block = R.qa_block(F.col("_p.question"), F.col("_p.answer"), tag)
@@ -305,17 +322,18 @@ def render(recipe: Recipe, df: DataFrame) -> DataFrame:
     elif recipe.question is not None:
         block = R.qa_block(recipe.question(c), recipe.answer(c), tag)
     else:
-        return _utterances(recipe, rows, split, labels)
+        return _utterances(rows, labels)
     return as_blocks(rows, *labels, key, block)
 
 
-def _utterances(recipe: Recipe, rows: DataFrame, split: Column, labels: tuple[Column, Column]) -> DataFrame:
+def _utterances(rows: DataFrame, labels: tuple[Column, Column]) -> DataFrame:
     """Utterance rows, grouped per split and conversation in the order of ``turn``, or of ``row_id``."""
+    split = F.col("split") if "split" in rows.columns else F.lit("train")
     conv = F.concat_ws(":", split, F.col("conv_id").cast("string"))
     order = "turn" if "turn" in rows.columns else "row_id"
     blocks = D.conversation_blocks(
         rows.withColumn("_conv", conv), "_conv", order, person(F.col("speaker_idx")), F.col("utterance")
     )
     return blocks.select(
-        labels[0].alias("domain"), labels[1].alias("source"), F.col("_conv").alias("row_key"), "piece", "weight", "block"
+        labels[0].alias("domain"), labels[1].alias("source"), F.col("_conv").alias("row_key"), "weight", "block"
     )

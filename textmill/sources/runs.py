@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textmill.session import cut_lineage
+
 SCHEMA = (
     "name string, version int, folder string, size_tag string, num_params bigint, iteration bigint, "
     "max_iters bigint, config struct<tokenizer_type:string, vocab_size:int, n_embed:int, n_head:int, "
@@ -27,4 +29,5 @@ def read_runs(spark: SparkSession, root: str, name: str = "info.json") -> DataFr
 
 
 def write_runs(runs: DataFrame, path: str) -> None:
-    runs.write.mode("overwrite").parquet(path)
+    """Replace a stored registry; ``runs`` may have been read from the same folder, so it is written aside first."""
+    cut_lineage(runs).write.mode("overwrite").parquet(path)

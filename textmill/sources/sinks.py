@@ -8,9 +8,7 @@ from pyspark.sql import functions as F
 
 def ordered_parts(blocks: DataFrame, parts: int) -> DataFrame:
     """Blocks range-partitioned and sorted in shuffled order; the parts read one after another."""
-    return blocks.repartitionByRange(parts, "ord", "source", "row_key", "piece").sortWithinPartitions(
-        "ord", "source", "row_key", "piece"
-    )
+    return blocks.repartitionByRange(parts, "ord", "source", "row_key").sortWithinPartitions("ord", "source", "row_key")
 
 
 def write_corpus(blocks: DataFrame, path: str, *, parts: int = 200, single_file: bool = False) -> None:
@@ -26,3 +24,13 @@ def write_corpus(blocks: DataFrame, path: str, *, parts: int = 200, single_file:
 def write_blocks(blocks: DataFrame, path: str, *, parts: int = 200) -> None:
     """The same order kept as columns."""
     ordered_parts(blocks, parts).write.mode("overwrite").parquet(path)
+
+
+def write_lines(lines: DataFrame, path: str, *, parts: int = 200) -> None:
+    """Write parts of blocks ``(ord, source, row_key, turn, part)`` in order, without putting blocks together.
+
+    The text is that of ``write_corpus``; a block of any length is dealt to many tasks.
+    """
+    keys = ["ord", "source", "row_key", "turn"]
+    rows = lines.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    rows.select(F.expr("left(part, length(part) - 1)").alias("value")).write.mode("overwrite").text(path)

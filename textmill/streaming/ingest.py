@@ -2,25 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions.render import document_block
 from textmill.functions.text import non_null
+from textmill.operators.prefix import running_total
+
+
+class _Full(Exception):
+    """Ends a stream before its batch is committed."""
 
 
 def ingest(
     spark: SparkSession, folder: str, schema: str, target: str, checkpoint: str, *,
-    text: str, key: str, min_chars: int, budget: int | None = None, files_per_batch: int = 1,
+    text: str, key: str, min_chars: int, budget: int | None = None, files_per_batch: int | None = None,
 ) -> int:
     """Clean, filter and append the files of a folder; returns the characters in the table.
 
-    Each batch writes its own folder ``batch=N``, so a replayed batch replaces itself. Once the
-    table holds ``budget`` characters no further batch is taken.
+    Each batch writes its own folder ``batch=N``, so a replayed batch replaces itself. The budget ends after the row, in the
+    order of ``key`` within a batch, that reaches it. That batch is not committed: a run with a larger budget
+    takes it again, whole, and goes on with the files after it.
     """
-    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
-    blocks = non_null(source, key, block=document_block(F.col(text), min_chars))
+    stream = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        stream = stream.option("maxFilesPerTrigger", files_per_batch)
+    blocks = non_null(stream.parquet(folder), key, block=document_block(F.col(text), min_chars))
 
     def stored(without: int | None = None) -> int:
         try:
@@ -35,15 +43,22 @@ def ingest(
 
     # Summed once per run, without the batch that may be a replay, then carried on batch by batch.
     total: list[int] = []
+    full: list[int] = []
 
     def append(batch: DataFrame, number: int) -> None:
         if not total:
             total.append(stored(without=number))
-        if budget is not None and total[0] >= budget:
-            return
+        rows = batch.withColumn("n_chars", F.length("block").cast("bigint"))
+        if budget is not None:
+            left = budget - total[0]
+            rows = running_total(rows, F.col("n_chars"), key, out="_upto")
+            rows = rows.filter(F.col("_upto") - F.col("n_chars") < left).drop("_upto")
         path = f"{target}/batch={number}"
-        batch.withColumn("n_chars", F.length("block").cast("bigint")).write.mode("overwrite").parquet(path)
+        rows.write.mode("overwrite").parquet(path)
         total[0] += spark.read.parquet(path).agg(F.coalesce(F.sum("n_chars"), F.lit(0))).first()[0]
+        if budget is not None and total[0] >= budget:
+            full.append(number)
+            raise _Full(f"{total[0]} characters of {budget}")
 
     query = (
         blocks.writeStream.foreachBatch(append)
@@ -51,5 +66,9 @@ def ingest(
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+    try:
+        query.awaitTermination()
+    except StreamingQueryException:
+        if not full:
+            raise
     return stored()
