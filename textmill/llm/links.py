@@ -222,7 +222,7 @@ def classes(docs: DataFrame, linked: Callable[[DataFrame], DataFrame], text: str
 
     ``copy_of`` is the smallest key with the same text (null and empty are the same), ``n_copies`` how many have it, ``class_id``
     the smallest key of all texts connected by links, ``n_links`` how many different texts are linked to this one and ``n_link_docs``
-    how many documents have those texts. Rows with a null key are left out of classes: they are a class of their own
+    how many documents have those texts. A key that repeats with other texts is linked by the smallest. Rows with a null key are left out of classes: they are a class of their own
     each, with null numbers. Copies are told by a digest of the text, so that none is gathered anywhere.
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -230,8 +230,11 @@ def classes(docs: DataFrame, linked: Callable[[DataFrame], DataFrame], text: str
     copies = known.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n_copies"))
     member = cut_lineage(known.select("id", "digest").join(copies, "digest").select("id", "first", "n_copies"))
     first = member.where("id = first").select("id", "n_copies").distinct()
-    # Repeated rows of one key: one text stands for it.
     texts = known.select("id", "text").join(first, "id").select("id", "n_copies", "text")
+    again = cut_lineage(member.where("id = first").groupBy("id").count().where("count > 1").select("id"))
+    if not again.isEmpty():  # rows that repeat a key: the smallest text stands for it
+        one = texts.join(again, "id").groupBy("id").agg(F.max("n_copies").alias("n_copies"), F.min("text").alias("text"))
+        texts = texts.join(again, "id", "left_anti").unionByName(one)
     found = linked(texts)
     counts = found.groupBy("id").agg(F.sum("n_links").alias("n_links"), F.sum("n_docs").alias("n_link_docs"))
     facts = counts.join(components(found.select("id", "root")), "id", "left").select(F.col("id").alias("first"), "n_links", "n_link_docs", F.coalesce("top", "id").alias("class_id"))

@@ -104,7 +104,7 @@ def tokens(text: str) -> list[tuple[int, int]]:
 def _shape(span: str) -> tuple[int, ...] | None:
     """Features of the span alone; None for what can be no entity."""
     digits = _only_digits(span)
-    mail = "@" in span or bool(re.search(r"[\[( ]at[\]) ]", span))
+    mail = bool(re.search(r"@|[\[(]at[\])]|\x20at\x20.+(\x20dot\x20|\.)", span))
     if len(digits) < 7 and not mail and span.count(".") != 3:
         return None
     letters = any(c.isalpha() for c in span)

@@ -180,7 +180,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str =
     """A forest from at most about ``sample_rows`` labelled rows per class; ``labels`` has (key, label)."""
     kept = labels.where(F.col(label).isNotNull()).select(F.col(key).alias("__key"), F.col(label).cast("double").alias("__label"))
     sample = F.broadcast(bounded(kept, "__label", "__key", sample_rows))  # its size is bounded
-    rows = docs.join(sample, docs[key] == F.col("__key")).select(F.col("__label").alias("label"), F.col(text).alias("text"))
+    own = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    rows = own.join(sample, F.col("key") == F.col("__key")).select(F.col("__label").alias("label"), "text")
     found = rows.mapInArrow(_measure, "label double, " + ", ".join(f"{x} double" for x in FEATURES)).toArrow()
     table = np.column_stack([c.to_numpy() for c in found.columns]) if found.num_rows else np.zeros((0, 1 + len(FEATURES)))
     table = table[np.lexsort(table.T)]  # the same forest whatever order the rows arrive in

@@ -218,7 +218,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     """A model from at most about ``sample_rows`` labelled rows per class; ``labels`` has (key, label)."""
     kept = labels.where(F.col(label).isNotNull()).select(F.col(key).alias("__key"), F.col(label).cast("double").alias("__label"))
     sample = F.broadcast(bounded(kept, "__label", "__key", sample_rows))  # its size is bounded
-    rows = docs.join(sample, docs[key] == F.col("__key")).select(F.col("__key").alias("key"), "__label", F.coalesce(text, F.lit("")).alias("text"))
+    own = docs.select(F.col(key).alias("key"), F.coalesce(text, F.lit("")).alias("text"))
+    rows = own.join(sample, F.col("key") == F.col("__key")).select("key", "__label", "text")
     found = rows.toArrow().combine_chunks().sort_by([("key", "ascending"), ("text", "ascending")])
     column = found.column(2).combine_chunks() if found.num_rows else None
     data, offsets = flat(column) if column is not None else (np.zeros(0, np.uint8), np.zeros(1, np.int64))
