@@ -295,7 +295,10 @@ LIMITS = {
 }
 
 # recipe -> rows it counts, where a cleaned text can come out empty after the count
-SQL_TRIED = {"C2": "(SELECT * FROM conversations WHERE text <> '')", "C8": f"(SELECT * FROM {SQL_MSG} WHERE lang = 'en' AND text <> '')"}
+SQL_TRIED = {
+    "G6": "documents", "G7": "documents", "G2": "(SELECT * FROM part WHERE p_size % 4 > 1)", "C2": "(SELECT * FROM conversations WHERE text <> '')",
+    "C8": f"(SELECT * FROM {SQL_MSG} WHERE lang = 'en' AND text <> '')",
+}
 
 
 def sql_tried(name: str) -> str:

@@ -229,7 +229,7 @@ def group_dialogue(spark, sf):
     return blocks.select(parts[0].alias("split"), parts[1].cast("bigint").alias("conv_id"), "n_turns", "block")
 
 
-SQL_LONG = f"""SELECT kind, dialogue, count(*) AS n_turns, sum(length(l) + 1)::BIGINT + 16 AS weight,
+SQL_LONG = f"""SELECT kind, dialogue, sum(length(l) + 1)::BIGINT + 16 AS weight,
  md5('[CONVERSATION]' || {NL} || string_agg(l, {NL} ORDER BY o) || {NL} || {NL}) AS digest FROM (SELECT kind, dialogue, o, speaker || ': ' || t AS l FROM
  (SELECT 'merged' AS kind, conv_id % 3 AS dialogue, conv_id * 4294967296 + turn AS o, CASE role WHEN 'user' THEN 'User' ELSE 'Assistant' END AS speaker,
  {sql_clean("text")} AS t FROM conversations UNION ALL SELECT 'by row', 0, conv_id * 4294967296 + turn, 'Person' || turn % 2, {sql_clean("text")} FROM conversations)
@@ -243,10 +243,10 @@ def long_dialogue(spark, sf):
     speaker = F.when(c("role") == "user", "User").otherwise(F.lit("Assistant"))
     merged = D.conversation_blocks(rows.withColumn("dialogue", c("conv_id") % 3), "dialogue", "row_id", speaker, c("text"))
     utterances = rows.select("row_id", F.lit(0).alias("conv_id"), (c("turn") % 2).alias("speaker_idx"), c("text").alias("utterance"))
-    plain = render(RECIPES["C2"], utterances).withColumn("n_turns", F.size(F.split("block", "\n")).cast("bigint") - 3)
+    plain = render(RECIPES["C2"], utterances)
     both = [
-        merged.select(F.lit("merged").alias("kind"), c("dialogue").cast("bigint").alias("dialogue"), "n_turns", "weight", "block"),
-        plain.select(F.lit("by row").alias("kind"), F.lit(0).cast("bigint").alias("dialogue"), "n_turns", "weight", "block"),
+        merged.select(F.lit("merged").alias("kind"), c("dialogue").cast("bigint").alias("dialogue"), "weight", "block"),
+        plain.select(F.lit("by row").alias("kind"), F.lit(0).cast("bigint").alias("dialogue"), "weight", "block"),
     ]
     return both[0].unionByName(both[1]).withColumn("digest", F.md5("block")).drop("block")
 

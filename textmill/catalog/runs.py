@@ -154,13 +154,16 @@ def latest_per_name(spark, sf):
     return G.latest_per_name(*registry(spark, sf))
 
 
+SQL_DESCRIPTION = """CASE WHEN lower(tokenizer_type) = 'bpe' THEN 'Byte-pair' ELSE 'Character-level' END || CASE WHEN coalesce(dataset_chars, 0) > 0
+ THEN ' model trained on ' || format('{:,}', dataset_chars) || ' characters of text.' ELSE ' model.' END"""
+
+
 @query(
     "run_details",
     f"""SELECT folder AS name, CASE WHEN has_info THEN name ELSE folder END AS display_name, CASE WHEN has_info THEN version END AS version,
  CASE WHEN has_info THEN size_tag END AS size_tag, CASE WHEN has_info THEN iteration END AS iter, CASE WHEN has_info THEN max_iters END AS max_iters,
  CASE WHEN has_info THEN num_params END AS num_params, CASE WHEN has_info THEN updated_at END AS created_at, CASE WHEN has_info THEN updated_at END AS updated_at,
- CASE WHEN has_info THEN CASE WHEN lower(tokenizer_type) = 'bpe' THEN 'Byte-pair' ELSE 'Character-level' END || CASE WHEN coalesce(dataset_chars, 0) > 0
- THEN ' model trained on ' || format('{{:,}}', dataset_chars) || ' characters of text.' ELSE ' model.' END END AS description FROM {SQL_RUNS} WHERE has_weights""",
+ CASE WHEN has_info THEN {SQL_DESCRIPTION} END AS description FROM {SQL_RUNS} WHERE has_weights""",
 )
 def run_details(spark, sf):
     return G.run_details(*registry(spark, sf))
@@ -168,7 +171,7 @@ def run_details(spark, sf):
 
 @query(
     "upsert_runs",
-    f"SELECT folder, size_tag, CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 5 > 0 THEN CASE WHEN o_orderkey % 2 = 1 THEN 'Character-level GPT trained on ' || format('{{:,}}', o_orderkey) || ' characters of text.' ELSE 'Character-level GPT trained from scratch.' END ELSE description END AS description, "
+    f"SELECT folder, size_tag, CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 5 > 0 THEN CASE WHEN o_orderkey % 2 = 1 THEN 'Character-level GPT trained on ' || format('{{:,}}', o_orderkey) || ' characters of text.' ELSE 'Character-level GPT trained from scratch.' END ELSE {SQL_DESCRIPTION} END AS description, "
     f"CASE WHEN o_orderkey % 3 = 0 AND o_orderkey % 2 = 1 THEN iteration + 100 ELSE iteration END AS iteration, "
     f"CASE WHEN o_orderkey % 2 = 1 THEN coalesce(updated_at, CASE WHEN o_orderkey % 3 = 0 THEN '{NOW}' END) ELSE '{NOW}' END AS created_at, "
     f"CASE WHEN o_orderkey % 3 = 0 THEN '{NOW}' ELSE updated_at END AS updated_at FROM {SQL_RUNS} WHERE has_info AND (o_orderkey % 2 = 1 OR o_orderkey % 3 = 0)",
