@@ -148,17 +148,10 @@ def test_equal_byte_strings_give_the_last_id(spark):
 def test_decoding_bad_input(spark):
     tok = bpe.make_tokenizer([(97, 98)])
     df = spark.createDataFrame([([0xE2, 0x82],), ([97, 0xFF, 98],)], "i array<int>")
-    for limit in (0, 64):
-        bpe.FOLD_LIMIT, old = limit, bpe.FOLD_LIMIT
-        try:
-            got = df.select(bpe.decode_tokens(K.tokens_from_ids(F.col("i")), tok).alias("t")).collect()
-            assert [r.t for r in got] == ["�", "a�b"]
-            with pytest.raises(Exception):
-                spark.createDataFrame([([999],)], "i array<int>").select(
-                    bpe.decode_tokens(K.tokens_from_ids(F.col("i")), tok)
-                ).collect()
-        finally:
-            bpe.FOLD_LIMIT = old
+    got = df.select(bpe.decode_tokens(K.tokens_from_ids(F.col("i")), tok).alias("t")).collect()
+    assert [r.t for r in got] == ["�", "a�b"]
+    with pytest.raises(Exception, match="unknown"):
+        spark.createDataFrame([([999],)], "i array<int>").select(bpe.decode_tokens(K.tokens_from_ids(F.col("i")), tok)).collect()
 
 
 def test_ids_and_characters(spark):
@@ -176,23 +169,36 @@ def test_pair_counts_overlap_and_stay_in_their_row(spark):
     assert got == {"aa": 2, "ab": 1}
 
 
-def test_pieces_give_the_same_tokens(spark, monkeypatch):
+def test_batches_equal_the_loop(spark, monkeypatch):
     rnd = random.Random(8)
     texts = ["".join(rnd.choice(["the ", "cat", "é", "aa", "a", "\n", "<EOS>", "zq"]) for _ in range(rnd.choice([0, 3, 20, 90]))) for _ in range(40)]
     merges, _ = plain_train(texts[:20], 260 + 40)
     tok = bpe.make_tokenizer(merges)
+    for chunk in (1, 50, 1 << 22):
+        monkeypatch.setattr(bpe.BatchEncoder, "CHUNK", chunk)
+        encoder = bpe.BatchEncoder(tok)
+        assert [[K.id_of(c) for c in t] for t in encoder.encode([t.encode() for t in texts])] == [plain_encode(t, merges) for t in texts]
     df = frame(spark, [*texts, None])
-
-    def both():
-        t, s = bpe.encode_text(F.col("t"), tok), bpe.encode_with_specials(F.coalesce("t", F.lit("")), tok)
-        return [tuple(r) for r in df.orderBy("i").select(t, s).collect()]
-
-    native = both()
-    monkeypatch.setattr(bpe, "FOLD_LIMIT", 0)
-    assert both() == native
-    encoder = bpe.PieceEncoder(tok)
-    encoder.CACHE = 2
-    for long in (1, 64, 10**6):
-        encoder.LONG = long
-        encoder.known.clear()
-        assert [[K.id_of(c) for c in encoder.encode(t.encode())] for t in texts] == [plain_encode(t, merges) for t in texts]
+    got = df.orderBy("i").select(bpe.encode_with_specials(F.col("t"), tok).alias("s")).collect()
+    eos = K.char_of(tok.specials["<EOS>"])
+    for t, r in zip([*texts, None], got, strict=True):
+        want = None if t is None else eos.join("".join(K.char_of(i) for i in plain_encode(p, merges)) for p in t.split("<EOS>"))
+        assert r.s == want
+
+
+@pytest.mark.parametrize("merges", [[], [(97, 97), (256, 256), (256, 97)], [(97, 98), (256, 97), (98, 97)]])
+def test_runs_and_overlaps(merges):
+    encoder = bpe.BatchEncoder(bpe.make_tokenizer(merges))
+    texts = ["a" * n for n in range(20)] + ["ab" * n for n in range(9)] + ["aab" * 7, "b", ""]
+    assert [[K.id_of(c) for c in t] for t in encoder.encode([t.encode() for t in texts])] == [plain_encode(t, merges) for t in texts]
+
+
+def test_large_vocabulary(spark):
+    rnd = random.Random(9)
+    words = [" " + "".join(rnd.choice("abcdefé") for _ in range(rnd.randrange(2, 9))) for _ in range(1200)]
+    tok = bpe.word_tokenizer(words)
+    assert len(tok.merges) > 2000 and {w.encode() for w in words} <= set(tok.vocab.values())
+    texts = ["".join(rnd.choice(words) for _ in range(40)) for _ in range(30)]
+    encoder = bpe.BatchEncoder(tok)
+    assert [[K.id_of(c) for c in t] for t in encoder.encode([t.encode() for t in texts])] == [plain_encode(t, tok.merges) for t in texts]
+    assert bpe.round_trip_failures(frame(spark, texts), "t", tok).count() == 0

@@ -21,16 +21,18 @@ def docs(spark, sf):
     return spread_few(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
 
 
-_trained: dict[tuple[str, str], bpe.Tokenizer] = {}
+def trained(spark, sf):
+    """A tokenizer of a few merges learned from the documents."""
+    size = bpe.BYTES + N_MERGES + len(bpe.SPECIALS)
+    return bpe.bpe_train(docs(spark, sf), "text", "doc_id", vocab_size=size)
 
 
-def trained(spark, sf):
-    """A tokenizer of a few merges learned from the documents, once per session and folder."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _trained:
-        size = bpe.BYTES + N_MERGES + len(bpe.SPECIALS)
-        _trained[key] = bpe.bpe_train(docs(spark, sf), "text", "doc_id", vocab_size=size)
-    return _trained[key]
+def worded(spark, sf):
+    """A tokenizer of the default size, of the documents' most frequent words with the blank before them."""
+    word = F.explode(F.regexp_extract_all("text", F.lit(r" ?[^\s]+"), F.lit(0))).alias("w")
+    counts = table(spark, sf, "documents").select(word).groupBy("w").count().orderBy(F.desc("count"), "w")
+    tok = bpe.word_tokenizer([r["w"] for r in counts.limit(bpe.VOCAB_SIZE).collect()])
+    return bpe.make_tokenizer(tok.merges[: bpe.VOCAB_SIZE - bpe.BYTES - len(bpe.SPECIALS)])
 
 
 # ---------------------------------------------------------------- SQL fragments
@@ -138,7 +140,7 @@ def pair_counts(spark, sf):
 def top_pair(spark, sf):
     """The most frequent pair; among equals the one met first."""
     pair, n = bpe.top_pairs(byte_docs(spark, sf), "x", "doc_id")[0]
-    return bpe.pair_counts(byte_docs(spark, sf), "x").filter((c("a") == ord(pair[0])) & (c("b") == ord(pair[1])) & (c("n") == n))
+    return spark.createDataFrame([(ord(pair[0]), ord(pair[1]), n)], "a int, b int, n bigint")
 
 
 @query("merge_pair", f"SELECT doc_id, replace(x, 'th', chr(256)) AS x FROM {SQL_BYTES}")
@@ -199,24 +201,42 @@ def bpe_decode(spark, sf):
     return encoded.select("doc_id", bpe.decode_tokens(c("t"), tok).alias("text"))
 
 
+@query("bpe_decode_large", "SELECT doc_id, text FROM documents")
+def bpe_decode_large(spark, sf):
+    """Encoded and decoded at the default vocabulary size."""
+    tok = worded(spark, sf)
+    encoded = docs(spark, sf).select("doc_id", bpe.encode_text(c("text"), tok).alias("t"))
+    return encoded.select("doc_id", bpe.decode_tokens(c("t"), tok).alias("text"))
+
+
+@query("bpe_encode_large")
+def bpe_encode_large(spark, sf):
+    """Token ids at the default vocabulary size; unit tests compare them with a plain loop."""
+    tok = worded(spark, sf)
+    encoded = docs(spark, sf).select("doc_id", bpe.encode_text(c("text"), tok).alias("tokens"))
+    return encoded.select("doc_id", F.length("tokens").cast("bigint").alias("n_tokens"), "tokens")
+
+
+@query("round_trip_large", "SELECT 0 AS failures, count(*) AS n_rows FROM documents")
+def round_trip_large(spark, sf):
+    failed = bpe.round_trip_failures(docs(spark, sf), "text", worded(spark, sf)).agg(F.count("*").alias("failures"))
+    return failed.select("failures", docs(spark, sf).agg(F.count("*")).scalar().alias("n_rows"))
+
+
 @query("decode_join", "SELECT doc_id, md5(text) AS h FROM documents")
 def decode_join(spark, sf):
     """Ids to bytes by a join with the vocabulary table instead of a literal array.
 
-    Tokens are joined piece by piece of 4,096, so no group grows with the length of a text.
+    Only distinct ids are joined; a text's ids stay one row, as a map from id to bytes is small.
     """
     tok = trained(spark, sf)
     vocab = tok.tables(spark)[0]
     encoded = docs(spark, sf).select("doc_id", K.token_ids(bpe.encode_text(c("text"), tok)).alias("ids"))
-    long = encoded.select("doc_id", F.posexplode("ids").alias("pos", "id"))
-    joined = long.join(F.broadcast(vocab), "id").select(
-        "doc_id", F.shiftright("pos", 12).alias("piece"), "pos", F.hex("bytes").alias("h")
-    )
-    ordered = F.transform(F.sort_array(F.collect_list(F.struct("pos", "h"))), lambda p: p["h"])
-    pieces = joined.groupBy("doc_id", "piece").agg(F.array_join(ordered, "").alias("h"))
-    whole = pieces.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("piece", "h"))).alias("p"))
-    text = K.bytes_to_text(F.unhex(F.array_join(F.transform("p", lambda p: p["h"]), "")))
-    return whole.select("doc_id", F.md5(text).alias("h"))
+    used = encoded.select(F.explode(F.array_distinct("ids")).alias("id")).distinct()
+    known = used.join(vocab, "id").agg(F.map_from_entries(F.collect_list(F.struct("id", F.hex("bytes")))).alias("m"))
+    hexes = F.transform("ids", lambda i: F.coalesce(F.try_element_at("m", i), F.raise_error(F.lit("unknown token id"))))
+    whole = encoded.withColumn("m", known.scalar()).select("doc_id", K.bytes_to_text(F.unhex(F.array_join(hexes, ""))).alias("text"))
+    return whole.select("doc_id", F.md5("text").alias("h"))
 
 
 @query(

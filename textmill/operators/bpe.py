@@ -9,7 +9,6 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
-from operator import add
 
 import numpy as np
 import pandas as pd
@@ -19,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions.tokens import (
-    adjacent, byte_tokens, bytes_to_text, char_of, code_char, code_id, id_of, packed, token_ids,
+    SURROGATES_SIZE, SURROGATES_START, adjacent, byte_tokens, bytes_to_text, char_of, code_char, code_id, id_of, packed, token_ids,
 )
 from textmill.session import cut_lineage, spread
 
@@ -35,9 +34,6 @@ CANDIDATES = 64
 FEW = 8
 PASSES_PER_CHECKPOINT = 12
 
-# Merges up to which encoding and decoding are chains of native replacements.
-FOLD_LIMIT = 64
-
 
 @dataclass
 class Tokenizer:
@@ -239,96 +235,142 @@ def merge_steps(tok: Tokenizer) -> list[tuple[str, str]]:
     return steps
 
 
-def apply_merges(tokens: Column, tok: Tokenizer) -> Column:
-    """All merges in rank order over byte tokens: one fold of ``replace``."""
-    steps = merge_steps(tok)
-    if not steps:
-        return tokens
-    table = F.array(*[F.struct(F.lit(p).alias("pair"), F.lit(o).alias("out")) for p, o in steps])
-    return F.aggregate(table, tokens, lambda acc, m: F.replace(acc, m["pair"], m["out"]))
-
-
-def encode_text(text: Column, tok: Tokenizer) -> Column:
-    """Text to a token string: a native fold for few merges, else per piece in Arrow batches."""
-    if len(tok.merges) <= FOLD_LIMIT:
-        return apply_merges(byte_tokens(text), tok)
-    return _piecewise(tok, None)(text)
-
+class BatchEncoder:
+    """Encodes many byte strings at once over flat id arrays.
 
-class PieceEncoder:
-    """Encodes byte strings piece by piece, remembering pieces.
-
-    Two neighbouring bytes that stand together in no learned token can never be merged across,
-    so a text falls into independent pieces there. Pieces repeat like words do.
+    The lowest rank present is always merged first, and a merge only makes pairs of higher rank. So one sweep over
+    the ranks merges all places of a rank in all strings together: ids stand in a linked list, and the places of a pair are
+    kept by its rank. The work is that of the merges done, whatever the length of a string or the size of the vocabulary.
     """
 
-    # Distinct pieces remembered per task, and the length from which merges are tried in turn.
-    CACHE = 200_000
-    LONG = 64
+    CHUNK = 1 << 22  # bytes encoded in one sweep
+    _STOP = 0xFFFF_FFFF
 
     def __init__(self, tok: Tokenizer):
-        self.steps = merge_steps(tok)
-        self.rank = {pair: i for i, (pair, _) in enumerate(self.steps)}
-        self.joined = np.zeros(1 << 16, dtype=bool)
-        for i, token in tok.vocab.items():
-            if i >= BYTES:
-                for left, right in zip(token, token[1:]):
-                    self.joined[left << 8 | right] = True
-        self.known: dict[bytes, str] = {}
-
-    def merge_all(self, data: bytes) -> str:
-        tokens = data.decode("latin-1")
-        if len(tokens) >= self.LONG:
-            for pair, out in self.steps:
-                tokens = tokens.replace(pair, out)
-            return tokens
-        none = len(self.steps)
-        while len(tokens) > 1:
-            best = min([self.rank.get(p, none) for p in map(add, tokens, tokens[1:])])
-            if best == none:
-                break
-            tokens = tokens.replace(*self.steps[best])
-        return tokens
-
-    def encode(self, data: bytes) -> str:
-        flat = np.frombuffer(data, dtype=np.uint8).astype(np.uint16)
-        cuts = np.flatnonzero(~self.joined[(flat[:-1] << 8) | flat[1:]]) + 1
-        ends = [*cuts.tolist(), len(data)]
-        out, start = [], 0
-        for end in ends:
-            piece = data[start:end]
-            found = self.known.get(piece)
+        steps = merge_steps(tok)
+        rank: dict[int, int] = {}
+        for r, (pair, _) in enumerate(steps):
+            rank.setdefault(id_of(pair[0]) << 32 | id_of(pair[1]), r)
+        self.product = np.array([id_of(out) for _, out in steps], np.int64)
+        self.keys = np.array(sorted(rank), np.uint64)
+        self.ranks = np.array([rank[int(k)] for k in self.keys], np.int64)
+        # One probe of a sparse table finds most pairs; what shares a slot is looked up by bisection.
+        bits = max(10, int(np.ceil(np.log2(16 * len(self.keys) + 1))))
+        self.shift = np.uint64(64 - bits)
+        self.slots = np.full(1 << bits, -1, np.int64)
+        self.slots[self._slot(self.keys)] = np.arange(len(self.keys))
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair, -1 for those that are not merged."""
+        keys = (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
+        at = self.slots[self._slot(keys)]
+        out = np.full(len(keys), -1, np.int64)
+        if not len(self.keys):
+            return out
+        hit = (at >= 0) & (self.keys[at] == keys)
+        out[hit] = self.ranks[at[hit]]
+        other = np.flatnonzero((at >= 0) & ~hit)
+        near = np.minimum(np.searchsorted(self.keys, keys[other]), len(self.keys) - 1)
+        out[other] = np.where(self.keys[near] == keys[other], self.ranks[near], -1)
+        return out
+
+    def _sweep(self, data: list[bytes]) -> list[str]:
+        n = sum(map(len, data)) + len(data) + 1
+        ids = np.full(n, self._STOP, np.int64)  # a stop before each string and after the last
+        lengths = np.array([len(x) for x in data])
+        ids[np.arange(n - len(data) - 1) + np.repeat(np.arange(1, len(data) + 1), lengths)] = np.frombuffer(b"".join(data), np.uint8)
+        follow, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        places: dict[int, list[np.ndarray]] = {}
+
+        def keep(at: np.ndarray) -> None:
+            rank = self._rank(ids[at], ids[follow[at]])
+            at, rank = at[rank >= 0], rank[rank >= 0]
+            order = np.argsort(rank, kind="stable")
+            at, rank = at[order], rank[order]
+            cuts = np.flatnonzero(np.diff(rank)) + 1
+            for part, r in zip(np.split(at, cuts), rank[np.append(0, cuts)].tolist() if len(rank) else (), strict=False):
+                places.setdefault(r, []).append(part)
+
+        keep(np.arange(n - 1))
+        for r in range(len(self.product)):
+            found = places.pop(r, None)
             if found is None:
-                found = self.merge_all(piece)
-                if len(self.known) >= self.CACHE:
-                    self.known.clear()
-                self.known[piece] = found
-            out.append(found)
-            start = end
-        return "".join(out)
-
-
-def _piecewise(tok: Tokenizer, pattern: str | None) -> Callable[[Column], Column]:
-    """Pandas UDF of ``PieceEncoder``; with a pattern, special tokens in the text become their ids."""
+                continue
+            at = np.unique(np.concatenate(found)) if len(found) > 1 else np.sort(found[0])
+            at = at[ids[at] >= 0]
+            at = at[self._rank(ids[at], ids[follow[at]]) == r]
+            if not len(at):
+                continue
+            # Of places that overlap, every other from the left.
+            first = np.ones(len(at), bool)
+            first[1:] = follow[at[:-1]] != at[1:]
+            if not first.all():
+                index = np.arange(len(at))
+                at = at[(index - np.maximum.accumulate(np.where(first, index, 0))) % 2 == 0]
+            gone = follow[at]
+            after = follow[gone]
+            ids[at] = self.product[r]
+            ids[gone] = -1
+            follow[at] = after
+            before[after] = at
+            left = before[at]
+            keep(np.unique(np.concatenate([left[ids[left] != self._STOP], at])))
+        ids = ids[ids >= 0]
+        stops = np.flatnonzero(ids == self._STOP)
+        codes = np.where(ids == self._STOP, 32, np.where(ids < SURROGATES_START, ids, ids + SURROGATES_SIZE)).astype("<u4")
+        text = codes.tobytes().decode("utf-32-le")
+        return [text[a + 1 : b] for a, b in zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True)]
+
+    def encode(self, data: list[bytes]) -> list[str]:
+        out: list[str] = []
+        part: list[bytes] = []
+        size = 0
+        for x in data:
+            part.append(x)
+            size += len(x)
+            if size >= self.CHUNK:
+                out += self._sweep(part)
+                part, size = [], 0
+        return out + self._sweep(part) if part else out
+
+
+def _encoder(tok: Tokenizer, pattern: str | None) -> Callable[[Column], Column]:
+    """Pandas UDF of ``BatchEncoder``; with a pattern, special tokens in the text become their ids."""
     marks = {n: char_of(i) for n, i in tok.specials.items()}
 
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = PieceEncoder(tok)
-
-        def one(text: str | None) -> str | None:
-            if text is None:
-                return None
-            if pattern is None:
-                return encoder.encode(text.encode())
-            parts = re.split(f"({pattern})", text)
-            return "".join(marks[p] if i % 2 else encoder.encode(p.encode()) for i, p in enumerate(parts))
-
+        encoder = BatchEncoder(tok)
         for batch in batches:
-            yield batch.map(one)
+            texts = batch.dropna()
+            parts = [[t] if pattern is None else re.split(f"({pattern})", t) for t in texts]
+            done = iter(encoder.encode([p.encode() for row in parts for p in row[::2]]))
+            joined = ["".join(marks[p] if i % 2 else next(done) for i, p in enumerate(row)) for row in parts]
+            yield pd.Series(joined, index=texts.index, dtype=object).reindex(batch.index).where(batch.notna(), None)
 
     return F.pandas_udf(encode, "string")
 
 
+def encode_text(text: Column, tok: Tokenizer) -> Column:
+    """Text to a token string, in Arrow batches; the same way for every vocabulary."""
+    return _encoder(tok, None)(text)
+
+
+def word_tokenizer(words: Sequence[str], *, special_ids: str = "distinct") -> Tokenizer:
+    """A tokenizer whose tokens are the words given and their beginnings, without training."""
+    ids: dict[bytes, int] = {bytes([i]): i for i in range(BYTES)}
+    merges: list[tuple[int, int]] = []
+    for word in words:
+        data = word.encode()
+        for end in range(2, len(data) + 1):
+            if data[:end] not in ids:
+                merges.append((ids[data[: end - 1]], data[end - 1]))
+                ids[data[:end]] = len(ids)
+    return make_tokenizer(merges, special_ids=special_ids)
+
+
 def _special_pattern(tok: Tokenizer) -> str:
     names = sorted(tok.specials, key=len, reverse=True)
     return "|".join(names)
@@ -339,14 +381,7 @@ def encode_with_specials(text: Column, tok: Tokenizer) -> Column:
 
     Text between them is encoded on its own. Patterns try the longest name first.
     """
-    pattern = _special_pattern(tok)
-    if len(tok.merges) > FOLD_LIMIT:
-        return _piecewise(tok, pattern)(text)
-    plain = F.transform(F.split(text, pattern), lambda x: encode_text(x, tok))
-    marks = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    lookup = F.create_map(*[F.lit(v) for n, i in tok.specials.items() for v in (n, char_of(i))])
-    chars = F.concat(F.transform(marks, lambda m: lookup[m]), F.array(F.lit("")))
-    return F.array_join(F.zip_with(plain, chars, lambda p, m: F.concat(p, m)), "")
+    return _encoder(tok, _special_pattern(tok))(text)
 
 
 def with_bos_eos(tokens: Column, tok: Tokenizer, *, bos: bool = True, eos: bool = True) -> Column:
@@ -374,18 +409,8 @@ def decode_ids(ids: Column, tok: Tokenizer, *, skip_specials: bool = True) -> Co
 
 
 def decode_tokens(tokens: Column, tok: Tokenizer, *, skip_specials: bool = True) -> Column:
-    """Token string to text, like ``decode_ids``.
-
-    A small vocabulary is expanded by one ``replace`` per learned id, which leaves byte tokens;
-    any character that is no byte then is an unknown id and fails in the encoding.
-    """
-    learned = {i: b for i, b in tok.vocab.items() if i >= BYTES}
-    if len(learned) > FOLD_LIMIT:
-        return decode_ids(token_ids(tokens), tok, skip_specials=skip_specials)
-    named = {i: b"" if skip_specials else n.encode() for n, i in tok.specials.items()}
-    for i, b in {**learned, **named}.items():
-        tokens = F.replace(tokens, F.lit(char_of(i)), F.lit(b.decode("latin-1")))
-    return bytes_to_text(F.encode(tokens, "ISO-8859-1"))
+    """Token string to text, like ``decode_ids``."""
+    return decode_ids(token_ids(tokens), tok, skip_specials=skip_specials)
 
 
 def round_trip_failures(df: DataFrame, text: str, tok: Tokenizer) -> DataFrame:
