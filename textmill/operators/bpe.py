@@ -244,14 +244,15 @@ class BatchEncoder:
     """
 
     CHUNK = 1 << 22  # bytes encoded in one sweep
-    _STOP = 0xFFFF_FFFF
+    _STOP = 1 << 30
 
     def __init__(self, tok: Tokenizer):
         steps = merge_steps(tok)
         rank: dict[int, int] = {}
         for r, (pair, _) in enumerate(steps):
             rank.setdefault(id_of(pair[0]) << 32 | id_of(pair[1]), r)
-        self.product = np.array([id_of(out) for _, out in steps], np.int64)
+        self.product = [id_of(out) for _, out in steps]
+        self.pairs = [(id_of(pair[0]), id_of(pair[1])) for pair, _ in steps]
         self.keys = np.array(sorted(rank), np.uint64)
         self.ranks = np.array([rank[int(k)] for k in self.keys], np.int64)
         # One probe of a sparse table finds most pairs; what shares a slot is looked up by bisection.
@@ -279,10 +280,10 @@ class BatchEncoder:
 
     def _sweep(self, data: list[bytes]) -> list[str]:
         n = sum(map(len, data)) + len(data) + 1
-        ids = np.full(n, self._STOP, np.int64)  # a stop before each string and after the last
+        ids = np.full(n, self._STOP, np.int32)  # a stop before each string and after the last
         lengths = np.array([len(x) for x in data])
         ids[np.arange(n - len(data) - 1) + np.repeat(np.arange(1, len(data) + 1), lengths)] = np.frombuffer(b"".join(data), np.uint8)
-        follow, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        follow, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
         places: dict[int, list[np.ndarray]] = {}
 
         def keep(at: np.ndarray) -> None:
@@ -294,14 +295,18 @@ class BatchEncoder:
             for part, r in zip(np.split(at, cuts), rank[np.append(0, cuts)].tolist() if len(rank) else (), strict=False):
                 places.setdefault(r, []).append(part)
 
-        keep(np.arange(n - 1))
+        keep(np.arange(n - 1, dtype=np.int32))
         for r in range(len(self.product)):
             found = places.pop(r, None)
             if found is None:
                 continue
-            at = np.unique(np.concatenate(found)) if len(found) > 1 else np.sort(found[0])
-            at = at[ids[at] >= 0]
-            at = at[self._rank(ids[at], ids[follow[at]]) == r]
+            at = np.concatenate(found)
+            left, right = self.pairs[r]
+            # Places whose ids have changed meanwhile, and those kept twice, are left out.
+            at = at[ids[at] == left]
+            at = np.sort(at[ids[follow[at]] == right])
+            if len(at) > 1:
+                at = at[np.append(True, at[1:] != at[:-1])]
             if not len(at):
                 continue
             # Of places that overlap, every other from the left.
@@ -316,8 +321,7 @@ class BatchEncoder:
             ids[gone] = -1
             follow[at] = after
             before[after] = at
-            left = before[at]
-            keep(np.unique(np.concatenate([left[ids[left] != self._STOP], at])))
+            keep(np.concatenate([before[at], at]))
         ids = ids[ids >= 0]
         stops = np.flatnonzero(ids == self._STOP)
         codes = np.where(ids == self._STOP, 32, np.where(ids < SURROGATES_START, ids, ids + SURROGATES_SIZE)).astype("<u4")
