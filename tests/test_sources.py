@@ -74,3 +74,17 @@ def test_kinds_of_artifacts(spark, tmp_path):
     assert kind == "char" and table.count() == 3
     with pytest.raises(ValueError, match="subword: .*; char: "):
         TS.open_tokenizer(spark, str(tmp_path / "e" / "tokenizer.json"))
+
+
+def test_a_large_file_is_read_by_many_tasks(spark, tmp_path):
+    from textmill.sources.readers import read_corpus
+
+    blocks = [f"block {i} " + "x" * 900 for i in range(3000)]
+    (tmp_path / "c.txt").write_text("\n\n".join(blocks) + "\n\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        df = read_corpus(spark, str(tmp_path / "c.txt"), "\n\n")
+        assert df.rdd.getNumPartitions() > 4
+        assert sorted(r.value for r in df.collect()) == sorted(blocks)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -144,11 +144,24 @@ def test_character_tokens(spark):
     assert [(r.ch, r.id) for r in vocab.orderBy("id").collect()] == [(c, i) for i, c in enumerate(sorted("\x00\naéh"))]
     tok = CharTokenizer.of(vocab)
     t = tok.encode(F.col("t"))
-    rows = df.select("t", tok.ids(t).alias("ids"), tok.decode(t).alias("back")).collect()
+    rows = df.select("t", t.alias("ids"), tok.decode(t).alias("back")).collect()
     order = sorted("\x00\naéh")
     assert [r.ids for r in rows] == [[order.index(ch) for ch in r.t] for r in rows]
     assert [r.back for r in rows] == [r.t for r in rows]
+    nothing = spark.createDataFrame([(None,)], "t string").select(t.alias("i"), tok.decode(t).alias("b")).first()
+    assert (nothing.i, nothing.b) == (None, None)
     with pytest.raises(Exception, match="vocabulary"):
         spark.createDataFrame([("x",)], "t string").select(tok.encode(F.col("t"))).collect()
     with pytest.raises(Exception, match="unknown"):
-        spark.createDataFrame([("Ā",)], "t string").select(tok.decode(F.col("t"))).collect()
+        spark.createDataFrame([([9],)], "t array<int>").select(tok.decode(F.col("t"))).collect()
+
+
+def test_more_characters_than_two_bytes_hold(spark):
+    chars = [chr(i) for i in (*range(1, 0xD800), *range(0xE000, 0xFFFE), *range(0x20000, 0x22000))]
+    texts = ["".join(chars[i : i + 5000]) for i in range(0, len(chars), 5000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    tok = CharTokenizer.of(char_vocab(df, "t"))
+    assert tok.vocab_size == len(chars) > 70_000
+    ids = tok.encode(F.col("t"))
+    rows = df.select("t", ids.alias("i"), tok.decode(ids).alias("b")).collect()
+    assert all(r.b == r.t for r in rows) and max(max(r.i) for r in rows) == len(chars) - 1

@@ -63,11 +63,11 @@ def skip_missing_source(spark, sf):
 
 @query("read_corpus", "SELECT count(*) AS n_lines, sum(length(text))::BIGINT AS n_chars FROM (SELECT unnest(string_split(text, chr(10))) AS text FROM documents)")
 def read_corpus(spark, sf):
-    """Documents written as text files, read back whole and counted by line."""
+    """Documents written as text files, read back line by line and counted."""
     path = scratch_path(spark, "corpus")
     table(spark, sf, "documents").select("text").write.text(path)
-    lines = S.read_corpus(spark, path).select(F.explode(F.split(F.regexp_replace("value", r"\n\z", ""), "\n")).alias("line"))
-    return lines.agg(F.count("*").alias("n_lines"), F.sum(F.length("line")).alias("n_chars"))
+    lines = S.read_corpus(spark, path, "\n")
+    return lines.agg(F.count("*").alias("n_lines"), F.sum(F.length("value")).alias("n_chars"))
 
 
 @query("clean_text", f"SELECT doc_id, {sql_clean('text')} AS clean FROM documents")
@@ -129,10 +129,14 @@ def keyword_any(spark, sf):
 
 @query(
     "science_terms",
-    f"SELECT doc_id FROM documents WHERE " + " OR ".join(f"contains(lower(text), '{t}')" for t in R.SCIENCE_TERMS),
+    "SELECT doc_id FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN text || ' Quantum ' || lang WHEN doc_id % 7 = 0 THEN 'PHYSICS' || text ELSE text END AS text FROM documents) WHERE "
+    + " OR ".join(f"contains(lower(text), '{t}')" for t in R.SCIENCE_TERMS),
 )
 def science_terms(spark, sf):
-    return table(spark, sf, "documents").filter(X.contains_any(F.col("text"), R.SCIENCE_TERMS)).select("doc_id")
+    """Terms in any case, within words too; some documents are given one."""
+    text, key = F.col("text"), F.col("doc_id")
+    some = F.when(key % 5 == 0, F.concat(text, F.lit(" Quantum "), "lang")).when(key % 7 == 0, F.concat(F.lit("PHYSICS"), text)).otherwise(text)
+    return table(spark, sf, "documents").filter(X.contains_any(some, R.SCIENCE_TERMS)).select("doc_id")
 
 
 @query(

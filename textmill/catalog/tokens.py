@@ -100,7 +100,7 @@ def char_vocab(spark, sf):
 def char_encode(spark, sf):
     d = docs(spark, sf)
     tok = chartok.CharTokenizer.of(chartok.char_vocab(d, "text"))
-    ids = tok.ids(tok.encode(c("text")))
+    ids = tok.encode(c("text"))
     return d.select("doc_id", F.md5(F.array_join(ids.cast("array<string>"), " ")).alias("ids"))
 
 

@@ -18,56 +18,39 @@ def _over_tie(x: Column, twice: int, m: Column) -> Column:
     addition is kept.
     """
     bits = [b for b in range(twice.bit_length() - 1, -1, -1) if twice >> b & 1]
+    total, lost = x * F.lit(float(1 << bits[0])), F.lit(0.0)
+    for b in bits[1:]:
+        term = x * F.lit(float(1 << b))
+        new = total + term
+        total, lost = new, lost + (term - (new - total))
+    return (total - m) + lost
 
-    def add(state: Column, b: int) -> Column:
-        def step(s: Column) -> Column:
-            term = x * F.lit(float(1 << b))
-            new = s["total"] + term
-            return F.struct(new.alias("total"), (s["lost"] + (term - (new - s["total"]))).alias("lost"))
-
-        return let(state, step)
 
-    state = F.struct((x * F.lit(float(1 << bits[0]))).alias("total"), F.lit(0.0).alias("lost"))
-    for b in bits[1:]:
-        state = add(state, b)
-    return let(state, lambda s: (s["total"] - m) + s["lost"])
+def _div(a: Column, b: Column) -> Column:
+    return F.call_function("div", a, b)
 
 
 def fixed_point(n: Column, scale: Column, digits: int) -> Column:
-    """``n / scale`` with ``digits`` decimals, rounded as C's printf rounds the double."""
-    base = 10**digits
-
-    def shown(s: Column) -> Column:
-        twice_rest = (s["n"] % s["unit"]) * 2
-        over = _over_tie(s["n"] / s["scale"].cast("double"), 2 * base, (s["k"] * 2 + 1).cast("double"))
-        tie_up = let(over, lambda o: (o > 0) | ((o == 0) & (s["k"] % 2 == 1)))
-        up = (twice_rest > s["unit"]) | ((twice_rest == s["unit"]) & tie_up)
-        q = s["k"] + F.when(up, 1).otherwise(0)
-        return let(q, lambda v: F.concat(
-            F.floor(v / base).cast("string"), F.lit("."), F.lpad((v % base).cast("string"), digits, "0")
-        ))
-
-    unit = (scale / base).cast("bigint")
-    parts = let(
-        F.struct(n.alias("n"), scale.alias("scale"), unit.alias("unit")),
-        lambda s: F.struct(
-            s["n"].alias("n"), s["scale"].alias("scale"), s["unit"].alias("unit"),
-            ((s["n"] - s["n"] % s["unit"]) / s["unit"]).cast("bigint").alias("k"),
-        ),
-    )
-    return let(parts, shown)
+    """``n / scale`` with ``digits`` decimals, rounded as C's printf rounds the double.
+
+    Only a row that lies at a tie looks at the double's error.
+    """
+    base = F.lit(10**digits).cast("bigint")
+    unit = _div(scale, base)
+    k, twice_rest = _div(n, unit), (n % unit) * 2
+    over = _over_tie(n / scale.cast("double"), 2 * 10**digits, (k * 2 + 1).cast("double"))
+    tie_up = F.when(over > 0, 1).when((over == 0) & (k % 2 == 1), 1).otherwise(0)
+    v = k + F.when(twice_rest > unit, 1).when(twice_rest < unit, 0).otherwise(tie_up)
+    return F.concat(_div(v, base).cast("string"), F.lit("."), F.lpad((v % base).cast("string"), digits, "0"))
 
 
 def size_tag(n: Column, digits: int = 1) -> Column:
     """Parameter count as B, M or K with ``digits`` decimals; '?' when unknown."""
-
-    def tag(v: Column) -> Column:
-        by_size = lambda b, m, k: F.when(v >= 10**9, F.lit(b)).when(v >= 10**6, F.lit(m)).otherwise(F.lit(k))
-        scale = by_size(10**9, 10**6, 10**3).cast("bigint")
-        scaled = F.concat(fixed_point(v, scale, digits), by_size("B", "M", "K"))
-        return F.when(v.isNull(), F.lit("?")).when(v < 1000, v.cast("string")).otherwise(scaled)
-
-    return let(n.cast("bigint"), tag)
+    v = n.cast("bigint")
+    by_size = lambda b, m, k: F.when(v >= 10**9, F.lit(b)).when(v >= 10**6, F.lit(m)).otherwise(F.lit(k))
+    scale = by_size(10**9, 10**6, 10**3).cast("bigint")
+    scaled = F.concat(fixed_point(v, scale, digits), by_size("B", "M", "K"))
+    return F.when(v.isNull(), F.lit("?")).when(v < 1000, v.cast("string")).otherwise(scaled)
 
 
 def parse_folder(folder: Column) -> Column:

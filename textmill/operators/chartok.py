@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from textmill.functions.tokens import MAX_ID, char_of, token_ids
-
 
 def char_vocab(df: DataFrame, text: str) -> DataFrame:
     """``(ch, id)``: distinct characters numbered by code point from 0.
@@ -20,40 +21,52 @@ def char_vocab(df: DataFrame, text: str) -> DataFrame:
 
 
 class CharTokenizer:
-    """A character vocabulary held by the driver; at most ``MAX_ID`` characters.
+    """A character vocabulary held by the driver: at most all 1,114,112 code points, as an array by code point.
 
-    Token strings hold the character of id + 1, as ``translate`` reads character 0 as a deletion.
+    Tokens are ``array<int>``; texts are looked up in Arrow batches, whatever the size of the vocabulary.
     """
 
     def __init__(self, stoi: dict[str, int]):
-        if not stoi or max(stoi.values()) >= MAX_ID:
-            raise ValueError(f"a character vocabulary has 1 to {MAX_ID} entries")
-        self._chars = "".join(stoi)
-        self._codes = "".join(char_of(i + 1) for i in stoi.values())
-        # ``translate`` cannot produce character 0 either; a character of no use stands in for it.
-        self._zero = next(chr(c) for c in range(0xE000, 0xF900) if chr(c) not in stoi) if "\x00" in stoi else None
+        if not stoi:
+            raise ValueError("a character vocabulary has one entry at least")
+        self._ids = np.full(0x110000, -1, np.int32)
+        self._ids[[ord(c) for c in stoi]] = list(stoi.values())
+        self._codes = np.full(max(stoi.values()) + 1, -1, np.int64)
+        self._codes[list(stoi.values())] = [ord(c) for c in stoi]
         self.vocab_size = len(stoi)
 
     @classmethod
     def of(cls, vocab: DataFrame) -> CharTokenizer:
-        """From a ``(ch, id)`` table; a table beyond the bound is refused, not cut."""
-        rows = vocab.select("ch", "id").limit(MAX_ID + 1).collect()
-        return cls({r["ch"]: r["id"] for r in sorted(rows, key=lambda r: r["id"])})
+        """From a ``(ch, id)`` table, bounded by the number of code points."""
+        return cls({r["ch"]: r["id"] for r in vocab.select("ch", "id").collect()})
 
     def encode(self, text: Column) -> Column:
-        """Text to a token string; a character outside the vocabulary is an error."""
-        unknown = F.translate(text, self._chars, "") != ""
-        error = F.raise_error(F.lit("character not in the vocabulary")).cast("string")
-        return F.when(unknown, error).otherwise(F.translate(text, self._chars, self._codes))
+        """Text to ids; a character outside the vocabulary is an error."""
+        ids = self._ids
+
+        def look_up(texts: pa.Array) -> pa.Array:
+            rows = texts.to_pylist()
+            codes = np.frombuffer("".join(t or "" for t in rows).encode("utf-32-le"), np.uint32)
+            found = ids[codes]
+            if len(found) and found.min() < 0:
+                raise ValueError("character not in the vocabulary")
+            ends = np.cumsum([0] + [len(t or "") for t in rows]).astype(np.int32)
+            return pa.ListArray.from_arrays(pa.array(ends), pa.array(found), mask=pa.array([t is None for t in rows]))
 
-    def ids(self, tokens: Column) -> Column:
-        return F.transform(token_ids(tokens), lambda i: i - 1)
+        return F.arrow_udf(look_up, "array<int>")(text)
 
     def decode(self, tokens: Column) -> Column:
-        """Token string to text; an unknown id is an error."""
-        unknown = F.translate(tokens, self._codes, "") != ""
-        error = F.raise_error(F.lit("unknown token id")).cast("string")
-        if self._zero is None:
-            return F.when(unknown, error).otherwise(F.translate(tokens, self._codes, self._chars))
-        text = F.translate(tokens, self._codes, self._chars.replace("\x00", self._zero))
-        return F.when(unknown, error).otherwise(F.replace(text, F.lit(self._zero), F.lit("\x00")))
+        """Ids to text; an unknown id is an error."""
+        codes = self._codes
+
+        def look_up(lists: pa.Array) -> pa.Array:
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            if len(flat) and (flat.min() < 0 or flat.max() >= len(codes) or codes[flat].min() < 0):
+                raise ValueError("unknown token id")
+            text = codes[flat].astype("<u4").tobytes().decode("utf-32-le")
+            ends = np.cumsum([0] + [n or 0 for n in pa.compute.list_value_length(lists).to_pylist()])
+            valid = lists.is_valid().to_pylist()
+            rows = [text[a:b] if ok else None for ok, a, b in zip(valid, ends[:-1], ends[1:], strict=True)]
+            return pa.array(rows, pa.string())
+
+        return F.arrow_udf(look_up, "string")(tokens)

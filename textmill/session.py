@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -35,14 +36,37 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="textmill-")
+        _written.append(folder)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+# Folders written by this process, which removes them when it ends or when ``release`` is called.
+_written: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path of its own in the shared folder."""
-    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    """A path of its own in the shared folder, owned by this process."""
+    if not _written:
+        atexit.register(_release_at_exit)
+    _written.append(os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}"))
+    return _written[-1]
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the written tables; frames made before the call can no longer be read."""
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    for folder in _written:
+        path = paths(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _written.clear()
+
+
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        release(spark)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -56,9 +80,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, *cols: str) -> DataFrame:
-    """Hash-partition a table that many passes will read, at least one part per core."""
-    spark = df.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    """Hash-partition a table that many passes will read: one part per core at least, and never fewer than the scan has."""
+    parts = max(df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism)
     return df.repartition(parts, *cols)
 
 

@@ -67,9 +67,14 @@ def read_all(spark: SparkSession, registry: Mapping[str, Source], names: list[st
     return frames, spark.createDataFrame(status, "source string, status string, error string")
 
 
-def read_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """Whole text files as ``(path, value)``; an absent or empty corpus is an error."""
-    df = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+def read_corpus(spark: SparkSession, path: str, separator: str | None = None) -> DataFrame:
+    """Text files as ``(path, value)``; an absent or empty corpus is an error.
+
+    With a separator a row is what stands between two of them, and a file of any size is read by many tasks. Without,
+    a row is a whole file, for files that fit a row.
+    """
+    how = {"wholetext": True} if separator is None else {"lineSep": separator}
+    df = spark.read.text(path, **how).select(F.col("_metadata.file_path").alias("path"), "value")
     if df.filter(F.length("value") > 0).isEmpty():
         raise ValueError(f"the corpus at {path} is empty")
     return df

@@ -70,16 +70,16 @@ def stage_status(events: DataFrame, run: str, seq: str, code: str) -> DataFrame:
 
 
 def publish(live: DataFrame, folder: str, checkpoint: str) -> None:
-    """Run a progress stream over what has arrived; every batch writes the whole small table anew.
+    """Run a progress stream over what has arrived; a batch writes the runs that changed, and no others.
 
-    Batches go to folders of their own, so a reader never sees a table half replaced.
+    Batches go to folders of their own, so a replayed batch replaces itself and a reader never sees one half written.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/batch={number}")
 
     query = (
-        live.writeStream.outputMode("complete")
+        live.writeStream.outputMode("update")
         .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -89,7 +89,8 @@ def publish(live: DataFrame, folder: str, checkpoint: str) -> None:
 
 
 def published(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
-    """The newest published table."""
+    """The newest published row of each run; the first column of the schema names the run."""
     table = spark.read.schema(StructType(schema.fields + [StructField("batch", LongType())])).parquet(folder)
-    newest = table.agg(F.max("batch")).scalar()
-    return table.filter(F.col("batch") == newest).drop("batch")
+    run, *others = schema.names
+    newest = table.groupBy(run).agg(F.max_by(F.struct(*others), "batch").alias("_last"))
+    return newest.select(run, *[F.col(f"_last.{c}").alias(c) for c in others])
