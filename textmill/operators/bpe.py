@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions.tokens import (
-    SURROGATES_SIZE, SURROGATES_START, adjacent, byte_tokens, bytes_to_text, char_of, code_char, code_id, id_of, packed, token_ids,
+    SURROGATES_SIZE, SURROGATES_START, byte_tokens, bytes_to_text, char_of, code_id, id_of, packed, token_ids,
 )
 from textmill.session import cut_lineage, spread
 
@@ -29,9 +29,7 @@ MIN_PAIR_FREQUENCY = 2
 BYTES = 256
 
 # Candidate pairs looked at per pass, and passes between two checkpoints of the token strings.
-CANDIDATES = 64
-# Tied pairs up to which each is searched for by itself.
-FEW = 8
+CANDIDATES = 256
 PASSES_PER_CHECKPOINT = 12
 
 
@@ -107,49 +105,36 @@ def pair_counts(df: DataFrame, tokens: str) -> DataFrame:
     return counts.groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
-def met_order(df: DataFrame, tokens: str, order: str, tied: DataFrame, k: int) -> list[str]:
-    """The first ``k`` of the tied pairs in the order they are met.
-
-    ``tied`` has the columns a and b, at most one row per pair of ids. It is written first, so that
-    its size is known and the positions need no shuffle before the join; ``k`` rows come back.
-    """
-    pairs = cut_lineage(tied).select(F.concat(code_char(F.col("a")), code_char(F.col("b"))).alias("pair"))
-    spots = df.select(order, F.posexplode(adjacent(F.col(tokens))).alias("_at", "pair"))
-    met = spots.join(pairs, "pair").groupBy("pair").agg(F.min(F.struct(order, "_at")).alias("_m"))
-    return [r["pair"] for r in met.orderBy("_m").limit(k).collect()]
-
-
-def met_order_of_few(df: DataFrame, tokens: str, order: str, pairs: Sequence[str]) -> list[str]:
-    """The same for a handful of pairs: one search each, one row of results."""
-    at = [F.instr(F.col(tokens), p) for p in pairs]
-    spots = [F.min(F.when(i > 0, F.struct(F.col(order).alias("o"), i.alias("i")))).alias(f"m{n}") for n, i in enumerate(at)]
-    row = df.agg(*spots).first()
-    return [p for _, p in sorted((row[f"m{n}"], p) for n, p in enumerate(pairs))]
+def _count_and_meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Neighbour pairs of (order, packed tokens) rows with their number and first place, per batch."""
+    for batch in batches:
+        batch = batch.take(pc.sort_indices(batch.column(0)))
+        lengths = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False) // 2
+        flat = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=">u2").astype(np.uint32)
+        starts = np.concatenate([[0], np.cumsum(lengths)])
+        inside = np.ones(max(0, len(flat) - 1), bool)
+        inside[starts[(starts > 0) & (starts < len(flat))] - 1] = False
+        at = np.flatnonzero(inside)
+        pairs, first, n = np.unique((flat[at] << 16) | flat[at + 1], return_index=True, return_counts=True)
+        row = np.searchsorted(starts, at[first], "right") - 1
+        yield pa.RecordBatch.from_arrays(
+            [pa.array((pairs >> 16).astype(np.int32)), pa.array((pairs & 0xFFFF).astype(np.int32)), pa.array(n),
+             batch.column(0).take(pa.array(row)), pa.array(at[first] - starts[row])],
+            names=["a", "b", "n", "row", "at"],
+        )
 
 
 def top_pairs(df: DataFrame, tokens: str, order: str, k: int = CANDIDATES) -> list[tuple[str, int]]:
-    """Most frequent pairs in descending order, as far as their order is certain.
+    """The ``k`` most frequent pairs; of equals the one met first comes first.
 
-    A tie at the top is settled by first meeting and returned alone; otherwise the pairs before
-    the next tie are returned.
+    Numbers and first places come from one pass, at most one row per pair and batch of it; ``k`` rows come back.
     """
-    counts = pair_counts(df, tokens)
-    rows = [(chr(r["a"]) + chr(r["b"]), r["n"]) for r in counts.orderBy(F.desc("n"), "a", "b").limit(k).collect()]
-    if not rows:
-        return []
-    best = rows[0][1]
-    tied = [p for p, n in rows if n == best]
-    if len(tied) > FEW:
-        return [(p, best) for p in met_order(df, tokens, order, counts.filter(F.col("n") == best), k)]
-    if len(tied) > 1:
-        return [(p, best) for p in met_order_of_few(df, tokens, order, tied)]
-    sure = []
-    for i, (p, n) in enumerate(rows):
-        last = i + 1 == len(rows)
-        if (last and len(rows) == k) or (not last and rows[i + 1][1] == n):
-            break
-        sure.append((p, n))
-    return sure
+    data = df.filter(F.length(tokens) > 1).select(order, packed(F.col(tokens)).alias("t"))
+    kind = data.schema[order].dataType.simpleString()
+    met = data.mapInArrow(_count_and_meet, f"a int, b int, n bigint, row {kind}, at bigint")
+    counts = met.groupBy("a", "b").agg(F.sum("n").alias("n"), F.min(F.struct("row", "at")).alias("met"))
+    rows = counts.orderBy(F.desc("n"), "met").limit(k).collect()
+    return [(chr(r["a"]) + chr(r["b"]), r["n"]) for r in rows]
 
 
 def independent_prefix(pairs: Sequence[tuple[str, int]], min_frequency: int, room: int) -> list[tuple[str, int]]:
@@ -157,8 +142,8 @@ def independent_prefix(pairs: Sequence[tuple[str, int]], min_frequency: int, roo
 
     While no token is shared, merging a pair leaves the counts of the others alone. A pair made
     with the new token stands where a pair that shares a token with it stood, so it is no more
-    frequent and no earlier met than one that ranks below them. Pairs of one token twice end the
-    run, as their product can follow itself.
+    frequent, nor met before one that ranks above that pair: it begins one place earlier, where the merged
+    pair itself stood. Pairs of one token twice end the run, as their product can follow itself.
     """
     out: list[tuple[str, int]] = []
     used: set[str] = set()
