@@ -24,7 +24,11 @@ _QUANTILES = 256
 
 
 def key_shifts(df: DataFrame, key: str) -> tuple[int, ...]:
-    """Bits below the bucket for each level, from one small aggregate over the keys.
+    return key_facts(df, key)[0]
+
+
+def key_facts(df: DataFrame, key: str) -> tuple[tuple[int, ...], int]:
+    """Bits below the bucket for each level, and the number of rows, from one small aggregate over the keys.
 
     The densest of _QUANTILES equal shares of the rows decides the finest level; levels go up until one window holds the rest.
     """
@@ -32,14 +36,14 @@ def key_shifts(df: DataFrame, key: str) -> tuple[int, ...]:
     at = [i / _QUANTILES for i in range(_QUANTILES + 1)]
     found = df.agg(F.percentile_approx(k, at, 10 * _QUANTILES).alias("q"), F.min(k).alias("lo"), F.max(k).alias("hi"), F.count(k).alias("n")).first()
     if not found["n"]:
-        return (0,)
+        return (0,), 0
     q = sorted({found["lo"], *found["q"], found["hi"]})
     gap = min((b - a for a, b in zip(q, q[1:], strict=False)), default=1)
     shift = max(0, math.floor(math.log2(max(1.0, BUCKET_ROWS * gap * _QUANTILES / found["n"]))))
     shifts = [min(shift, 62)]
     while (found["hi"] >> shifts[-1]) - (found["lo"] >> shifts[-1]) >= 1 << LEVEL_BITS:
         shifts.append(shifts[-1] + LEVEL_BITS)
-    return tuple(shifts)
+    return tuple(shifts), found["n"]
 
 
 def shuffle_key(seed: int, *cols: Column) -> Column:
@@ -173,12 +177,15 @@ def take_first(
     df: DataFrame, n: int, key: str, *, group: Sequence[str] = (), major: str | None = None,
     shifts: Sequence[int] | None = None,
 ) -> DataFrame:
-    """The first ``n`` rows of every group in order.
+    """The first ``n`` rows of every group in order; a table of no more rows is returned as it is.
 
     A first job counts the buckets. Those that start at or beyond the cap stay out of the shuffle:
     the limit is a single value, or one row per group.
     """
-    shifts = shifts or key_shifts(df, key)
+    if shifts is None:
+        shifts, rows = key_facts(df, key)
+        if rows <= n:
+            return df
     off = bucket_offsets(df, F.lit(1), key, group, shifts, major)
     open_buckets = cut_lineage(off.filter(F.col("_off") < n))
     levels = _levels(key, shifts, major)
@@ -198,7 +205,10 @@ def take_while(
     df: DataFrame, counts: Column, n: int, key: str, *, major: str | None = None, shifts: Sequence[int] | None = None
 ) -> DataFrame:
     """Rows in order up to the ``n``-th that counts, and those before it; all rows when fewer count."""
-    shifts = shifts or key_shifts(df, key)
+    if shifts is None:
+        shifts, rows = key_facts(df, key)
+        if rows <= n:
+            return df
     one = F.coalesce(counts, F.lit(False)).cast("bigint")
     off = bucket_offsets(df, one, key, (), shifts, major)
     open_buckets = cut_lineage(off.filter(F.col("_off") < n))
