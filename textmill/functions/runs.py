@@ -36,21 +36,30 @@ def fixed_point(n: Column, scale: Column, digits: int) -> Column:
     Only a row that lies at a tie looks at the double's error.
     """
     base = F.lit(10**digits).cast("bigint")
-    unit = _div(scale, base)
-    k, twice_rest = _div(n, unit), (n % unit) * 2
-    over = _over_tie(n / scale.cast("double"), 2 * 10**digits, (k * 2 + 1).cast("double"))
-    tie_up = F.when(over > 0, 1).when((over == 0) & (k % 2 == 1), 1).otherwise(0)
-    v = k + F.when(twice_rest > unit, 1).when(twice_rest < unit, 0).otherwise(tie_up)
-    return F.concat(_div(v, base).cast("string"), F.lit("."), F.lpad((v % base).cast("string"), digits, "0"))
+
+    def rounded(s: Column) -> Column:
+        unit = _div(s["scale"], base)
+        return F.struct(_div(s["n"], unit).alias("k"), ((s["n"] % unit) * 2 - unit).alias("rest"), (s["n"] / s["scale"].cast("double")).alias("x"))
+
+    def shown(s: Column) -> Column:
+        over = _over_tie(s["x"], 2 * 10**digits, (s["k"] * 2 + 1).cast("double"))
+        tie_up = F.when(over > 0, 1).when((over == 0) & (s["k"] % 2 == 1), 1).otherwise(0)
+        v = s["k"] + F.when(s["rest"] > 0, 1).when(s["rest"] < 0, 0).otherwise(tie_up)
+        return F.concat(_div(v, base).cast("string"), F.lit("."), F.lpad((v % base).cast("string"), digits, "0"))
+
+    return let(let(F.struct(n.alias("n"), scale.alias("scale")), rounded), shown)
 
 
 def size_tag(n: Column, digits: int = 1) -> Column:
     """Parameter count as B, M or K with ``digits`` decimals; '?' when unknown."""
-    v = n.cast("bigint")
-    by_size = lambda b, m, k: F.when(v >= 10**9, F.lit(b)).when(v >= 10**6, F.lit(m)).otherwise(F.lit(k))
-    scale = by_size(10**9, 10**6, 10**3).cast("bigint")
-    scaled = F.concat(fixed_point(v, scale, digits), by_size("B", "M", "K"))
-    return F.when(v.isNull(), F.lit("?")).when(v < 1000, v.cast("string")).otherwise(scaled)
+
+    def tag(v: Column) -> Column:
+        by_size = lambda b, m, k: F.when(v >= 10**9, F.lit(b)).when(v >= 10**6, F.lit(m)).otherwise(F.lit(k))
+        scale = by_size(10**9, 10**6, 10**3).cast("bigint")
+        scaled = F.concat(fixed_point(v, scale, digits), by_size("B", "M", "K"))
+        return F.when(v.isNull(), F.lit("?")).when(v < 1000, v.cast("string")).otherwise(scaled)
+
+    return let(n.cast("bigint"), tag)
 
 
 def parse_folder(folder: Column) -> Column:
