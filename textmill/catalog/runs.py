@@ -89,7 +89,7 @@ def size_tag2(spark, sf):
     return sizes(spark, sf).select("l_orderkey", "l_linenumber", "n", N.size_tag(c("n"), 2).alias("tag"))
 
 
-PATTERN = r"^(.+)-v(\d+)-([\d.]+[KMB]?)$"
+PATTERN = N.FOLDER_PATTERN
 
 
 @query(
