@@ -74,7 +74,8 @@ def in_order(docs: DataFrame, text: str, key: str) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(key).cast("long"), F.lit(_LOWEST)).alias("place"), F.coalesce(text, F.lit("")).alias("text"))
-    n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Many ranges to a task, so that their hashes deal them out evenly.
+    n = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     quantiles = rows.select(F.percentile_approx("place", [i / n for i in range(1, n)], 10 * n).alias("q")).first()["q"]
     bounds = np.unique(np.array(quantiles or [], np.int64))
 
