@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions.tokens import (
-    SURROGATES_SIZE, SURROGATES_START, byte_tokens, bytes_to_text, char_of, code_id, id_of, packed, token_ids,
+    SURROGATES_SIZE, SURROGATES_START, byte_tokens, bytes_to_text, char_of, code_id, id_of, packed,
 )
 from textmill.session import cut_lineage, spread
 
@@ -382,24 +382,51 @@ def with_bos_eos(tokens: Column, tok: Tokenizer, *, bos: bool = True, eos: bool
     return F.concat(head, tokens, tail)
 
 
+class BatchDecoder:
+    """Bytes of many id sequences at once, gathered from the vocabulary laid end to end."""
+
+    def __init__(self, tok: Tokenizer, skip_specials: bool):
+        # With a shared special id the last name stands for it.
+        known = {**tok.vocab, **{i: b"" if skip_specials else n.encode() for n, i in tok.specials.items()}}
+        size = max(known) + 1
+        self.length = np.array([len(known[i]) if i in known else -1 for i in range(size)])
+        self.start = np.concatenate([[0], np.cumsum(np.maximum(0, self.length))])[:-1]
+        self.data = np.frombuffer(b"".join(known.get(i, b"") for i in range(size)), np.uint8)
+
+    def decode(self, ids: np.ndarray, counts: np.ndarray, valid: pa.Array) -> pa.Array:
+        """Binary rows of ``counts`` ids each; an unknown id is an error."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.length) or self.length[ids].min() < 0):
+            raise ValueError("unknown token id")
+        n = self.length[ids]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        data = self.data[np.repeat(self.start[ids] - ends[:-1], n) + np.arange(ends[-1])]
+        offsets = ends[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
+        rows = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+        return pc.if_else(valid, rows, pa.scalar(None, pa.binary()))
+
+
 def decode_ids(ids: Column, tok: Tokenizer, *, skip_specials: bool = True) -> Column:
     """Ids to text: bytes joined, then UTF-8 with replacement. An unknown id is an error."""
-    size = max([*tok.vocab, *tok.specials.values()]) + 1
-    # With a shared special id the last name stands for it.
-    named = {i: n.encode() for n, i in tok.specials.items()}
-    hexes = [
-        (b"" if skip_specials else named[i]).hex() if i in named else tok.vocab[i].hex() if i in tok.vocab else None
-        for i in range(size)
-    ]
-    table = F.array(*[F.lit(h).cast("string") for h in hexes])
-    unknown = F.raise_error(F.lit("unknown token id"))
-    joined = F.array_join(F.transform(ids, lambda i: F.coalesce(F.get(table, i), unknown)), "")
-    return bytes_to_text(F.unhex(joined))
+    decoder = BatchDecoder(tok, skip_specials)
+
+    def look_up(lists: pa.Array) -> pa.Array:
+        counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        return decoder.decode(lists.flatten().to_numpy(zero_copy_only=False), counts, lists.is_valid())
+
+    return bytes_to_text(F.arrow_udf(look_up, "binary")(ids))
 
 
 def decode_tokens(tokens: Column, tok: Tokenizer, *, skip_specials: bool = True) -> Column:
     """Token string to text, like ``decode_ids``."""
-    return decode_ids(token_ids(tokens), tok, skip_specials=skip_specials)
+    decoder = BatchDecoder(tok, skip_specials)
+
+    def look_up(texts: pa.Array) -> pa.Array:
+        rows = pc.fill_null(texts, "").to_pylist()
+        codes = np.frombuffer("".join(rows).encode("utf-32-le"), np.uint32).astype(np.int64)
+        ids = np.where(codes < SURROGATES_START, codes, codes - SURROGATES_SIZE)
+        return decoder.decode(ids, np.array([len(t) for t in rows], np.int64), texts.is_valid())
+
+    return bytes_to_text(F.arrow_udf(look_up, "binary")(tokens))
 
 
 def round_trip_failures(df: DataFrame, text: str, tok: Tokenizer) -> DataFrame:
