@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from textmill import catalog
 from textmill.functions import tokens as K
 from textmill.operators import bpe
 
@@ -66,11 +67,32 @@ def test_many_ties_and_long_training(spark):
 def test_independent_prefix_stops_where_order_is_unsure():
     f = bpe.independent_prefix
     assert f([("ab", 9), ("cd", 8), ("be", 7), ("fg", 6)], 2, 10) == [("ab", 9), ("cd", 8)]
+    assert f([("ab", 9), ("ac", 8), ("db", 7), ("ea", 6)], 2, 10) == [("ab", 9), ("ac", 8), ("db", 7)]
     assert f([("ab", 9), ("cc", 8), ("de", 7)], 2, 10) == [("ab", 9), ("cc", 8)]
     assert f([("ab", 9), ("cd", 8)], 2, 1) == [("ab", 9)]
     assert f([("ab", 9), ("cd", 1)], 2, 10) == [("ab", 9)]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_pairs_of_a_side_are_merged_in_one_pass(spark, seed):
+    rnd = random.Random(seed)
+    words = ["a" + x for x in "bcdef"] + [x + "b" for x in "cdef"] + ["ba", "cab", "abab"]
+    texts = ["".join(rnd.choice(words) for _ in range(60)) for _ in range(4)]
+    tok = bpe.bpe_train(frame(spark, texts), "t", "i", vocab_size=260 + 40)
+    merges, log = plain_train(texts, 260 + 40)
+    assert tok.merges == merges
+    assert tok.log == log
+
+
+def test_long_training_on_documents(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("length(text) between 300 and 2000").orderBy("doc_id").limit(16)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    rows = catalog.queries()["bpe_train_large"](spark, str(tmp_path)).orderBy("step").collect()
+    merges, log = plain_train([r.text for r in docs.select("doc_id", "text").orderBy("doc_id").collect()], 260 + 512)
+    assert len(rows) > 500 and [(r.left_id, r.right_id) for r in rows] == merges
+    assert [tuple(r) for r in rows] == log
+
+
 def test_training_errors_and_stops(spark):
     df = frame(spark, ["abab"])
     for size in (0, 256, 260):

@@ -11,6 +11,7 @@ from textmill.session import scratch_path, spread_few
 from textmill.sources import tokenizers as TS
 
 N_MERGES = 8
+MANY_MERGES = 512
 
 
 def c(name):
@@ -21,9 +22,9 @@ def docs(spark, sf):
     return spread_few(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
 
 
-def trained(spark, sf):
+def trained(spark, sf, merges=N_MERGES):
     """A tokenizer of a few merges learned from the documents."""
-    size = bpe.BYTES + N_MERGES + len(bpe.SPECIALS)
+    size = bpe.BYTES + merges + len(bpe.SPECIALS)
     return bpe.bpe_train(docs(spark, sf), "text", "doc_id", vocab_size=size)
 
 
@@ -150,8 +151,17 @@ def merge_pair(spark, sf):
 
 @query("bpe_train", f"{SQL_ENCODED} {SQL_LOG}")
 def bpe_train(spark, sf):
-    log = trained(spark, sf).log
-    return spark.createDataFrame(log, "step int, left_id int, right_id int, frequency bigint, tokens_left bigint")
+    return training_log(spark, trained(spark, sf))
+
+
+def training_log(spark, tok):
+    return spark.createDataFrame(tok.log, "step int, left_id int, right_id int, frequency bigint, tokens_left bigint")
+
+
+@query("bpe_train_large")
+def bpe_train_large(spark, sf):
+    """Far more merges than SQL can spell out; unit tests compare them with a plain loop."""
+    return training_log(spark, trained(spark, sf, MANY_MERGES))
 
 
 @query("bpe_encode", f"{SQL_ENCODED} SELECT doc_id, length(x) AS n_tokens, x AS tokens FROM {LAST}")

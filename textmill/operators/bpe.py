@@ -28,9 +28,9 @@ VOCAB_SIZE = 4096
 MIN_PAIR_FREQUENCY = 2
 BYTES = 256
 
-# Candidate pairs looked at per pass, and passes between two checkpoints of the token strings.
+# Candidate pairs looked at per pass, and merges after which the token strings are written anew.
 CANDIDATES = 256
-PASSES_PER_CHECKPOINT = 12
+MERGES_PER_CHECKPOINT = 24
 
 
 @dataclass
@@ -140,18 +140,21 @@ def top_pairs(df: DataFrame, tokens: str, order: str, k: int = CANDIDATES) -> li
 def independent_prefix(pairs: Sequence[tuple[str, int]], min_frequency: int, room: int) -> list[tuple[str, int]]:
     """The leading pairs that are sure to be the next merges in this order.
 
-    While no token is shared, merging a pair leaves the counts of the others alone. A pair made
-    with the new token stands where a pair that shares a token with it stood, so it is no more
-    frequent, nor met before one that ranks above that pair: it begins one place earlier, where the merged
-    pair itself stood. Pairs of one token twice end the run, as their product can follow itself.
+    Merging (a, b) takes the tokens a that a b follows, and the tokens b that an a precedes. So pairs (a, c) and (c, b) keep
+    their counts and first places; only a pair that begins with b or ends with a can lose, and the run ends before the first of
+    those. A pair made with the new token stands where such a pair stood, so it is no more frequent, nor met before one that
+    ranks above that pair: it begins one place earlier, where the merged pair itself stood. Pairs of one token twice
+    end the run, as their product can follow itself.
     """
     out: list[tuple[str, int]] = []
-    used: set[str] = set()
+    begins: set[str] = set()
+    ends: set[str] = set()
     for pair, n in pairs:
-        if len(out) >= room or n < min_frequency or used & set(pair):
+        if len(out) >= room or n < min_frequency or pair[0] in ends or pair[1] in begins:
             break
         out.append((pair, n))
-        used |= set(pair)
+        begins.add(pair[0])
+        ends.add(pair[1])
         if pair[0] == pair[1]:
             break
     return out
@@ -181,7 +184,7 @@ def bpe_train(
 
     merges: list[tuple[int, int]] = []
     log: list[tuple[int, int, int, int, int]] = []
-    passes = 0
+    pending = 0
     while BYTES + len(merges) < goal:
         chosen = independent_prefix(
             top_pairs(state, "_t", order), min_pair_frequency, goal - BYTES - len(merges)
@@ -199,9 +202,9 @@ def bpe_train(
             # Occurrences of a doubled token overlap, so the merged ones are counted.
             left = state.agg(F.sum(F.length("_t")).alias("n")).first()["n"]
             log[-1] = (*log[-1][:4], left)
-        passes += 1
-        if passes % PASSES_PER_CHECKPOINT == 0:
-            state = cut_lineage(state)
+        pending += len(chosen)
+        if pending >= MERGES_PER_CHECKPOINT:
+            state, pending = cut_lineage(state), 0
     return make_tokenizer(merges, special_ids=special_ids, log=log)
 
 
