@@ -197,6 +197,29 @@ def test_edited_passages_are_found():
     assert found / 150 >= decontaminate.RECALL
 
 
+def found_in(text, index):
+    """(item, start, end, distance) of the passages of a text."""
+    data, offsets = flat_of([text])
+    return [x[1:] for x in decontaminate._found(index, data, offsets)]
+
+
+def random_words(rnd, size, letters="aeiouthsnr"):
+    """A text of random words, ``size`` characters long."""
+    out = ""
+    while len(out) < size:
+        out += "".join(rnd.choice(letters) for _ in range(rnd.randrange(2, 9))) + " "
+    return out[: size - 1] + "z"
+
+
+def test_copies_of_short_items_are_found_inside_a_text():
+    rnd = random.Random(8)
+    items = [random_words(rnd, n) for n in range(9, 90)]
+    index = decontaminate.Items(list(range(len(items))), items, decontaminate.repeats_for())
+    for i, t in enumerate(items):
+        for before, after in (("some words before ", " and after them, some more"), ("quoted (", ") and more of it")):
+            assert (i, len(before), len(before) + len(t), 0) in found_in(before + t + after, index)
+
+
 def test_forest_depth_and_recall():
     depth = forest.depth_for(0.8)
     assert forest.meeting(0.8, depth, forest.TREES) >= forest.RECALL > forest.meeting(0.8, depth + 1, forest.TREES)

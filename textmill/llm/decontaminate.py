@@ -7,14 +7,14 @@ candidates, and each candidate passage is verified by its exact edit distance to
 
 What makes this fit one pass over all texts:
 
-* The first STEPS symbols of a walk depend on the first characters of the window alone, so sampling among them hashes a
-  window of any length. Items are embedded at each of their own words as well, so that wherever an edit falls, the words
+* The first STEPS symbols of a walk read at most STEPS bytes, so sampling among them hashes a window of any length. Only windows
+  with as many bytes before the end of their item are hashed, as a walk beyond it would read what follows in the document. Items are embedded at each of their own words as well, so that wherever an edit falls, the words
   after it start walks without it.
 * A word of a document starts a walk only if its first PREFIX bytes start a word of some item, looked up in a bitmap.
 * Items are held in blocks of bounded size; a benchmark of several blocks is scanned block by block.
 
 The number of repetitions of the sampling is the smallest that reaches RECALL for items of WINDOWS words with ERROR
-edits per character. Items without a word of PREFIX bytes before their end are searched for as they are.
+edits per character. Items without a word of STEPS bytes before their end, but for their first, are searched for as they are.
 
 Defined results: null and empty texts and items match nothing (items are trimmed); items of fewer than MIN_CHARS characters match
 only equal text; passages of one item do not overlap, the first wins; repeated rows and repeated items are each reported; an empty table on either side gives an empty result.
@@ -88,12 +88,12 @@ def window_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, prefix
         yield mix64(total)
 
 
-def window_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word starts with PREFIX bytes or more before the end of their text, and a hash of those bytes."""
+def window_starts(data: np.ndarray, offsets: np.ndarray, room: int = PREFIX) -> tuple[np.ndarray, np.ndarray]:
+    """Word starts with ``room`` bytes or more before the end of their text, and a hash of the first PREFIX of them."""
     if len(data) < PREFIX:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     starts, _ = word_bounds(data, offsets)
-    starts = starts[starts + PREFIX <= offsets[np.searchsorted(offsets, starts, "right")]]
+    starts = starts[starts + room <= offsets[np.searchsorted(offsets, starts, "right")]]
     eight = np.ndarray((len(data) - PREFIX + 1,), "<u8", np.ascontiguousarray(data), strides=(1,))
     return starts, mix64(eight[starts])
 
@@ -150,9 +150,10 @@ class Items:
         raw = [t.encode() for t in texts]
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
         data = np.frombuffer(b"".join(raw), np.uint8)
-        starts, prefix = window_starts(data, offsets)
+        starts, prefix = window_starts(data, offsets, STEPS)
         of = owners(starts, offsets)
-        self.plain = [(i, raw[i]) for i in np.setdiff1d(np.arange(len(raw)), of).tolist()]
+        # The first word of an item need not start one of the document (quotes, brackets).
+        self.plain = [(i, raw[i]) for i in np.setdiff1d(np.arange(len(raw)), of[starts > offsets[of]]).tolist()]
         self.prefixes = np.zeros(1 << _TABLE_BITS, bool)
         self.prefixes[prefix >> np.uint64(64 - _TABLE_BITS)] = True
         before = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
