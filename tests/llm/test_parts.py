@@ -220,6 +220,28 @@ def test_copies_of_short_items_are_found_inside_a_text():
             assert (i, len(before), len(before) + len(t), 0) in found_in(before + t + after, index)
 
 
+def edited_text(rnd, text, edits):
+    for _ in range(edits):
+        i = rnd.randrange(len(text))
+        text = text[:i] + rnd.choice(["", "x", text[i] + "y"]) + text[i + 1 :]
+    return text
+
+
+def test_passages_up_to_the_share_of_edits_are_all_found():
+    rnd = random.Random(9)
+    items = [random_words(rnd, rnd.randrange(30, 101)) for _ in range(50)] + [random_words(rnd, 700)]
+    index = decontaminate.Items(list(range(len(items))), items, decontaminate.MAX_REPEATS)
+    filler = [random_words(rnd, 150) for _ in range(20)]
+    n = 0
+    for i, t in enumerate(items):
+        for share in (0.1, 0.15, 0.2):
+            text = rnd.choice(filler) + edited_text(rnd, t, int(len(t) * share)) + rnd.choice(filler)
+            want = {j for j, u in enumerate(items) if decontaminate.distance(text, u, int(len(u) * decontaminate.MAX_SHARE))}
+            assert {x[0] for x in found_in(text, index)} == want and i in want
+            n += len(want)
+    assert n >= 153
+
+
 def test_forest_depth_and_recall():
     depth = forest.depth_for(0.8)
     assert forest.meeting(0.8, depth, forest.TREES) >= forest.RECALL > forest.meeting(0.8, depth + 1, forest.TREES)

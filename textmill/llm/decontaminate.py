@@ -1,20 +1,23 @@
 """Benchmark decontamination: passages of documents within a small edit distance of a benchmark item.
 
-Windows of a document start at its words and are as long as the item. A CGK random walk embeds a window: step j puts out the
-character under the pointer, and a random bit of (j, character) says whether the pointer moves on, so that a few edits change few of the
-symbols put out. Bit-sampling LSH hashes a few of those symbols; windows that share a hash with a window of an item are
-candidates, and each candidate passage is verified by its exact edit distance to the whole item.
+Candidates come in two ways, and each candidate passage is verified by its exact edit distance to the whole item.
 
-What makes this fit one pass over all texts:
+Items of enough words are sampled. A CGK random walk embeds a window that starts at a word: step j puts out the character under
+the pointer, and a random bit of (j, character) says whether the pointer moves on, so that a few edits change few of the
+symbols put out. Bit-sampling LSH hashes a few of those symbols; windows that share a hash with a window of an item are candidates.
 
 * The first STEPS symbols of a walk read at most STEPS bytes, so sampling among them hashes a window of any length. Only windows
-  with as many bytes before the end of their item are hashed, as a walk beyond it would read what follows in the document. Items are embedded at each of their own words as well, so that wherever an edit falls, the words
-  after it start walks without it.
+  with as many bytes before the end of their item are hashed, as a walk beyond it would read what follows in the document.
 * A word of a document starts a walk only if its first PREFIX bytes start a word of some item, looked up in a bitmap.
-* Items are held in blocks of bounded size; a benchmark of several blocks is scanned block by block.
+* An item is sampled if MAX_REPEATS repetitions reach RECALL at MAX_SHARE edits per character by its windows apart from each other.
 
-The number of repetitions of the sampling is the smallest that reaches RECALL for items of WINDOWS words with ERROR
-edits per character. Items without a word of STEPS bytes before their end, but for their first, are searched for as they are.
+All other items are counted, which loses no passage. An item within its number of edits has a segment (SEGMENT characters at
+most) within that segment's share of them, and of a segment's pieces of three or four characters all but one an edit occur as they are, on
+diagonals no further apart than the edits. Pieces are looked up at every character of a document, whatever its script, and
+counted by diagonal; where enough meet, the edit distance of the segment is computed for many places at once.
+
+Items of fewer than MIN_CHARS characters are searched for as they are. Items are held in blocks of bounded size; a
+benchmark of several blocks is scanned block by block.
 
 Defined results: null and empty texts and items match nothing (items are trimmed); items of fewer than MIN_CHARS characters match
 only equal text; passages of one item do not overlap, the first wins; repeated rows and repeated items are each reported; an empty table on either side gives an empty result.
@@ -37,7 +40,10 @@ RECALL, ERROR, WINDOWS, MAX_REPEATS = 0.95, 0.05, 8, 64
 BLOCK_ITEMS, BLOCK_CHARS = 20_000, 16_000_000
 MAX_SHARE = 0.2  # edits per character of the item at which a passage still counts
 MIN_CHARS = 25
+SEGMENT, SEGMENTS = 64, 1 << 14  # characters of a segment, a bit each; segments counted together
 _TABLE_BITS = 22
+_AT_ONCE, _CELLS, _HITS, _LANES = 8192, 1 << 22, 1 << 21, 4096  # characters, cells, hits and places worked on at once
+_MASK = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
 
 def walk_bits(repeat: int, steps: int = STEPS) -> np.ndarray:
@@ -58,15 +64,20 @@ def embed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bits: np.ndarr
     return out
 
 
+def reached(error: float, repeats: int, windows: int) -> float:
+    """The recall of the repetitions, see ``repeats_for``."""
+    prefix, sample = (1 - error) ** PREFIX, (1 - 2 * error) ** SAMPLED
+    return 1 - (1 - prefix * (1 - (1 - sample) ** repeats)) ** windows
+
+
 def repeats_for(error: float = ERROR, recall: float = RECALL, windows: int = WINDOWS) -> int:
     """Repetitions after which one of an item's windows is found with the recall.
 
     A window is found if its prefix has no edit and, in some repetition, no sampled symbol is disturbed. An edit disturbs a
     walk until it falls into step again, some two steps for small distances.
     """
-    prefix, sample = (1 - error) ** PREFIX, (1 - 2 * error) ** SAMPLED
     for n in range(1, MAX_REPEATS + 1):
-        if 1 - (1 - prefix * (1 - (1 - sample) ** n)) ** windows >= recall:
+        if reached(error, n, windows) >= recall:
             return n
     raise ValueError(f"{MAX_REPEATS} repetitions do not reach this recall at this error")
 
@@ -142,18 +153,169 @@ def _search(text: str, pattern: str, whole: int | None = None) -> tuple[int, int
     return best
 
 
+def symbols(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each code point, and its bytes as one number."""
+    at = np.flatnonzero((data & 0xC0) != 0x80)
+    if len(at) == len(data):
+        return at, data.astype(np.uint32)
+    four = np.ndarray((len(data),), "<u4", np.append(data, np.zeros(3, np.uint8)), strides=(1,))
+    return at, four[at] & _MASK[np.minimum(np.diff(np.append(at, len(data))), 4)]
+
+
+def _gram_slots(symbol: np.ndarray, size: int, bits: int) -> np.ndarray:
+    """Hash of the ``size`` symbols from each place on."""
+    n = max(0, len(symbol) - size + 1)
+    total = np.zeros(n, np.uint32)
+    for i in range(size):
+        total = total * np.uint32(0x01000193) + symbol[i : i + n] + np.uint32(1)
+    return (total ^ (total >> np.uint32(15))) * np.uint32(0x85EBCA6B) >> np.uint32(32 - bits)
+
+
+def _letters(symbol: np.ndarray) -> np.ndarray:
+    """Symbols as 256 letters: ASCII keeps its own, others may share one."""
+    return ((symbol ^ (symbol >> np.uint32(9)) ^ (symbol >> np.uint32(18))) & np.uint32(0xFF)).astype(np.int64)
+
+
+class Segments:
+    """Segments of items, found wherever they occur within their numbers of edits."""
+
+    def __init__(self, parts: list[tuple[int, int, np.ndarray, int]]):
+        """``parts``: item, place in the item, symbols, edits."""
+        self.item, self.place, self.most = (np.array([p[k] for p in parts], np.int64) for k in (0, 1, 3))
+        self.size = np.array([len(p[2]) for p in parts], np.int64)
+        self.equal = np.zeros((len(parts), 256), np.uint64)
+        for i, (_, _, symbol, _) in enumerate(parts):
+            np.bitwise_or.at(self.equal[i], _letters(symbol), np.uint64(1) << np.arange(len(symbol), dtype=np.uint64))
+        # Pieces of four characters are rarer, but of a short segment they leave too few to count.
+        length = np.where(self.size // 4 - self.most >= 3, 4, 3)
+        self.enough = self.size // length - self.most
+        self.tables = []
+        for q in (3, 4):
+            own = np.flatnonzero(length == q)
+            if not len(own):
+                continue
+            n = self.size[own] // q
+            bits = int(np.clip(np.ceil(np.log2(8 * n.sum())), 12, 24))
+            slots = np.concatenate([_gram_slots(parts[i][2], q, bits)[: k * q : q] for i, k in zip(own.tolist(), n.tolist(), strict=True)])
+            order = np.argsort(slots, kind="stable")
+            number = np.bincount(slots, minlength=1 << bits)
+            seg = np.repeat(np.arange(len(own)), n)[order]
+            places = np.concatenate([np.arange(k) * q for k in n.tolist()])[order]
+            step = max(512, min(_AT_ONCE, 16 * _CELLS // len(own))) // 16 * 16
+            # A segment and a diagonal are one number, a row of cells of 16 diagonals for each segment.
+            row = step + 4 * SEGMENT
+            lead = (seg * row + SEGMENT - places).astype(np.int32)
+            self.tables.append((q, bits, own, step, row, number.astype(np.int32), (np.cumsum(number) - number).astype(np.int32), lead))
+
+    def find(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(segment, diagonal) of places that hold a segment within its edits; the passage's own diagonals are as near as its edits, or 7 more."""
+        found = [np.zeros(0, np.int64)]
+        for q, bits, own, step, row, number, first, lead in self.tables:
+            slots = _gram_slots(symbol, q, bits)
+            enough, most = self.enough[own], self.most[own]
+            spans = [(a, min(a + step + 2 * SEGMENT, len(slots))) for a in range(0, len(slots), step)]
+            while spans:
+                a, b = spans.pop()
+                slot = slots[a:b]
+                n = number[slot]
+                some = np.flatnonzero(n)
+                slot, n = slot[some], n[some]
+                upto = np.cumsum(n, dtype=np.int32)
+                total = int(upto[-1]) if len(upto) else 0
+                if total > _HITS and b - a > 6 * SEGMENT:  # both halves hold what spans their border
+                    half = (a + b) // 2
+                    spans += [(a, half + SEGMENT), (half - SEGMENT, b)]
+                    continue
+                key = lead[np.repeat(first[slot] - (upto - n), n) + np.arange(total, dtype=np.int32)]
+                key += np.repeat(some.astype(np.int32), n)
+                # A segment's pieces lie on diagonals no further apart than its edits, fewer than 16: in two cells side by side.
+                cell = key >> 4
+                counts = np.bincount(cell, minlength=len(own) * row // 16).astype(np.int16).reshape(-1, row // 16)
+                pair = counts[:, :-1] + counts[:, 1:] >= enough[:, None].astype(np.int16)
+                flag = np.zeros(counts.shape, bool)
+                flag[:, :-1] = pair
+                flag[:, 1:] |= pair
+                key = np.sort(key[flag.ravel()[cell]])
+                of = key // row
+                last = np.arange(len(key)) + enough[of] - 1
+                good = (last < len(key)) & (key[np.minimum(last, len(key) - 1)] - key <= most[of])
+                key, of = key[good], of[good]
+                # One of eight neighbours stands for them.
+                found.append((own[of] << 40) + ((key - of * row + (a + SEGMENT)) >> 3))
+        key = np.sort(np.concatenate(found))
+        key = key[np.append(True, key[1:] != key[:-1])] if len(key) else key
+        of, diagonal = key >> 40, ((key & ((1 << 40) - 1)) << 3) - 2 * SEGMENT
+        letters = np.concatenate([np.zeros(4 * SEGMENT, np.int64), _letters(symbol), np.zeros(4 * SEGMENT, np.int64)])
+        near = [self._near(letters, of[i : i + _LANES], diagonal[i : i + _LANES]) for i in range(0, len(of), _LANES)]
+        near = np.concatenate(near) if near else np.zeros(0, bool)
+        return of[near], diagonal[near]
+
+    def _near(self, letters: np.ndarray, of: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
+        """Whether the segment is within its edits about the diagonal: the columns of ``_search``, for all places at once."""
+        most, size = self.most[of], self.size[of]
+        at = diagonal - most + 4 * SEGMENT
+        rows, equal = of * 256, self.equal.ravel()
+        top, one = (size - 1).astype(np.uint64), np.uint64(1)
+        plus, minus = np.full(len(of), ~np.uint64(0)), np.zeros(len(of), np.uint64)
+        score = size.astype(np.uint64)
+        best = score.copy()
+        across, up, bit = (np.empty_like(plus) for _ in range(3))
+        for j in range(int((size + 2 * most).max()) + 8):
+            eq = equal[rows + letters[at + j]]
+            np.bitwise_and(eq, plus, out=across)
+            across += plus
+            across ^= plus
+            across |= eq
+            across |= minus
+            np.bitwise_or(across, plus, out=up)
+            np.invert(up, out=up)
+            up |= minus
+            plus &= across  # now those that go down
+            np.right_shift(up, top, out=bit)
+            bit &= one
+            score += bit
+            np.right_shift(plus, top, out=bit)
+            bit &= one
+            score -= bit
+            up <<= one
+            plus <<= one
+            np.bitwise_and(up, across, out=minus)
+            across |= up
+            np.invert(across, out=across)
+            plus |= across
+            np.minimum(best, score, out=best)
+        return best <= most.astype(np.uint64)
+
+
+def segments(item: int, text: str) -> list[tuple[int, int, np.ndarray, int]]:
+    """Segments of about equal size with numbers of edits of which one holds if the item is within its own."""
+    _, symbol = symbols(np.frombuffer(text.encode(), np.uint8))
+    n = -(-len(symbol) // SEGMENT)
+    bounds = np.arange(n + 1) * len(symbol) // n
+    # If each segment had one edit more than it may, there were more than the item may have.
+    edits = np.diff(np.arange(n + 1) * (int(len(symbol) * MAX_SHARE) + 1) // n) - 1
+    return [(item, a, symbol[a:b], e) for a, b, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), edits.tolist(), strict=True) if e >= 0]
+
+
 class Items:
-    """A block of items with the hashes of all their windows."""
+    """A block of items: hashes of the windows of those sampled, segments of those counted."""
 
-    def __init__(self, ids: list, texts: list[str], repeats: int):
+    def __init__(self, ids: list, texts: list[str], repeats: int, error: float = MAX_SHARE, recall: float = RECALL):
         self.ids, self.texts, self.repeats = ids, texts, repeats
         raw = [t.encode() for t in texts]
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
         data = np.frombuffer(b"".join(raw), np.uint8)
         starts, prefix = window_starts(data, offsets, STEPS)
         of = owners(starts, offsets)
-        # The first word of an item need not start one of the document (quotes, brackets).
-        self.plain = [(i, raw[i]) for i in np.setdiff1d(np.arange(len(raw)), of[starts > offsets[of]]).tolist()]
+        # Windows in different stretches of STEPS bytes: every second one shares nothing with the others.
+        apart = np.bincount(np.unique(of * (len(data) + 1) + (starts - offsets[of]) // STEPS) // (len(data) + 1), minlength=len(raw)) // 2
+        sampled = np.array([reached(error, repeats, int(n)) >= recall for n in apart])
+        short = np.array([len(t) < MIN_CHARS for t in texts])
+        self.plain = [(i, raw[i]) for i in np.flatnonzero(short).tolist()]
+        parts = [x for i in np.flatnonzero(~short & ~sampled).tolist() for x in segments(i, texts[i])]
+        self.segments = [Segments(parts[i : i + SEGMENTS]) for i in range(0, len(parts), SEGMENTS)]
+        own = sampled[of]
+        starts, prefix, of = starts[own], prefix[own], of[own]
         self.prefixes = np.zeros(1 << _TABLE_BITS, bool)
         self.prefixes[prefix >> np.uint64(64 - _TABLE_BITS)] = True
         before = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
@@ -168,11 +330,13 @@ class Items:
 
     def candidates(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(row, byte of the window, item, character of the item's window), a row for each pair of windows that share a hash."""
-        starts, prefix = window_starts(data, offsets)
-        known = self.prefixes[prefix >> np.uint64(64 - _TABLE_BITS)]
-        starts, prefix = starts[known], prefix[known]
         found = [(np.zeros(0, np.int64),) * 3]
-        if len(starts) and self.tables:
+        starts = np.zeros(0, np.int64)
+        if self.tables:
+            starts, prefix = window_starts(data, offsets)
+            known = self.prefixes[prefix >> np.uint64(64 - _TABLE_BITS)]
+            starts, prefix = starts[known], prefix[known]
+        if len(starts):
             ends = offsets[np.searchsorted(offsets, starts, "right")]
             for hashed, table, (keys, of, place) in zip(window_hashes(data, starts, ends, prefix, self.repeats), self.tables, self.maps, strict=True):
                 hit = np.flatnonzero(table[hashed >> np.uint64(64 - _TABLE_BITS)])
@@ -186,9 +350,26 @@ class Items:
             while at >= 0:
                 found.append((np.array([at]), np.array([item]), np.array([0])))
                 at = raw.find(wanted, at + 1)
+        if self.segments and len(data):
+            at, symbol = symbols(data)
+            rows = np.searchsorted(at, offsets)
+            found += [self._placed(s, at, symbol, rows) for s in self.segments]
         start, item, place = (np.concatenate(c) for c in zip(*found, strict=True))
         return owners(start, offsets), start, item, place
 
+    def _placed(self, counted: Segments, at: np.ndarray, symbol: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(byte, item, character of the item there) of the places of segments, for each row they reach into."""
+        of, diagonal = counted.find(symbol)
+        low, high = (np.clip(x, 0, len(at) - 1) for x in (diagonal - SEGMENT, diagonal + 2 * SEGMENT))
+        first = owners(low, rows)
+        n = owners(high, rows) - first + 1
+        of, diagonal = np.repeat(of, n), np.repeat(diagonal, n)
+        row = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        full = rows[row + 1] > rows[row]
+        of, diagonal, row = of[full], diagonal[full], row[full]
+        inside = np.clip(diagonal, rows[row], rows[row + 1] - 1)
+        return at[inside], counted.item[of], inside - diagonal + counted.place[of]
+
     def passages(self, text: str, windows: np.ndarray, items: np.ndarray, places: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         """(item, start, end, distance) of verified passages of a text; candidates of one passage are verified once."""
         for item in np.unique(items).tolist():
@@ -200,11 +381,18 @@ class Items:
             for b in begin.tolist():
                 if b + len(pattern) <= done:
                     continue
-                lo, hi = max(0, b - slack, done), max(0, b) + len(pattern) + 2 * slack
-                found = distance(text[lo:hi], pattern, slack)
-                if found:
-                    yield item, lo + found[1], lo + found[2], found[0]
-                    done = lo + found[2]
+                lo, hi = max(0, b - slack, done), max(0, b) + len(pattern) + 2 * slack + 8
+                for start, end, edits in _within(text, lo, min(hi, len(text)), pattern, slack):
+                    yield item, start, end, edits
+                    done = end
+
+
+def _within(text: str, lo: int, hi: int, pattern: str, most: int) -> list[tuple[int, int, int]]:
+    """(start, end, distance) of passages between two places, one after the other."""
+    if hi - lo < len(pattern) - most or not (found := distance(text[lo:hi], pattern, most)):
+        return []
+    edits, start, end = found[0], lo + found[1], lo + found[2]
+    return [*_within(text, lo, start, pattern, most), (start, end, edits), *_within(text, end, hi, pattern, most)]
 
 
 def _blocks(items: DataFrame, key: str, text: str) -> Iterator[tuple[list, list[str]]]:
@@ -223,16 +411,15 @@ def _blocks(items: DataFrame, key: str, text: str) -> Iterator[tuple[list, list[
 
 def find_passages(
     docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", item_key: str = "item_id", item_text: str = "text",
-    error: float = ERROR, recall: float = RECALL,
+    error: float = MAX_SHARE, recall: float = RECALL,
 ) -> DataFrame:
     """(key, item, start, end, distance): passages (code points, end exclusive) within MAX_SHARE edits per character of an item."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = to_arrow_type(items.schema[item_key].dataType)
     schema = f"key {dict(docs.dtypes)[key]}, item {dict(items.dtypes)[item_key]}, start long, `end` long, distance long"
-    repeats = repeats_for(error, recall)
     out = None
     for ids, texts in _blocks(items, item_key, item_text):
-        shared = docs.sparkSession.sparkContext.broadcast(Items(ids, texts, repeats))
+        shared = docs.sparkSession.sparkContext.broadcast(Items(ids, texts, MAX_REPEATS, error, recall))
         found = rows.mapInArrow(_scan(shared, kind), schema)
         out = found if out is None else out.unionByName(found)
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
@@ -240,11 +427,11 @@ def find_passages(
 
 def drop_contaminated(
     docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text",
-    error: float = ERROR, recall: float = RECALL,
+    error: float = MAX_SHARE, recall: float = RECALL,
 ) -> DataFrame:
     """The rows, with all their columns, that hold no passage of an item; no shuffle."""
     for ids, texts in _blocks(items, item_key, item_text):
-        shared = docs.sparkSession.sparkContext.broadcast(Items(ids, texts, repeats_for(error, recall)))
+        shared = docs.sparkSession.sparkContext.broadcast(Items(ids, texts, MAX_REPEATS, error, recall))
         docs = docs.mapInArrow(_filter(shared, text), docs.schema)
     return docs
 
