@@ -242,6 +242,16 @@ def test_passages_up_to_the_share_of_edits_are_all_found():
     assert n >= 153
 
 
+def test_items_without_spaces_are_found_inside_a_sentence():
+    rnd = random.Random(10)
+    runs = [random_words(rnd, n, "".join(map(chr, range(0x4E00, 0x5200)))).replace(" ", "") for n in (30, 36, 50, 90, 400)]
+    index = decontaminate.Items(list(range(5)), runs, decontaminate.MAX_REPEATS)
+    for i, t in enumerate(runs):
+        before, after = runs[i - 1][:20], runs[i - 2][:20]
+        assert (i, 20, 20 + len(t), 0) in found_in(before + t + after, index)
+        assert i in {x[0] for x in found_in(before + edited_text(rnd, t, int(len(t) * 0.2)) + after, index)}
+
+
 def test_forest_depth_and_recall():
     depth = forest.depth_for(0.8)
     assert forest.meeting(0.8, depth, forest.TREES) >= forest.RECALL > forest.meeting(0.8, depth + 1, forest.TREES)
