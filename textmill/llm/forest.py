@@ -1,9 +1,9 @@
-"""N-gram Jaccard join by a MinHash LSH forest.
+"""N-gram Jaccard join by MinHash bands of a depth set by the recall wanted.
 
-Each of TREES tries holds the texts' signatures, sequences of up to MAX_DEPTH minima. Texts whose sequences share a
-prefix are candidates. Matched prefixes start at full length and are shortened value by value until a pair at the
-threshold meets in some trie with the target probability; prefixes of that length are the groups that ``links`` verifies exactly, so that
-nothing below the threshold is reported and what is missed is bounded by the target.
+Each of TREES bands is a sequence of minima. Its length is the longest up to MAX_DEPTH at which a pair at the threshold meets in some
+band with the target probability; it is fixed before data are read. No trie is built and no prefix is shortened for the
+data, as an LSH forest would. Texts that share a band are the groups that ``links`` verifies exactly, so that
+nothing below the threshold is reported; what is missed is bounded by the target, in expectation over the hash functions.
 
 Defined results: see ``links.classes``; texts of fewer words than a shingle are one shingle; texts without a word have no link.
 """
