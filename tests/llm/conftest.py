@@ -24,3 +24,8 @@ def none(spark):
 @pytest.fixture(scope="session")
 def labels(spark):
     return spark.createDataFrame([(i, i % 2, i % 3 == 0 and 1 or 0) for i in range(12)] + [(None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return "/root/testdata/sf0.001"

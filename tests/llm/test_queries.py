@@ -31,7 +31,7 @@ def run(spark, name):
     return entry.queries()[name](spark, FOLDER).collect()
 
 
-@pytest.mark.parametrize("name", ["op6_secrets", "op8_mixing", "op9_warc", "op10_jaccard_join"])
+@pytest.mark.parametrize("name", ["op6_secrets", "op8_mixing", "op9_warc", "op10_jaccard_join", "op12_fill_in_middle", "op13_source_divergence"])
 def test_query_equals_sql(spark, duck, name):
     got = entry.queries()[name](spark, FOLDER)
     cur = duck.execute(entry.oracle_sql()[name])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textmill.catalog.base import table
-from textmill.llm import decontaminate, forest, langid, minhash, mixing, pii, quality, secrets, toxicity, warc
+from textmill.llm import decontaminate, divergence, fim, forest, langid, minhash, mixing, packing, pii, quality, secrets, toxicity, warc
 from textmill.llm.registry import query
 from textmill.llm.sampling import remainder
 from textmill.session import scratch_path
@@ -165,3 +165,68 @@ def op2(spark, folder):
     counts = [n(k) for k in pii.KINDS]
     n_added = (F.size("spans") - F.size(base)).cast("long").alias("n_added")
     return found.select(F.col("key").alias("doc_id"), *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), n_added)
+
+
+@query("op11_packing")
+def op11(spark, folder):
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        definition = f.read()
+    found = packing.pack(table(spark, folder, "documents"), definition)
+    return found.select(F.col("key").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def _sql_draw(i: int) -> str:
+    return f"('0x' || substr(sha256('{fim.SEED}:' || coalesce(doc_id::VARCHAR, '')), {1 + 8 * i}, 8))::BIGINT"
+
+
+FIM_SQL = f"""
+WITH l AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS l,
+  {", ".join(f"{_sql_draw(i)} AS h{i + 1}" for i in range(4))} FROM documents),
+c AS (SELECT *, len(l) AS n, least(h1 % (len(l) + 1), h2 % (len(l) + 1)) AS a, greatest(h1 % (len(l) + 1), h2 % (len(l) + 1)) AS b FROM l),
+p AS (SELECT *, array_to_string(l[1:a], '') AS prefix, array_to_string(l[a + 1:b], '') AS middle, array_to_string(l[b + 1:], '') AS suffix,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= {fim.FIM_SHARE} THEN 'plain'
+       WHEN h4 % 100 < {fim.SPM_SHARE} THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+         ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@query("op12_fill_in_middle", FIM_SQL)
+def op12(spark, folder):
+    found = fim.transform(table(spark, folder, "documents"))
+    return found.select(
+        F.col("key").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256")
+    )
+
+
+def _sql_p(count: str, total: str) -> str:
+    return f"(1 + {divergence.SCALE}::HUGEINT * ({count} + {divergence.ALPHA}) // ({total} + {divergence.ALPHA} * v))::BIGINT"
+
+
+DIVERGENCE_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+o AS (SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS lang_n FROM o GROUP BY ALL HAVING count(DISTINCT id) >= {divergence.MIN_DOCS}),
+v AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM o SEMI JOIN k USING (lang, term) GROUP BY ALL),
+t AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL),
+a AS (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, {_sql_p("coalesce(n, 0)", "coalesce(total, 0)")} AS p, {_sql_p("lang_n", "lang_total")} AS q
+  FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN t USING (lang, source) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p))::BIGINT AS value FROM a x JOIN a y USING (lang, term) GROUP BY ALL),
+r AS (SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(value, 0) AS value FROM g JOIN g h ON h.lang = g.lang AND h.source <> g.source
+    LEFT JOIN s ON s.lang = g.lang AND s.source = g.source AND s.item = h.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM a WHERE n > 0 AND p > q)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM r)
+WHERE part = 'pair' OR rank <= {divergence.TOP_TERMS}
+"""
+
+
+@query("op13_source_divergence", DIVERGENCE_SQL)
+def op13(spark, folder):
+    return divergence.audit(table(spark, folder, "documents"))
