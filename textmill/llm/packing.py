@@ -18,10 +18,11 @@ gives the same pieces if its rows come in the same order, as those of a written
 
 from __future__ import annotations
 
+import json
 import os
 from collections import deque
 from collections.abc import Iterator
-from itertools import chain
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from textmill.llm.arrow import chunks, word_bounds
+from textmill.llm.arrow import WHITE, chunks, word_bounds
 
 SIZE = 4096
 END_ID = 2
@@ -38,8 +39,17 @@ HELD = 1 << 23  # ids of open windows
 _CHUNK = 1 << 23
 _NONE = -(1 << 30)
 _OUT_ROWS, _OUT_IDS = 4096, 1 << 21
-KNOWN = 1 << 19
+KNOWN = 1 << 20
 _BETWEEN, _JOINED = "\x00", 64
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+# Fixed value: the pattern of pre-tokens that are runs of letters, single digits and runs of signs, but for English endings after an apostrophe.
+_RUNS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+# ASCII letters, signs, and the apostrophe, which may belong to what follows.
+_KIND = np.zeros(256, np.uint8)
+_KIND[[*range(65, 91), *range(97, 123)]] = 1
+_KIND[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 2
+_KIND[39] = 3
 
 
 class Encoder:
@@ -51,23 +61,48 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
-        self.end_id = end_id
-        self.known: dict[str, list[int]] = {}
+        self.end = np.uint32(end_id).tobytes()
+        self.known: dict[str, bytes] = {}
         # New words go in one text, a control character between them, if that has an id of its own.
-        between = self.tokenizer.encode(f" {_BETWEEN} ", add_special_tokens=False).ids
-        self.between = between[0] if len(between) == 1 else None
+        self.between = len(self.tokenizer.encode(f" {_BETWEEN} ", add_special_tokens=False).ids) == 1
+        normalizer = json.loads(definition).get("normalizer") or {}
+        # Where all is lower-cased anyway, forms of a word are one word.
+        self.folds = "Lowercase" in [n.get("type") for n in normalizer.get("normalizers", [normalizer])]
+        self.runs = _RUNS in _patterns(json.loads(definition).get("pre_tokenizer"))
+        self.letters = self._letters() if self.folds and self.runs else None
+
+    def _letters(self):
+        """The tokenizer for words of a to z, which its normaliser and its byte alphabet leave as they are."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        plain = Tokenizer(self.tokenizer.model)
+        plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        words = ["a", "the", "unbelievable", "zzyzx", "."]
+        same = [t.encode(w, add_special_tokens=False).ids for w in words for t in (plain, self.tokenizer)]
+        return plain if same[::2] == same[1::2] and len(same[-1]) == 1 else None
+
+    def bounds(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of what is encoded by itself: words, and where pieces are runs of letters or of signs, these."""
+        starts, ends = word_bounds(data, offsets)
+        if not self.runs or not len(data):
+            return starts, ends
+        kind = _KIND[data]
+        cut = 1 + np.flatnonzero(((kind[:-1] == 1) & (kind[1:] >= 2)) | ((kind[:-1] == 2) & (kind[1:] == 1)))
+        return tuple(np.flatnonzero(_marked(len(data), at, cut)) for at in (starts, ends))
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids laid end to end, and n + 1 offsets into them."""
-        starts, ends = word_bounds(data, offsets)
+        starts, ends = self.bounds(data, offsets)
         size = ends - starts
-        inside = np.repeat(starts - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        inside = data[~WHITE[data]]
+        if self.folds:
+            inside = _LOWER[inside]
         bounds = np.concatenate([[0], np.cumsum(size)])
-        words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(data[inside])).dictionary_encode()
-        known = [*self._ids(words.dictionary.to_pylist()), [self.end_id]]
-        length = np.fromiter(map(len, known), np.int64, len(known))
+        words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(inside)).dictionary_encode()
+        known = [*self._ids(words.dictionary.to_numpy(zero_copy_only=False).tolist()), self.end]
+        length = np.fromiter(map(len, known), np.int64, len(known)) // 4
         first = np.cumsum(length) - length
-        flat = np.fromiter(chain.from_iterable(known), np.uint32, length.sum())
+        flat = np.frombuffer(b"".join(known), np.uint32)
         upto = np.searchsorted(starts, offsets)
         code = np.insert(np.asarray(words.indices), upto[1:], len(known) - 1)
         n = length[code]
@@ -75,22 +110,59 @@ class Encoder:
         ids = flat[np.repeat(first[code] - at[:-1], n) + np.arange(at[-1])]
         return ids, at[upto + np.arange(len(upto))]
 
-    def _ids(self, words: list[str]) -> list[list[int]]:
+    def _ids(self, words: list[str]) -> list[bytes]:
         if len(self.known) > KNOWN:
             self.known.clear()
         new = [w for w in words if w not in self.known]
-        alone = new if self.between is None else [w for w in new if _BETWEEN in w]
-        for word, found in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
-            self.known[word] = found.ids
-        if len(alone) < len(new):
-            new = [w for w in new if _BETWEEN not in w] if alone else new
-            texts = [f" {_BETWEEN} ".join(new[i : i + _JOINED]) for i in range(0, len(new), _JOINED)]
-            found = [e.ids + [self.between] for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            flat = list(chain.from_iterable(found))
-            stops = np.flatnonzero(np.array(flat) == self.between).tolist()
-            self.known.update((w, flat[a:b]) for w, a, b in zip(new, [0, *(s + 1 for s in stops)], stops, strict=False))
+        if self.letters is not None:
+            plain = [w for w in new if w.isascii() and w.isalpha()]
+            self._learn(self.letters, plain, ".")
+            new = [w for w in new if not (w.isascii() and w.isalpha())]
+        if self.between:
+            self._learn(self.tokenizer, [w for w in new if _BETWEEN not in w], _BETWEEN)
+            new = [w for w in new if _BETWEEN in w]
+        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            self.known[word] = np.array(found.ids, np.uint32).tobytes()
         return [self.known[w] for w in words]
 
+    def _learn(self, tokenizer, words: list[str], between: str) -> None:
+        """Ids of words, many in one text, with something between them that none of them holds."""
+        if not words:
+            return
+        mark = tokenizer.encode(f" {between} ", add_special_tokens=False).ids[0]
+        texts = [f" {between} ".join(words[i : i + _JOINED]) for i in range(0, len(words), _JOINED)]
+        flat = np.concatenate([np.array(e.ids + [mark], np.uint32) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        stops = 4 * np.flatnonzero(flat == mark)
+        starts, raw = np.concatenate([[0], stops[:-1] + 4]), flat.tobytes()
+        self.known.update(zip(words, map(raw.__getitem__, map(slice, starts.tolist(), stops.tolist())), strict=True))
+
+
+def _marked(size: int, *places: np.ndarray) -> np.ndarray:
+    mask = np.zeros(size + 1, bool)
+    for at in places:
+        mask[at] = True
+    return mask
+
+
+def _patterns(definition) -> list[str]:
+    """Patterns of the splits of a pre-tokenizer."""
+    if not definition:
+        return []
+    parts = definition.get("pretokenizers", [definition])
+    return [p["pattern"].get("Regex") for p in parts if p.get("type") == "Split"]
+
+
+# A worker keeps its encoder, and so the words of its earlier tasks.
+_encoder: dict[tuple[str, int], Encoder] = {}
+
+
+def encoder(definition: str, end_id: int) -> Encoder:
+    name = (sha256(definition.encode()).hexdigest(), end_id)
+    if name not in _encoder:
+        _encoder.clear()
+        _encoder[name] = Encoder(definition, end_id)
+    return _encoder[name]
+
 
 class Levels:
     """Numbers of open windows by the ids they hold, and the windows themselves."""
@@ -228,7 +300,7 @@ def _pack(shared, kind: pa.DataType, size: int, end_id: int, held: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         packer = Packer(size, held, (context.partitionId() if context else 0) << 40)
-        yield from _batches(_windows(batches, packer, Encoder(shared.value, end_id)), kind)
+        yield from _batches(_windows(batches, packer, encoder(shared.value, end_id)), kind)
 
     return run
 
