@@ -183,18 +183,54 @@ def test_edit_distance():
         assert plain(text[start:end], pattern)[0] <= best and abs((end - start) - len(pattern)) <= best
 
 
-def test_edited_passages_are_found():
+@pytest.mark.parametrize("words", [15, 30, 120])
+@pytest.mark.parametrize("share", [0.05, 0.1, 0.2])
+def test_edited_passages_are_found_by_sampling(words, share):
+    """Recall of the sampled path alone, by classes of items, measured on copies that the trial has not seen."""
     rnd = random.Random(6)
-    items = [" ".join("".join(rnd.choice("aeiouthsnr") for _ in range(rnd.randrange(2, 9))) for _ in range(30)) for _ in range(150)]
-    index = decontaminate.Items(list(range(150)), items, decontaminate.repeats_for())
+    items = [" ".join("".join(rnd.choice("aeiouthsnr") for _ in range(rnd.randrange(2, 9))) for _ in range(words)) for _ in range(150)]
+    index = decontaminate.Items(list(range(150)), items)
+    assert (index.repeats > 0).all() and not index.segments
     found = 0
     for i, t in enumerate(items):
-        changed = "".join(c if rnd.random() > decontaminate.ERROR else rnd.choice(["", "x", c + "y"]) for c in t)
-        text = f"some words before {changed} and after"
+        text = f"some words before {edited_text(rnd, t, int(len(t) * share))} and after"
         data, offsets = flat_of([text])
         _, window, item, place = index.candidates(data, offsets)
         found += i in {x[0] for x in index.passages(text, window, item, place)}
-    assert found / 150 >= decontaminate.RECALL
+    assert found / 150 >= 0.95
+
+
+def test_one_template_and_equal_items():
+    rnd = random.Random(12)
+    items = [f"Question: which of these words is the odd one out in the list that follows here? {random_words(rnd, 90)}" for _ in range(80)]
+    index = decontaminate.Items([*range(80), 80], items + items[:1])
+    assert index.ids[0] == [0, 80]
+    for i, t in enumerate(items):
+        assert (i, 4, 4 + len(t), 0) in found_in(f"and {t} so", index)
+
+
+def test_short_items_may_have_edits_too():
+    rnd = random.Random(13)
+    items = sorted({random_words(rnd, n, "aeiouthsnrlmdc") for n in range(5, 25) for _ in range(2)})
+    index = decontaminate.Items(list(range(len(items))), items)
+    for _ in range(150):
+        text = random_words(rnd, 80, "aeiouthsnrlmdc")
+        i = rnd.randrange(len(items))
+        text += edited_text(rnd, items[i], int(len(items[i]) * 0.2)) + random_words(rnd, 30)
+        want = {j for j, u in enumerate(items) if decontaminate.distance(text, u, int(len(u) * 0.2))}
+        assert {x[0] for x in found_in(text, index)} == want
+
+
+def test_walks_of_windows_in_step_agree():
+    letters = np.frombuffer(b"the quick brown fox jumps over the lazy dog and on" + bytes(64), np.uint8)
+    bits = decontaminate.walk_bits(0, 24)
+    plain, at = [], 4
+    for row in bits:
+        plain.append(letters[at])
+        at += row[letters[at]]
+    assert decontaminate.embed(letters, np.array([4, 10]), bits)[:, 0].tolist() == plain
+    keys = {r: k.tolist() for r, _, k, _ in decontaminate.window_keys(letters, np.array([4, 10, 4]), 2, 8)}
+    assert keys[0][0] == keys[0][2] != keys[0][1] and keys[0] != keys[1]
 
 
 def found_in(text, index):
@@ -214,7 +250,7 @@ def random_words(rnd, size, letters="aeiouthsnr"):
 def test_copies_of_short_items_are_found_inside_a_text():
     rnd = random.Random(8)
     items = [random_words(rnd, n) for n in range(9, 90)]
-    index = decontaminate.Items(list(range(len(items))), items, decontaminate.repeats_for())
+    index = decontaminate.Items(list(range(len(items))), items, decontaminate.MAX_REPEATS)
     for i, t in enumerate(items):
         for before, after in (("some words before ", " and after them, some more"), ("quoted (", ") and more of it")):
             assert (i, len(before), len(before) + len(t), 0) in found_in(before + t + after, index)
