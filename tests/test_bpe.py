@@ -1,6 +1,8 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from textmill import catalog
 from textmill.functions import tokens as K
 from textmill.operators import bpe
+from textmill.operators import bpe_training as training
 
 
 def merge(seq, pair, new):
@@ -224,3 +227,55 @@ def test_large_vocabulary(spark):
     encoder = bpe.BatchEncoder(tok)
     assert [[K.id_of(c) for c in t] for t in encoder.encode([t.encode() for t in texts])] == [plain_encode(t, tok.merges) for t in texts]
     assert bpe.round_trip_failures(frame(spark, texts), "t", tok).count() == 0
+
+
+# ---------------------------------------------------------------- incremental training
+
+
+def test_changes_of_a_merge_are_those_of_counting_anew():
+    rnd = random.Random(11)
+    for _ in range(400):
+        rows = [bytes(rnd.choice(b"aab") for _ in range(rnd.randrange(1, 14))) for _ in range(3)]
+        ids = training.flat_ids(pa.array([np.frombuffer(r, np.uint8).astype("<u2").tobytes() for r in rows], pa.binary()))
+
+        def counted(x):
+            return Counter(training._keys(x).tolist())
+
+        for product, (left, right) in enumerate([(97, 97), (97, 98), (256, 97), (256, 256)], 256):
+            after, n, gone, came = training.merge(ids, (left, right, product))
+            text = "".join(map(chr, ids)).replace(chr(left) + chr(right), chr(product))
+            assert "".join(map(chr, after)) == text and n == len(ids) - len(after)
+            want = counted(ids)
+            want.subtract(gone.tolist())
+            want.update(came.tolist())
+            assert +want == counted(after) and min(want.values(), default=0) >= 0
+            ids = after
+
+
+def test_first_places_are_told_for_wanted_and_new_pairs():
+    ids = training.flat_ids(pa.array([np.array(r, "<u2").tobytes() for r in ([1, 2, 300, 1, 2], [2, 1, 301])], pa.binary()))
+    pairs, at = training.first_places(ids, np.array(sorted([1 << 16 | 2, 5 << 16 | 5])), 300)
+    got = {(k >> 16, k & 0xFFFF): i for k, i in zip(pairs.tolist(), at.tolist())}
+    assert got == {(1, 2): 1, (2, 300): 2, (300, 1): 3, (1, 301): 8}
+    assert training.first_places(ids, np.zeros(0, np.int64), training.BORDER)[0].tolist() == []
+
+
+def test_ranking_stops_where_places_are_not_known():
+    pairs = training.Pairs()
+    pairs.add(np.array([1, 2, 3, 4]), np.array([9, 7, 7, 5]))
+    assert pairs.ranked({1: (0, 0), 2: (1, 0), 4: (0, 2)}) == [((0, 1), 9)]
+    assert [k for k, _ in pairs.ranked({1: (0, 0), 2: (1, 0), 3: (0, 9), 4: (2, 2)})] == [(0, 1), (0, 3), (0, 2), (0, 4)]
+    pairs.add(np.array([1, 5]), np.array([-9, 2]))
+    assert pairs.keys.tolist() == [2, 3, 4, 5] and pairs.leading(1, 1).tolist() == [2, 3]
+
+
+@pytest.mark.parametrize("writes", [1, 5, 1000])
+def test_training_through_many_writes_equals_a_plain_loop(spark, monkeypatch, writes):
+    monkeypatch.setattr(training, "MERGES_PER_WRITE", writes)
+    monkeypatch.setattr(training, "LEADING", 3)
+    monkeypatch.setattr(training, "SLICE", 64)
+    rnd = random.Random(writes)
+    texts = ["".join(rnd.choice("aaab ") for _ in range(rnd.randrange(40))) for _ in range(30)] + [None, "", "é中é中é中", "aaaaaaaa"]
+    tok = bpe.bpe_train(frame(spark, texts), "t", "i", vocab_size=260 + 40)
+    merges, log = plain_train([t or "" for t in texts], 260 + 40)
+    assert tok.merges == merges and tok.log == log

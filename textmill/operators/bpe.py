@@ -1,7 +1,7 @@
 """Byte-level BPE: train, encode and decode over document tables.
 
-Every row is a sequence of its own; no pair crosses a row. Training keeps the token strings
-distributed and brings at most a few dozen candidate pairs to the driver per pass.
+Every row is a sequence of its own; no pair crosses a row. Training counts pairs once and then only what merges change
+(``bpe_training``).
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from textmill.functions.tokens import (
     SURROGATES_SIZE, SURROGATES_START, byte_tokens, bytes_to_text, char_of, code_id, id_of, packed,
 )
+from textmill.operators.bpe_training import ids_of_text, learn
 from textmill.session import cut_lineage, spread
 
 # The special tokens and the default sizes.
@@ -28,9 +29,8 @@ VOCAB_SIZE = 4096
 MIN_PAIR_FREQUENCY = 2
 BYTES = 256
 
-# Candidate pairs looked at per pass, and merges after which the token strings are written anew.
+# Candidate pairs looked at where none is merged.
 CANDIDATES = 256
-MERGES_PER_CHECKPOINT = 24
 
 
 @dataclass
@@ -137,7 +137,7 @@ def top_pairs(df: DataFrame, tokens: str, order: str, k: int = CANDIDATES) -> li
     return [(chr(r["a"]) + chr(r["b"]), r["n"]) for r in rows]
 
 
-def independent_prefix(pairs: Sequence[tuple[str, int]], min_frequency: int, room: int) -> list[tuple[str, int]]:
+def independent_prefix(pairs: Sequence[tuple[Sequence, int]], min_frequency: int, room: int) -> list[tuple[Sequence, int]]:
     """The leading pairs that are sure to be the next merges in this order.
 
     Merging (a, b) takes the tokens a that a b follows, and the tokens b that an a precedes. So pairs (a, c) and (c, b) keep
@@ -146,9 +146,8 @@ def independent_prefix(pairs: Sequence[tuple[str, int]], min_frequency: int, roo
     ranks above that pair: it begins one place earlier, where the merged pair itself stood. Pairs of one token twice
     end the run, as their product can follow itself.
     """
-    out: list[tuple[str, int]] = []
-    begins: set[str] = set()
-    ends: set[str] = set()
+    out: list[tuple[Sequence, int]] = []
+    begins, ends = set(), set()
     for pair, n in pairs:
         if len(out) >= room or n < min_frequency or pair[0] in ends or pair[1] in begins:
             break
@@ -175,36 +174,21 @@ def bpe_train(
     if goal <= BYTES:
         raise ValueError(f"vocab_size must be greater than {BYTES + len(SPECIALS)}")
     char_of(goal - 1)
-    state = df.select(order, byte_tokens(F.col(text)).alias("_t")).filter(F.length("_t") > 0)
     # Spread once: every later pass reads this table.
-    state = cut_lineage(spread(state, order))
-    left = state.agg(F.sum(F.length("_t")).alias("n")).first()["n"]
+    state = cut_lineage(spread(ids_of_text(df, text, order), order))
+    left = state.agg(F.sum(F.length("ids") / 2).cast("bigint").alias("n")).first()["n"]
     if not left:
         raise ValueError("the training text is empty")
 
+    def choose(ranked: list, room: int) -> list:
+        return independent_prefix(ranked, min_pair_frequency, room)
+
     merges: list[tuple[int, int]] = []
     log: list[tuple[int, int, int, int, int]] = []
-    pending = 0
-    while BYTES + len(merges) < goal:
-        chosen = independent_prefix(
-            top_pairs(state, "_t", order), min_pair_frequency, goal - BYTES - len(merges)
-        )
-        if not chosen:
-            break
-        tokens = F.col("_t")
-        for pair, n in chosen:
-            tokens = F.replace(tokens, F.lit(pair), F.lit(char_of(BYTES + len(merges))))
-            merges.append((id_of(pair[0]), id_of(pair[1])))
-            left -= n
-            log.append((len(merges), *merges[-1], n, left))
-        state = state.withColumn("_t", tokens)
-        if chosen[-1][0][0] == chosen[-1][0][1]:
-            # Occurrences of a doubled token overlap, so the merged ones are counted.
-            left = state.agg(F.sum(F.length("_t")).alias("n")).first()["n"]
-            log[-1] = (*log[-1][:4], left)
-        pending += len(chosen)
-        if pending >= MERGES_PER_CHECKPOINT:
-            state, pending = cut_lineage(state), 0
+    for a, b, n, merged in learn(state, order, choose, BYTES, goal, [1] * BYTES, min_pair_frequency):
+        merges.append((a, b))
+        left -= merged
+        log.append((len(merges), a, b, n, left))
     return make_tokenizer(merges, special_ids=special_ids, log=log)
 
 
