@@ -64,3 +64,34 @@ def test_written_corpus_is_the_concatenation(spark, tmp_path):
     assert [f.read_text(encoding="utf-8") for f in (tmp_path / "one").glob("part-*")] == [want]
     sinks.write_blocks(mixed, str(tmp_path / "b"), parts=2)
     assert spark.read.parquet(str(tmp_path / "b")).count() == 4
+
+
+def test_only_about_the_budget_is_rendered(spark):
+    """Rows rendered are counted by an accumulator in the block itself."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def block(i):
+        seen.add(1)
+        return "x" * 100
+
+    spread = spark.range(20_000).repartition(4)
+    df = M.as_blocks(spread, F.lit("d"), F.lit("s"), F.col("id"), block(F.col("id")))
+    got = M.char_budget(df, 200_000).count()
+    assert got == 2000 and seen.value <= 3 * got
+
+
+def test_slices_reach_any_budget(spark):
+    df = blocks(spark, [3] * 50)
+    for budget in (0, 1, 3, 100, 150, 10**9):
+        assert M.char_budget(df, budget).count() == min(50, budget // 3)
+
+
+def test_cap_by_the_nth_key(spark):
+    from textmill.operators.prefix import nth_key, take_first
+
+    keys = [5, 9, -3, 10**15, 10**15 + 1, 10**15 + 7, 2**61]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    for n in range(9):
+        assert sorted(r.k for r in take_first(df, n, "k").collect()) == sorted(keys)[:n]
+    assert nth_key(df, 7, "k") is None and nth_key(df.limit(0), 3, "k") is None

@@ -1,5 +1,6 @@
 import json
 
+import pandas as pd
 import pytest
 
 from textmill.operators import bpe
@@ -88,3 +89,38 @@ def test_a_large_file_is_read_by_many_tasks(spark, tmp_path):
         assert sorted(r.value for r in df.collect()) == sorted(blocks)
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_files_behind_the_stop_are_never_opened(spark, tmp_path):
+    """Files whose bytes are no Parquet at all stand behind the cut of both sources."""
+    from textmill.plans.builders import build_corpus, read_until_full
+    from textmill.plans.recipes import RECIPES
+    from textmill.sources.ordered import OrderedFiles
+
+    for key in ("F1", "F2"):
+        (tmp_path / key).mkdir()
+        for f in range(12):
+            path = tmp_path / key / f"part-{f:03}.parquet"
+            if f < 3:
+                rows = pd.DataFrame({"row_id": range(f * 10, f * 10 + 10), "title": [""] * 10, "text": ["x" * 48] * 10})
+                rows.to_parquet(path, row_group_size=5)
+            else:
+                path.write_bytes(b"not a table")
+    frames = {key: OrderedFiles(spark, str(tmp_path / key)) for key in ("F1", "F2")}
+    # 20 rows of 50 characters lie in the first two files of F1; F2 gives its first row all the same.
+    sizes = read_until_full([(RECIPES[k], f) for k, f in frames.items()], 1000)[1]
+    assert sorted((r.source, r.row_key) for r in sizes.collect()) == sorted([("F1:wikipedia", f"train:{i}") for i in range(20)] + [("F2:open_web_math", "train:0")])
+    assert build_corpus("facts", frames, budget=1000).count() == 20
+
+
+def test_leading_key_ranges_cover_each_row_once(spark):
+    from textmill.sources.ordered import KeyRanges, OrderedFiles
+
+    keys = [*range(-50, 5000), *range(10**12, 10**12 + 3000), 2**60]
+    source = KeyRanges(spark.createDataFrame([(k,) for k in keys], "row_id long"))
+    parts = [[r.row_id for r in p.collect()] for p in source.parts("row_id")]
+    assert sorted(k for p in parts for k in p) == keys and all(max(a) < min(b) for a, b in zip(parts, parts[1:]) if a and b)
+    assert sorted(r.row_id for r in source.upto(2).collect()) == sorted(parts[0] + parts[1]) and source.upto(0).count() == 0
+    assert list(KeyRanges(spark.createDataFrame([], "row_id long")).parts("row_id")) == []
+    with pytest.raises(FileNotFoundError):
+        OrderedFiles(spark, "/root/testdata/sf0.001", pattern="*.none")

@@ -20,6 +20,10 @@ from textmill.session import cut_lineage
 # Rows of a bucket where keys are densest, and bits from one level to the next.
 BUCKET_ROWS = 2048
 LEVEL_BITS = 10
+# Caps up to this many rows are found by ordering as many keys.
+SELECTED = 1 << 18
+# Rows of a narrow table up to which one ordered window is used.
+ONE_WINDOW = 1 << 16
 _QUANTILES = 256
 
 
@@ -135,13 +139,17 @@ def running_total(
 
 def take_budget(
     df: DataFrame, size: Column, budget: int, key: str, *, ties: Sequence[str] = (),
-    shifts: Sequence[int] | None = None, out: str = "running",
+    shifts: Sequence[int] | None = None, out: str = "running", rows: int | None = None,
 ) -> DataFrame:
     """Rows in order up to the first that would pass ``budget``.
 
     A first job sums the buckets. The last one that can hold such a row is a single number, so in
-    the second pass all later rows leave at the scan and only the chosen part is shuffled.
+    the second pass all later rows leave at the scan and only the chosen part is shuffled. ``rows`` is the number of rows where it
+    is known; ONE_WINDOW of them need no buckets.
     """
+    if rows is not None and rows <= ONE_WINDOW:
+        w = W.orderBy(key, *ties).rowsBetween(W.unboundedPreceding, W.currentRow)
+        return df.withColumn(out, F.sum(size.cast("bigint")).over(w)).filter(F.col(out) <= budget)
     shifts = shifts or key_shifts(df, key)
     off = bucket_offsets(df, size, key, (), shifts, None)
     bucket = f"_b{shifts[0]}"
@@ -180,10 +188,14 @@ def take_first(
 ) -> DataFrame:
     """The first ``n`` rows of every group in order; a table of no more rows is returned as it is.
 
-    A first job counts the buckets. Those that start at or beyond the cap stay out of the shuffle:
+    Without groups, and for caps of SELECTED rows, the key of the n-th row is found and the rest is a filter that reaches the scan. Else
+    a first job counts the buckets, and those that start at or beyond the cap stay out of the shuffle:
     the limit is a single value, or one row per group.
     """
     if shifts is None:
+        if not group and major is None and n <= SELECTED:
+            last = nth_key(df, n, key)
+            return df if last is None else df.filter(F.col(key) <= F.lit(last))
         shifts, rows = key_facts(df, key)
         if rows <= n:
             return df
@@ -202,6 +214,26 @@ def take_first(
     return done.filter(F.col("_rank") <= n).drop("_rank")
 
 
+def nth_key(df: DataFrame, n: int, key: str) -> int | None:
+    """The key of the n-th row, None where there are no more rows than n. Only a leading part of the keys is ordered."""
+    k = F.col(key).cast("bigint")
+    facts = df.agg(F.min(k).alias("lo"), F.max(k).alias("hi"), F.count(k).alias("n")).first()
+    if facts["n"] <= n:
+        return None
+    if n <= 0:
+        return facts["lo"] - 1
+    upto, width = facts["lo"], max(1, facts["hi"] - facts["lo"])
+    share = 2.0 * n / facts["n"]
+    while True:
+        # Even keys hold n rows in half of this; where they lie more thinly, a longer part is taken.
+        upto = min(facts["hi"], facts["lo"] + int(width * min(1.0, share)))
+        near = df.select(k.alias("k")).filter(F.col("k") <= upto)
+        found = near.orderBy("k").limit(n).agg(F.max("k").alias("k"), F.count("*").alias("n")).first()
+        if found["n"] >= n or upto >= facts["hi"]:
+            return found["k"]
+        share *= 16
+
+
 def take_while(
     df: DataFrame, counts: Column, n: int, key: str, *, major: str | None = None, shifts: Sequence[int] | None = None
 ) -> DataFrame:
