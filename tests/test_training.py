@@ -138,6 +138,32 @@ def test_generation_equals_the_loop(spark, stream):
         assert got[k] == text
 
 
+def test_backoff_generation_equals_the_loop(spark, stream):
+    docs, df = stream
+    order = 3
+    dist = L.lm_next(L.backoff_fit(df, "t", vocab_size=10, order=order), temperature=1.0, top_k=4).cache()
+    table = defaultdict(list)
+    for r in sorted(dist.collect(), key=lambda r: (r.ctx, r.nxt)):
+        table[r.ctx].append((chr(r.nxt), r.p))
+    assert {len(k) for k in table} == {0, 1, 2, 3}
+    prompts = [(i, "abcd"[i % 4] * (i % 5)) for i in range(20)] + [(90, "z"), (91, "abz"), (92, "")]
+    got = {r.k: r.tokens for r in L.backoff_generate(
+        spark.createDataFrame(prompts, "k long, p string"), dist, key="k", tokens="p", order=order, steps=10, seed=5, eos="c"
+    ).collect()}
+    for k, text in prompts:
+        for step in range(10):
+            choices = next(table[text[i:]] for i in range(max(0, len(text) - order), len(text) + 1) if text[i:] in table)
+            u, acc = int(hashlib.md5(f"5:{k}:{step}".encode()).hexdigest()[:13], 16) / 2**52, 0.0
+            for char, p in choices:
+                acc += p
+                if acc > u:
+                    break
+            text += char
+            if char == "c":
+                break
+        assert got[k] == text
+
+
 def test_character_tokens(spark):
     df = spark.createDataFrame([("héa\n",), ("\x00a",), ("",)], "t string")
     vocab = char_vocab(df, "t")

@@ -187,6 +187,15 @@ def facts_mixture(spark, sf):
     return M.char_budget(blocks, 700_000).select("source", "row_key", "running")
 
 
+@query(
+    "written_report",
+    f"SELECT domain, source, count(*) AS examples, sum(length(block))::BIGINT AS chars FROM {sql_budget(SQL_MIX, BUDGET)} GROUP BY ROLLUP (domain, source)",
+)
+def written_report(spark, sf):
+    """The report of a mixture, counted by the pass that writes it."""
+    return sinks.write_reported(M.char_budget(mixed_blocks(spark, sf), BUDGET), scratch_path(spark, "mixture"), parts=4)
+
+
 @query("write_corpus", f"SELECT rtrim(block, {NL}) AS block FROM {sql_budget(SQL_MIX, BUDGET)}")
 def write_corpus(spark, sf):
     """Written as ordered text files and read back block by block."""

@@ -8,6 +8,7 @@ from textmill.catalog.base import query, table
 from textmill.functions import tokens as K
 from textmill.operators import bpe, chartok, stats
 from textmill.session import scratch_path, spread_few
+from textmill.sources import sinks
 from textmill.sources import tokenizers as TS
 
 N_MERGES = 8
@@ -230,21 +231,27 @@ def bpe_encode_large(spark, sf):
 @query("round_trip_large", "SELECT 0 AS failures, count(*) AS n_rows FROM documents")
 def round_trip_large(spark, sf):
     failed = bpe.round_trip_failures(docs(spark, sf), "text", worded(spark, sf)).agg(F.count("*").alias("failures"))
-    return failed.select("failures", docs(spark, sf).agg(F.count("*")).scalar().alias("n_rows"))
+    return failed.select("failures", table(spark, sf, "documents").agg(F.count("*")).scalar().alias("n_rows"))
 
 
 @query("decode_join", "SELECT doc_id, md5(text) AS h FROM documents")
 def decode_join(spark, sf):
-    """Ids to bytes by a join with the vocabulary table instead of a literal array.
+    """Ids to bytes by the vocabulary table instead of a literal array."""
+    return decoded_by_table(spark, sf, trained(spark, sf))
 
-    Only distinct ids are joined; a text's ids stay one row, as a map from id to bytes is small.
-    """
-    tok = trained(spark, sf)
+
+@query("decode_join_large", "SELECT doc_id, md5(text) AS h FROM documents")
+def decode_join_large(spark, sf):
+    return decoded_by_table(spark, sf, worded(spark, sf))
+
+
+def decoded_by_table(spark, sf, tok):
+    """The vocabulary has an id for every number below its size, so in their order the bytes are found by position."""
     vocab = tok.tables(spark)[0]
     encoded = docs(spark, sf).select("doc_id", K.token_ids(bpe.encode_text(c("text"), tok)).alias("ids"))
-    used = encoded.select(F.explode(F.array_distinct("ids")).alias("id")).distinct()
-    known = used.join(vocab, "id").agg(F.map_from_entries(F.collect_list(F.struct("id", F.hex("bytes")))).alias("m"))
-    hexes = F.transform("ids", lambda i: F.coalesce(F.try_element_at("m", i), F.raise_error(F.lit("unknown token id"))))
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("id", "bytes"))), lambda x: F.hex(x["bytes"]))
+    known = vocab.agg(in_order.alias("m"))
+    hexes = F.transform("ids", lambda i: F.coalesce(F.get("m", i), F.raise_error(F.lit("unknown token id"))))
     whole = encoded.withColumn("m", known.scalar()).select("doc_id", K.bytes_to_text(F.unhex(F.array_join(hexes, ""))).alias("text"))
     return whole.select("doc_id", F.md5("text").alias("h"))
 
@@ -262,7 +269,7 @@ def present_pairs(spark, sf):
 @query("round_trip", "SELECT 0 AS failures, count(*) AS n_rows FROM documents")
 def round_trip(spark, sf):
     failed = bpe.round_trip_failures(docs(spark, sf), "text", trained(spark, sf)).agg(F.count("*").alias("failures"))
-    return failed.select("failures", docs(spark, sf).agg(F.count("*")).scalar().alias("n_rows"))
+    return failed.select("failures", table(spark, sf, "documents").agg(F.count("*")).scalar().alias("n_rows"))
 
 
 @query(
@@ -315,6 +322,38 @@ def detect_tokenizer(spark, sf):
     return TS.detect_tokenizers(spark, root).select("kind", "vocab_size")
 
 
+@query(
+    "tokenise_report",
+    f"{SQL_ENCODED} SELECT count(*) AS n_rows, sum(length(text))::BIGINT AS n_chars, sum(length(x))::BIGINT AS n_tokens, true AS timed FROM {LAST}",
+)
+def tokenise_report(spark, sf):
+    """Encoding the documents: rows, characters and tokens counted by the pass that writes the ids, which also gives the rate."""
+    tok = trained(spark, sf)
+    ids = docs(spark, sf).select("doc_id", F.length("text").alias("n"), bpe.encode_text(c("text"), tok).alias("tokens"))
+    path = scratch_path(spark, "ids")
+    done = sinks.observed(
+        ids, lambda df: df.select("doc_id", "tokens").write.parquet(path),
+        n_rows=F.count("*"), n_chars=F.coalesce(F.sum("n"), F.lit(0)), n_tokens=F.coalesce(F.sum(F.length("tokens")), F.lit(0)),
+    )
+    row = (*(done.metrics[k] for k in ("n_rows", "n_chars", "n_tokens")), done.rate("n_tokens") > 0 or not done.metrics["n_tokens"])
+    return spark.createDataFrame([row], "n_rows long, n_chars long, n_tokens long, timed boolean")
+
+
+@query(
+    "preflight_failing",
+    "SELECT cut, n_rows, n_tokens, floor(n_tokens * 0.9::DOUBLE)::BIGINT AS n_train, (n_tokens - floor(n_tokens * 0.9::DOUBLE))::BIGINT AS n_val, "
+    "concat_ws('; ', CASE WHEN n_tokens = 0 THEN 'the corpus has no tokens' END, CASE WHEN floor(n_tokens * 0.9::DOUBLE) <= n_tokens // 2 + cut THEN 'the training part is not longer than a block' END, "
+    "CASE WHEN n_tokens - floor(n_tokens * 0.9::DOUBLE) <= n_tokens // 2 + cut THEN 'the validation part is not longer than a block' END) AS errors, false AS ok "
+    "FROM (SELECT 0 AS cut, count(*) AS n_rows, sum(octet_length(encode(text)))::BIGINT AS n_tokens FROM documents UNION ALL SELECT 1, count(*), 0 FROM documents)",
+)
+def preflight_failing(spark, sf):
+    """Two corpora that cannot be trained on: a block of half the documents' tokens, and documents without a token."""
+    rows = byte_docs(spark, sf)
+    n = rows.agg(F.sum(F.length("x"))).first()[0]
+    long = stats.preflight(rows, "x", block_size=n // 2).withColumn("cut", F.lit(0))
+    return long.unionByName(stats.preflight(rows.withColumn("x", F.lit("")), "x", block_size=1).withColumn("cut", F.lit(1)))
+
+
 @query(
     "preflight",
     "SELECT n_rows, n_tokens, floor(n_tokens * 0.9::DOUBLE)::BIGINT AS n_train, (n_tokens - floor(n_tokens * 0.9::DOUBLE))::BIGINT AS n_val, '' AS errors, true AS ok "

@@ -196,3 +196,37 @@ def lm_generate(spark, sf):
     done = L.lm_generate(prompts, dist, key="k", tokens="t", steps=STEPS, seed=SEED)
     parts = F.split("k", "-")
     return done.select(parts[0].cast("bigint").alias("conv_id"), parts[1].cast(dict(said.dtypes)["turn"]).alias("turn"), "tokens")
+
+
+def _sql_counts(k: int) -> str:
+    return f"SELECT substr(x, i, {k}) AS ctx, unicode(substr(x, i + {k}, 1))::INT AS nxt FROM (SELECT x, unnest(range(1, length(x) - {k} + 1)) AS i FROM (SELECT train AS x FROM s))"
+
+
+SQL_BACKOFF = (
+    f"s AS MATERIALIZED {SQL_SPLIT}, model AS MATERIALIZED (SELECT *, ln((n + 1.0::DOUBLE) / (ctx_n + 256.0::DOUBLE)) AS logp FROM "
+    f"(SELECT *, (sum(n) OVER (PARTITION BY ctx))::BIGINT AS ctx_n FROM (SELECT ctx, nxt, count(*) AS n FROM ({' UNION ALL '.join(map(_sql_counts, range(3)))}) GROUP BY ALL)))"
+)
+_SQL_GEN2 = []
+for _k in range(1, STEPS + 1):
+    _SQL_GEN2.append(
+        f"g{_k} AS MATERIALIZED (SELECT conv_id, turn, t || coalesce(chr(nxt), '') AS t FROM (SELECT conv_id, turn, t, coalesce(min(nxt) FILTER (WHERE hi > u), max(nxt)) AS nxt FROM "
+        f"(SELECT q.*, coalesce(b.ctx, a.ctx, '') AS state, ('0x' || substr(md5('18:' || conv_id || '-' || turn || ':{_k - 1}'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u "
+        f"FROM g{_k - 1} q LEFT JOIN seen b ON length(t) > 1 AND b.ctx = right(t, 2) LEFT JOIN seen a ON a.ctx = right(t, 1)) JOIN cum ON cum.ctx = state GROUP BY conv_id, turn, t))"
+    )
+
+
+@query(
+    "lm_generate_order2",
+    f"WITH {SQL_BACKOFF}, {SQL_NEXT.format(1.0)}, cum AS MATERIALIZED (SELECT ctx, nxt, sum(p) OVER (PARTITION BY ctx ORDER BY nxt) AS hi FROM nx), seen AS MATERIALIZED (SELECT DISTINCT ctx FROM nx), "
+    "g0 AS (SELECT conv_id, turn, array_to_string(list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: chr(('0x' || h)::INT)), '') AS t "
+    f"FROM conversations WHERE text <> ''), {', '.join(_SQL_GEN2)} SELECT conv_id, turn, t AS tokens FROM g{STEPS}",
+)
+def lm_generate_order2(spark, sf):
+    """All turns continued at temperature 1 by the longest context of up to two tokens that the documents have."""
+    parts = B.split_tokens(byte_docs(spark, sf), "x", "doc_id")
+    dist = L.lm_next(L.backoff_fit(parts, "train", vocab_size=256, order=2), temperature=1.0)
+    said = table(spark, sf, "conversations").filter(c("text") != "")
+    prompts = said.select(F.concat_ws("-", "conv_id", "turn").alias("k"), K.byte_tokens(c("text")).alias("t"))
+    done = L.backoff_generate(prompts, dist, key="k", tokens="t", order=2, steps=STEPS, seed=SEED)
+    split = F.split("k", "-")
+    return done.select(split[0].cast("bigint").alias("conv_id"), split[1].cast(dict(said.dtypes)["turn"]).alias("turn"), "tokens")

@@ -7,6 +7,7 @@ vocabulary size, whatever the size of the corpus. Context and next are token cha
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -89,6 +90,66 @@ def lm_next(model: DataFrame, *, temperature: float = TEMPERATURE, top_k: int |
     return weight.select("ctx", "nxt", (F.col("_w") / F.sum("_w").over(W.partitionBy("ctx"))).alias("p"))
 
 
+def backoff_fit(df: DataFrame, tokens: str, *, vocab_size: int, order: int, add_k: float = 1.0) -> DataFrame:
+    """``(ctx, nxt, n, ctx_n, logp)`` for contexts of ``order`` tokens and fewer, down to none; a context is its text."""
+    data = df.filter(F.length(tokens) > 0).select(tokens)
+    counted = [
+        data.filter(F.length(tokens) > k).mapInArrow(_count_runs(k), "ctx string, nxt int, n bigint") for k in range(order + 1)
+    ]
+    counts = reduce(DataFrame.unionByName, counted).groupBy("ctx", "nxt").agg(F.sum("n").alias("n"))
+    logp = F.ln((F.col("n") + F.lit(add_k)) / (F.col("ctx_n") + F.lit(add_k * vocab_size)))
+    return counts.withColumn("ctx_n", F.sum("n").over(W.partitionBy("ctx"))).withColumn("logp", logp)
+
+
+def _longest_seen(rows: DataFrame, text: str, keys: list[str], contexts: DataFrame, order: int) -> DataFrame:
+    """``(keys, state)``: the longest end of each text, of ``order`` tokens at most, that is a seen context."""
+    ends = F.transform(F.sequence(F.lit(0), F.least(F.length(text), F.lit(order))), lambda k: F.right(F.col(text), k))
+    long = rows.select(*keys, F.explode(ends).alias("ctx"))
+    return long.join(contexts, "ctx", "left_semi").groupBy(*keys).agg(F.max_by("ctx", F.length("ctx")).alias("state"))
+
+
+def backoff_table(dist: DataFrame, order: int) -> DataFrame:
+    """``(state, choices)``: a row per seen context with its cumulative probabilities in token order, and the context that each choice leads to.
+
+    The context after a choice is the longest seen end of the context and the token, so a walk over these states always has the longest seen
+    context of its text, and an unseen one falls back to a shorter.
+    """
+    contexts = dist.select("ctx").distinct()
+    moves = dist.select(F.col("ctx").alias("from"), "nxt", F.concat("ctx", code_char(F.col("nxt"))).alias("text"))
+    leads = _longest_seen(moves, "text", ["from", "nxt"], contexts, order).withColumnsRenamed({"from": "ctx", "state": "to"})
+    w = W.partitionBy("ctx").orderBy("nxt").rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = dist.withColumn("hi", F.sum("p").over(w)).join(leads, ["ctx", "nxt"])
+    choices = F.sort_array(F.collect_list(F.struct("nxt", "hi", "to"))).alias("choices")
+    return rows.groupBy("ctx").agg(choices).withColumnRenamed("ctx", "state")
+
+
+def backoff_generate(
+    prompts: DataFrame, dist: DataFrame, *, key: str, tokens: str, order: int, steps: int, seed: int, eos: str | None = None
+) -> DataFrame:
+    """Append ``steps`` drawn tokens to every prompt by the longest seen context of up to ``order`` tokens; a row stops at ``eos``.
+
+    Each step is one equi-join with the table of states, one row per context. Keys are unique.
+    """
+    dist = cut_lineage(dist)
+    table = cut_lineage(backoff_table(dist, order))
+    start = _longest_seen(prompts.select(key, F.col(tokens).alias("tokens")), "tokens", [key], table.select(F.col("state").alias("ctx")), order)
+    rows = prompts.select(key, F.col(tokens).alias("tokens")).join(start, key, "left").withColumn("_done", F.lit(False))
+    for step in range(steps):
+        live = F.when(~F.col("_done"), F.col("state"))
+        rows = rows.withColumns({"state": live, "_u": uniform(seed, F.col(key), F.lit(step))}).join(table, "state", "left")
+        picked = F.coalesce(
+            F.get(F.filter("choices", lambda c: c["hi"] > F.col("_u")), F.lit(0)), F.try_element_at("choices", F.lit(-1))
+        )
+        rows = rows.withColumn("_c", picked).withColumn("_t", code_char(F.col("_c.nxt")))
+        done = F.col("_t").isNull() | (F.col("_t") == eos) if eos is not None else F.col("_t").isNull()
+        rows = rows.select(
+            key, F.concat("tokens", F.coalesce("_t", F.lit(""))).alias("tokens"), F.col("_c.to").alias("state"), done.alias("_done")
+        )
+        if (step + 1) % STEPS_PER_CHECKPOINT == 0 and step + 1 < steps:
+            rows = cut_lineage(rows)
+    return rows.select(key, "tokens")
+
+
 def choice_table(dist: DataFrame) -> DataFrame:
     """``(ctx, choices)``: one row per context with its cumulative probabilities in token order."""
     w = W.partitionBy("ctx").orderBy("nxt").rowsBetween(W.unboundedPreceding, W.currentRow)
