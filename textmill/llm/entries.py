@@ -65,16 +65,17 @@ SECRETS_SQL = f"""
 WITH {", ".join(_sql_kind(i, k, p) for i, (k, p) in enumerate(secrets.KINDS.items()))},
 a AS ({" UNION ALL ".join(f"SELECT * FROM k{i}" for i in range(len(secrets.KINDS)))}),
 f AS (SELECT *, stop - size AS start FROM a WHERE kind <> 'assign' OR length(value) >= {secrets.MIN_ASSIGNED}),
-o AS (SELECT value, count(DISTINCT source) + max((source IS NULL)::INT) AS owners FROM f GROUP BY value),
-s AS (SELECT f.*, owners <= {secrets.LIVE_OWNERS} AS live FROM f JOIN o USING (value)),
+o AS (SELECT value, count(DISTINCT source) + max((source IS NULL)::INT) AS owners, (SELECT count(*) FROM (SELECT DISTINCT doc_id, source FROM f g WHERE g.value = f.value)) AS repos
+  FROM f GROUP BY value),
+s AS (SELECT f.*, repos, owners <= {secrets.LIVE_OWNERS} AND repos <= {secrets.LIVE_REPOS} AS live FROM f JOIN o USING (value)),
 g AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
   count(*) FILTER (kind = 'hex') AS n_hex,
   coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (rank < 3), '') AS base,
   coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (rank < 3 OR live), '') AS spans,
-  count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live AND rank < 3) AS n_copied FROM s GROUP BY doc_id)
+  count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live AND rank < 3) AS n_copied, max(repos) FILTER (rank < 3 OR live) AS most_repos FROM s GROUP BY doc_id)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,
-  coalesce(n_copied, 0) AS n_copied
+  coalesce(n_copied, 0) AS n_copied, coalesce(most_repos, 0) AS most_repos
 FROM documents LEFT JOIN g USING (doc_id)
 """
 

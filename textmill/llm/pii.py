@@ -18,7 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm.arrow import chunks
@@ -333,7 +333,11 @@ def _seeded(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> Field:
-    """The field, trained on zones of at most about ``sample_rows`` texts; SAMPLE_ZONES of them at most are used."""
+    """The field, trained on zones of texts, SAMPLE_ZONES at most.
+
+    Half of them may be zones with base spans, taken from all texts, so that rare personal data is learned from as well; the others come from at
+    most about ``sample_rows`` texts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, offsets in chunks(batches, "text"):
@@ -345,8 +349,14 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample_rows: i
             yield pa.RecordBatch.from_arrays([pa.array(bodies, pa.string()), pa.array(spans, pa.string())], names=["zone", "spans"])
 
     rows = docs.select(F.lit(1).alias("group"), F.col(key).alias("key"), F.col(text).alias("text"))
-    sample = bounded(rows, "group", "key", sample_rows).select("text")
-    found = sample.mapInArrow(run, "zone string, spans string").distinct().orderBy(F.md5("zone")).limit(SAMPLE_ZONES).collect()
+    def zones(texts: DataFrame, kind: Column, most: int) -> DataFrame:
+        found = texts.select("text").mapInArrow(run, "zone string, spans string").where(kind)
+        return found.distinct().orderBy(F.md5("zone"), "spans").limit(most)
+
+    base = F.col("spans") != ""
+    with_base = zones(rows, base, SAMPLE_ZONES // 2)
+    without = zones(bounded(rows, "group", "key", sample_rows), ~base, SAMPLE_ZONES - SAMPLE_ZONES // 2)
+    found = with_base.unionByName(without).orderBy(F.md5("zone"), "spans").collect()
     return train([(r["zone"], [tuple(map(int, x.split(","))) for x in r["spans"].split(";") if x]) for r in found])
 
 

@@ -1,8 +1,8 @@
 """Secret scans with corpus-wide ownership frequency.
 
 Candidates are found by patterns in JVM-side expressions, positions from the lengths between the matches. The hash of each
-candidate's value is counted over the distinct repositories and owners that hold it: a value many owners share is a copied
-example, one that stays with few owners looks live. Everything is DataFrame expressions.
+candidate's value is counted over the distinct repositories and owners that hold it: a value that many owners share, or that few owners
+have in many repositories, is a copied example; one that stays with few of both looks live. Everything is DataFrame expressions.
 
 Defined results: a null or empty text has no spans; a row that repeats counts as a row of its own and as the same repository;
 a null owner or repository is one of its own; ties in a place are ordered by kind; an empty table gives an empty result.
@@ -27,7 +27,7 @@ VENDOR = (
 KINDS = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "vendor": VENDOR}
 BASE = ("assign", "access", "hex")
 MIN_ASSIGNED = 12
-LIVE_OWNERS = 2  # a value of more owners is a copied example
+LIVE_OWNERS, LIVE_REPOS = 2, 20  # a value of more owners, or in more repositories, is a copied example
 
 
 def _hits(text: Column, pattern: str) -> Column:
@@ -84,16 +84,16 @@ def ownership(placed: DataFrame) -> DataFrame:
 
 def scan(
     docs: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source", repo: str = "doc_id",
-    live_owners: int = LIVE_OWNERS,
+    live_owners: int = LIVE_OWNERS, live_repos: int = LIVE_REPOS,
 ) -> DataFrame:
     """One row per input row: (key, spans), spans an array of (start, rank, kind, stop, n_repos, n_owners, live).
 
-    Base kinds are always there; further kinds are added where few owners hold the value.
+    Base kinds are always there; further kinds are added where few owners and few repositories hold the value.
     """
     rows, placed = candidates(docs, key, text, owner, repo)
     placed = cut_lineage(placed)
     known = placed.join(ownership(placed), "value")
-    known = known.withColumn("live", F.col("n_owners") <= live_owners)
+    known = known.withColumn("live", (F.col("n_owners") <= live_owners) & (F.col("n_repos") <= live_repos))
     known = known.where(F.col("kind").isin(*BASE) | F.col("live"))
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
     span = F.struct("start", rank.alias("rank"), "kind", "stop", "n_repos", "n_owners", "live")
@@ -124,4 +124,5 @@ def digest(scanned: DataFrame) -> DataFrame:
         joined(spans).alias("spans"),
         n(lambda s: s["live"]).alias("n_live"),
         n(lambda s: ~s["live"]).alias("n_copied"),
+        F.coalesce(F.array_max(F.transform(spans, lambda s: s["n_repos"])), F.lit(0).cast("long")).alias("most_repos"),
     )

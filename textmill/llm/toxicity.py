@@ -2,14 +2,16 @@
 
 Words are lower-cased (ASCII) runs of letters, digits and non-ASCII bytes, with a mark on either side. Every character n-gram
 of MIN_N to MAX_N bytes inside a marked word has an embedding in a hashed table, so that a misspelling never seen
-shares most vectors with the word. A text is cut into windows of WINDOW words; each window's embeddings are averaged into the
+shares most vectors with the word. Windows of WINDOW words slide over a text by half their length; each window's embeddings are averaged into the
 softmax, and a text is as toxic as its worst window, so that length dilutes nothing. Training starts on
-random windows of labelled texts and goes on with the worst.
+random windows of labelled texts and goes on with the worst. FOLDS models each leave a part of the rows out; where those left out are told apart
+best is the score THRESHOLD, at every number of rows, and the model is the mean of the folds' models.
 
 Once trained, embeddings and softmax collapse to one number per n-gram, so that scoring is one lookup per n-gram.
 
 Defined results: a text without an n-gram (null, empty, only marks) has the score of the bias alone; without training rows of
-both classes the score is the share of label 1 (0.5 without any); repeated rows are scored each. At most about
+both classes the score is the share of label 1 (0.5 without any); with one row of a class nothing can be left out, and the
+score is the model's own; repeated rows are scored each. At most about
 SAMPLE_ROWS labelled rows per class are learned from.
 """
 
@@ -27,8 +29,10 @@ from textmill.llm.sampling import bounded
 
 SAMPLE_ROWS = 2_000  # per class
 MIN_N, MAX_N, BITS, DIM, WINDOW, FLOOR = 3, 6, 18, 8, 24, 336
+SHIFTS = (0, WINDOW // 2)
 EPOCHS, RANDOM_EPOCHS, BATCH, LEARN, DECAY = 14, 3, 128, 0.5, 1e-6
-THRESHOLD, HELD, MIN_HELD, FALSE_ALARM = 0.7, 5, 50, 8  # a false alarm weighs as much as 8 misses
+STEPS = 280  # of training, at least
+THRESHOLD, FOLDS, FALSE_ALARM = 0.7, 3, 8  # a false alarm weighs as much as 8 misses
 
 _FOLD = np.full(256, 32, np.uint8)  # byte to lower-case letter, digit, high byte, or the mark 32
 for _b in range(256):
@@ -58,17 +62,17 @@ def ngrams(folded: np.ndarray, kept: np.ndarray) -> Iterator[tuple[np.ndarray, n
             yield bucket, inner
 
 
-def windows(folded: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def windows(folded: np.ndarray, offsets: np.ndarray, shift: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Position of the first byte of each window, the text it belongs to, and which bytes start n-grams that count.
 
-    Every text has a window. A window starts at the mark before its first word, so that the n-grams of a word lie in one.
+    Every text has a window; with a ``shift`` the first is so many words shorter. A window starts at the mark before its first word, so that the n-grams of a word lie in one.
     """
     begin = offsets[:-1] - 1
     word = np.flatnonzero((folded[:-1] == 32) & (folded[1:] != 32))
     ends = np.flatnonzero((folded[:-1] != 32) & (folded[1:] == 32)) + 1
     texts = np.searchsorted(begin, word, "right") - 1
     rank = np.arange(len(word)) - np.searchsorted(word, begin)[texts] if len(word) else word
-    inner = (rank % WINDOW == 0) & (rank > 0)
+    inner = ((rank + shift) % WINDOW == 0) & (rank > 0)
     starts = np.concatenate([begin, word[inner]])
     order = np.argsort(starts, kind="stable")
     starts, of = starts[order], np.concatenate([np.arange(len(begin)), texts[inner]])[order]
@@ -87,12 +91,18 @@ class Model:
     def odds(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log-odds of each window, and the text it belongs to."""
         folded, at = marked(data, offsets)
-        starts, texts, kept = windows(folded, at)
         total, number = np.zeros(len(folded), np.float32), np.zeros(len(folded), np.int32)
-        for bucket, inner in ngrams(folded, kept):
+        for bucket, inner in ngrams(folded, np.ones(len(folded), bool)):
             total[: len(bucket)] += self.weights[bucket] * inner
             number[: len(bucket)] += inner
-        return self.bias + _sums(total, starts) / np.maximum(FLOOR, _sums(number, starts)), texts
+        odds, of = [], []
+        for shift in SHIFTS:
+            starts, texts, kept = windows(folded, at, shift)
+            odds.append(self.bias + _sums(total * kept, starts) / np.maximum(FLOOR, _sums(number * kept, starts)))
+            of.append(texts)
+        texts = np.concatenate(of)
+        order = np.argsort(texts, kind="stable")
+        return np.concatenate(odds)[order], texts[order]
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         odds, texts = self.odds(data, offsets)
@@ -112,17 +122,21 @@ class _Bags:
         for lo in range(0, len(offsets) - 1, 64):
             hi = min(lo + 64, len(offsets) - 1)
             folded, own = marked(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-            starts, text, kept = windows(folded, own)
-            found = [(np.flatnonzero(inner).astype(np.int32), bucket[inner].astype(np.int32)) for bucket, inner in ngrams(folded, kept)]
-            place = np.concatenate([p for p, _ in found] or [np.zeros(0, np.int32)])
-            order = np.argsort(place, kind="stable")
-            bucket = np.concatenate([b for _, b in found] or [place])[order]
-            bounds = np.searchsorted(place[order], np.append(starts, len(folded)))
-            self.parts.append((bucket, bounds))
-            texts.append(text + lo)
-            part_of.append(np.full(len(text), len(self.parts) - 1))
-            within.append(np.arange(len(text)))
+            for shift in SHIFTS:
+                starts, text, kept = windows(folded, own, shift)
+                found = [(np.flatnonzero(inner).astype(np.int32), bucket[inner].astype(np.int32)) for bucket, inner in ngrams(folded, kept)]
+                place = np.concatenate([p for p, _ in found] or [np.zeros(0, np.int32)])
+                order = np.argsort(place, kind="stable")
+                bucket = np.concatenate([b for _, b in found] or [place])[order]
+                bounds = np.searchsorted(place[order], np.append(starts, len(folded)))
+                self.parts.append((bucket, bounds))
+                texts.append(text + lo)
+                part_of.append(np.full(len(text), len(self.parts) - 1))
+                within.append(np.arange(len(text)))
         self.texts, self.part_of, self.within = np.concatenate(texts), np.concatenate(part_of), np.concatenate(within)
+        # The windows of a text side by side; ``order`` tells where each lies in the parts laid end to end.
+        self.order = np.argsort(self.texts, kind="stable")
+        self.texts, self.part_of, self.within = self.texts[self.order], self.part_of[self.order], self.within[self.order]
         self.first = np.searchsorted(self.texts, np.arange(len(offsets)))
 
     def worst(self, weights: np.ndarray) -> np.ndarray:
@@ -131,7 +145,7 @@ class _Bags:
         for bucket, bounds in self.parts:
             sums = np.concatenate([[0.0], np.cumsum(weights[bucket], dtype=np.float64)])
             odds.append(np.diff(sums[bounds]) / np.maximum(FLOOR, np.diff(bounds)))
-        order = np.lexsort((np.concatenate(odds), self.texts))
+        order = np.lexsort((np.concatenate(odds)[self.order], self.texts))
         return order[self.first[1:] - 1]
 
     def gather(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -145,26 +159,30 @@ class _Bags:
 
 
 def train(data: np.ndarray, offsets: np.ndarray, label: np.ndarray, seed: int = 7) -> Model:
-    """A model whose score is THRESHOLD where texts left out of training (every HELD-th) are told apart best."""
-    held = np.arange(len(label)) % HELD == 0
-    if min(label[held].sum(), (1 - label[held]).sum()) < MIN_HELD:
+    """The mean of models that each leave out a part of either class, its score THRESHOLD where the parts left out are told apart best."""
+    number = int(min(FOLDS, (label == 1).sum(), (label == 0).sum())) if len(label) else 0
+    if number < 2:
         return _train(data, offsets, label, seed)
+    size = np.diff(offsets)
 
     def part(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        size = np.diff(offsets)
         return data[np.repeat(rows, size)], np.concatenate([[0], np.cumsum(size[rows])])
 
-    model = _train(*part(~held), label[~held], seed)
-    p = np.clip(model.score(*part(held)), 1e-12, 1 - 1e-12)
-    odds = np.log(p / (1 - p))
+    fold, odds, models = np.zeros(len(label), np.int64), np.zeros(len(label)), []
+    for k in (0, 1):
+        fold[label == k] = np.arange((label == k).sum()) % number
+    for k in range(number):
+        models.append(_train(*part(fold != k), label[fold != k], seed + k))
+        p = np.clip(models[-1].score(*part(fold == k)), 1e-12, 1 - 1e-12)
+        odds[fold == k] = np.log(p / (1 - p))
     order = np.argsort(-odds, kind="stable")
-    right = np.cumsum(label[held][order])
+    right = np.cumsum(label[order])
     wrong = np.arange(1, len(right) + 1) - right
     cost = right[-1] - right + FALSE_ALARM * wrong
     at = np.flatnonzero(cost == cost.min())[-1]
     below = odds[order[min(at + 1, len(order) - 1)]]
-    model.bias += np.log(THRESHOLD / (1 - THRESHOLD)) - (odds[order[at]] + below) / 2
-    return model
+    bias = np.mean([m.bias for m in models]) + np.log(THRESHOLD / (1 - THRESHOLD)) - (odds[order[at]] + below) / 2
+    return Model(np.mean([m.weights for m in models], axis=0), float(bias))
 
 
 def _train(data: np.ndarray, offsets: np.ndarray, label: np.ndarray, seed: int) -> Model:
@@ -178,8 +196,10 @@ def _train(data: np.ndarray, offsets: np.ndarray, label: np.ndarray, seed: int)
     softmax, bias = rng.normal(0, 1, (2, DIM)).astype(np.float32), np.zeros(2, np.float32)
     seen_v, seen_s, seen_b = np.full((1 << BITS, 1), 1e-6, np.float32), np.full((2, DIM), 1e-6, np.float32), np.full(2, 1e-6, np.float32)
     balance = np.where(label == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
-    for epoch in range(EPOCHS):
-        if epoch < RANDOM_EPOCHS:
+    # Few rows make few batches: they are gone through more often.
+    more = max(1, -(-STEPS // (EPOCHS * -(-len(label) // BATCH))))
+    for epoch in range(EPOCHS * more):
+        if epoch < RANDOM_EPOCHS * more:
             n = np.diff(bags.first)
             chosen = bags.first[:-1] + (rng.random(len(n)) * n).astype(int)
         else:
