@@ -30,7 +30,7 @@ from textmill.session import cut_lineage
 
 MIN_DOCS, ALPHA, SCALE, TOP_TERMS = 30, 5, 1_000_000_000, 50
 TILE = 256  # sources
-BLOCK_CELLS = 1 << 18  # terms times sources of a block
+BLOCK_CELLS = 1 << 15  # terms times sources of a block
 _CHUNK = 1 << 23
 
 _LOWER = np.arange(256, dtype=np.uint8)
