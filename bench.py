@@ -15,7 +15,7 @@ from textmill.session import local_session
 
 HEADLINE = [
     "clean_text", "qa_block", "conversation_block", "source_cap", "char_budget", "saturating_budget", "build_mixture",
-    "math_corpus", "knowledge_corpus", "science_corpus", "language_corpus", "conversation_corpus", "facts_corpus", "writing_corpus", "write_corpus", "corpus_size", "char_vocab", "char_encode", "pair_counts", "bpe_train", "bpe_encode",
+    "math_corpus", "knowledge_corpus", "science_corpus", "language_corpus", "conversation_corpus", "facts_corpus", "writing_corpus", "write_corpus", "corpus_size", "char_vocab", "char_encode", "pair_counts", "bpe_train", "bpe_train_large", "tokenise_report", "bpe_encode",
     "bpe_decode", "round_trip", "bpe_encode_large", "bpe_decode_large", "split_tokens", "pack_blocks", "sample_windows", "lm_fit", "lm_eval", "lm_next",
     "config_audit", "list_runs", "log_progress", "stream_ingest",
 ]
