@@ -51,6 +51,9 @@ def test_ingest_stops_at_its_budget(spark, tmp_path):
     assert I.ingest(spark, folder, "k long, t string", target, state, budget=120, **args) == 150
     rows = spark.read.parquet(target).collect()
     assert len(rows) == 3 and all(r.n_chars == 50 and r.block == "x" * 48 + "\n\n" for r in rows)
+    # A smaller budget takes nothing back.
+    assert I.ingest(spark, folder, "k long, t string", target, state, budget=40, **args) == 150
+    assert sorted(r.k for r in spark.read.parquet(target).collect()) == sorted(r.k for r in rows)
     # The same budget adds nothing; a larger one gets what is left, row for row.
     assert I.ingest(spark, folder, "k long, t string", target, state, budget=120, **args) == 150
     assert I.ingest(spark, folder, "k long, t string", target, state, budget=160, **args) == 200

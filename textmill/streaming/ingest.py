@@ -23,7 +23,7 @@ def ingest(
 
     Each batch writes its own folder ``batch=N``, so a replayed batch replaces itself. The budget ends after the row, in the
     order of ``key`` within a batch, that reaches it. That batch is not committed: a run with a larger budget
-    takes it again, whole, and goes on with the files after it.
+    takes it again, whole, and goes on with the files after it. A run whose budget is met by what is stored changes nothing.
     """
     stream = spark.readStream.schema(schema)
     if files_per_batch is not None:
@@ -41,6 +41,9 @@ def ingest(
             table = table.filter(F.col("batch") != without)
         return table.agg(F.coalesce(F.sum("n_chars"), F.lit(0))).first()[0]
 
+    if budget is not None and (there := stored()) >= budget:
+        return there
+
     # Summed once per run, without the batch that may be a replay, then carried on batch by batch.
     total: list[int] = []
     full: list[int] = []
