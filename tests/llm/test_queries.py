@@ -43,7 +43,7 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 11))
+    assert {int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n))} == set(range(1, 14))
     assert "pipeline" in names
 
 
