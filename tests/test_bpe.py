@@ -279,3 +279,36 @@ def test_training_through_many_writes_equals_a_plain_loop(spark, monkeypatch, wr
     tok = bpe.bpe_train(frame(spark, texts), "t", "i", vocab_size=260 + 40)
     merges, log = plain_train([t or "" for t in texts], 260 + 40)
     assert tok.merges == merges and tok.log == log
+
+
+def test_training_looks_at_different_runs_only(spark, monkeypatch):
+    rnd = random.Random(4)
+    rare = "".join(map(chr, range(48, 123)))
+    texts = ["".join(rnd.choice(["the", "cat", "and"]) + "".join(rnd.choice(rare) for _ in range(4)) for _ in range(rnd.randrange(40))) for _ in range(200)]
+    seen, real = [], training._learn_runs
+
+    def spied(state, *rest):
+        seen.append(state.select(F.sum(F.length("ids") / 2)).first()[0])
+        return real(state, *rest)
+
+    monkeypatch.setattr(training, "_learn_runs", spied)
+    tok = bpe.bpe_train(frame(spark, texts), "t", "i", vocab_size=260 + 6)
+    assert (tok.merges, tok.log) == plain_train(texts, 260 + 6)
+    assert max(seen) * 5 < sum(map(len, texts))
+
+
+def test_groups_of_merges_equal_one_after_another():
+    rnd = random.Random(3)
+    for _ in range(200):
+        ids = training.flat_ids(pa.array([bytes(rnd.choice(b"abc") for _ in range(rnd.randrange(1, 30))) for _ in range(3)], pa.binary()), np.uint8)
+        steps = []
+        while len(steps) < 6:
+            pair = tuple(rnd.choice([97, 98, 99, *range(256, 256 + len(steps))]) for _ in range(2))
+            if pair not in [s[:2] for s in steps]:
+                steps.append((*pair, 256 + len(steps)))
+        groups, one, swept = training.commuting(steps), ids, ids
+        for step in steps:
+            one = training.merge(one, step)[0]
+        for group in groups:
+            swept = training.merge_group(swept, group)
+        assert [s for g in groups for s in g] == steps and one.tolist() == swept.tolist()
