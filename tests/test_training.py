@@ -3,12 +3,13 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from textmill.functions import tokens as K
 from textmill.operators import ngram as L
-from textmill.operators import stats
+from textmill.operators import bpe, stats
 from textmill.operators import windows as B
 from textmill.operators.chartok import CharTokenizer, char_vocab
 
@@ -191,3 +192,23 @@ def test_more_characters_than_two_bytes_hold(spark):
     ids = tok.encode(F.col("t"))
     rows = df.select("t", ids.alias("i"), tok.decode(ids).alias("b")).collect()
     assert all(r.b == r.t for r in rows) and max(max(r.i) for r in rows) == len(chars) - 1
+
+
+def test_pairs_are_summed_per_task_and_met_per_slice(monkeypatch):
+    monkeypatch.setattr("textmill.operators.bpe_training.SLICE", 64)
+    rnd = random.Random(5)
+    for alphabet in ("abc", "ab￿", "".join(map(chr, range(300, 4000)))):
+        texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(50))) for _ in range(40)]
+        keys = rnd.sample(range(100), 40)
+        batch = pa.RecordBatch.from_pydict({"i": keys, "t": [t.encode("utf-16-be") for t in texts]})
+        want = Counter(t[i : i + 2] for t in texts for i in range(len(t) - 1))
+        (summed,) = bpe._count_neighbours(iter([batch.select(["t"])]))
+        assert {chr(r["a"]) + chr(r["b"]): r["n"] for r in summed.to_pylist()} == want and summed.num_rows == len(want)
+        first, n = {}, Counter()
+        parts = list(bpe._count_and_meet(iter([batch])))
+        for r in (r for p in parts for r in p.to_pylist()):
+            pair = chr(r["a"]) + chr(r["b"])
+            n[pair] += r["n"]
+            first[pair] = min(first.get(pair, (1 << 30, 0)), (r["row"], r["at"]))
+        assert n == want and len(parts) > 10
+        assert first == {p: min((k, t.index(p)) for k, t in zip(keys, texts) if p in t) for p in want}
