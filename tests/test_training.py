@@ -194,6 +194,24 @@ def test_more_characters_than_two_bytes_hold(spark):
     assert all(r.b == r.t for r in rows) and max(max(r.i) for r in rows) == len(chars) - 1
 
 
+@pytest.mark.parametrize("order", range(4))
+@pytest.mark.parametrize("alphabet", ["ab", "".join(map(chr, range(32, 400))), "a" + "".join(map(chr, range(0xE000, 0xFFFF)))])
+def test_runs_counted_in_slices_equal_a_plain_count(monkeypatch, order, alphabet):
+    monkeypatch.setattr("textmill.operators.bpe_training.SLICE", 50)
+    rnd = random.Random(order)
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.choice([order, order + 1, 3, 30, 200]))) for _ in range(60)]
+    batches = [pa.RecordBatch.from_pydict({"t": texts[:25]}), pa.RecordBatch.from_pydict({"t": texts[25:]})]
+    want = Counter(t[i : i + order + 1] for t in texts for i in range(len(t) - order))
+    out = list(L._count_runs(order)(iter(batches)))
+    got = Counter()
+    for b in out:
+        for r in b.to_pylist():
+            got[r["ctx"] + chr(r["nxt"])] += r["n"]
+    assert got == want
+    # Summed over the task, so a run has one row.
+    assert order > 2 or sum(b.num_rows for b in out) == len(want)
+
+
 def test_pairs_are_summed_per_task_and_met_per_slice(monkeypatch):
     monkeypatch.setattr("textmill.operators.bpe_training.SLICE", 64)
     rnd = random.Random(5)

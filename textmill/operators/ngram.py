@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.tokens import code_char
 from textmill.operators.bpe import pair_counts
+from textmill.operators.bpe_training import DENSE, Changes, slices
 from textmill.operators.prefix import hash_int, shuffle_key
 from textmill.session import cut_lineage
 
@@ -28,21 +29,64 @@ MIN_TEMPERATURE = 1e-5
 STEPS_PER_CHECKPOINT = 8
 
 
+# A code takes so many bits where a run of at most three is one number.
+_CODE_BITS = 21
+
+
+def count_runs(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different runs of ``order + 1`` codes within a text, a row each, and their numbers."""
+    codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    if len(codes) <= order:
+        return np.zeros((0, order + 1), np.uint32), np.zeros(0, np.int64)
+    present = np.flatnonzero(np.bincount(codes))
+    places = np.zeros(present[-1] + 1, np.int64)
+    places[present] = np.arange(len(present))
+    dense, base = places[codes], len(present)
+    inside = np.ones(len(codes), bool)
+    ends = np.cumsum([len(t) for t in texts])
+    for back in range(1, order + 1):
+        inside[ends[ends >= back] - back] = False
+    inside = inside[: len(codes) - order]
+    if base ** (order + 1) >= 1 << 63:
+        parts = np.stack([codes[i : len(inside) + i][inside] for i in range(order + 1)], axis=1)
+        return np.unique(parts, axis=0, return_counts=True)
+    keys = dense[: len(inside)]
+    for i in range(1, order + 1):
+        keys = keys * base + dense[i : len(inside) + i]
+    if base ** (order + 1) <= DENSE:
+        counts = np.bincount(keys[inside])
+        runs = np.flatnonzero(counts)
+        n = counts[runs]
+    else:
+        runs, n = np.unique(keys[inside], return_counts=True)
+    digits = [present[runs // base**i % base] for i in range(order, -1, -1)]
+    return np.stack(digits, axis=1).astype(np.uint32), n
+
+
+def _run_rows(runs: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    order = runs.shape[1] - 1
+    text = np.ascontiguousarray(runs[:, :-1]).tobytes().decode("utf-32-le")
+    ctx = [text[i * order : (i + 1) * order] for i in range(len(n))]
+    return pa.RecordBatch.from_arrays([pa.array(ctx, pa.string()), pa.array(runs[:, -1].astype(np.int32)), pa.array(n)], names=["ctx", "nxt", "n"])
+
+
 def _count_runs(order: int):
-    """Runs of ``order + 1`` tokens of a row, summed per Arrow batch."""
+    """Runs of ``order + 1`` tokens of a row, counted slice by slice and, where a run fits a number, summed per task."""
+    shifts = np.arange(order, -1, -1) * _CODE_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = Changes()
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
-            ends = np.cumsum([len(t) for t in texts])
-            starts = np.arange(max(0, len(codes) - order))
-            starts = starts[starts + order < ends[np.searchsorted(ends, starts, "right")]] if len(starts) else starts
-            runs, n = np.unique(codes[starts[:, None] + np.arange(order + 1)], axis=0, return_counts=True)
-            ctx = [r.tobytes().decode("utf-32-le") for r in np.ascontiguousarray(runs[:, :-1])]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ctx, pa.string()), pa.array(runs[:, -1].astype(np.int32)), pa.array(n)], names=["ctx", "nxt", "n"]
-            )
+            for part in slices(batch, column=batch.schema.names[0]):
+                runs, n = count_runs(part.column(0).to_pylist(), order)
+                if order <= 2:
+                    sums.put((runs.astype(np.int64) << shifts).sum(axis=1), n)
+                else:
+                    yield _run_rows(runs, n)
+        keys, n = sums.sums()
+        for at in range(0, len(keys), 1 << 16):
+            codes = (keys[at : at + (1 << 16), None] >> shifts) & ((1 << _CODE_BITS) - 1)
+            yield _run_rows(codes.astype(np.uint32), n[at : at + (1 << 16)])
 
     return count
 
@@ -50,7 +94,7 @@ def _count_runs(order: int):
 def next_counts(df: DataFrame, tokens: str, order: int = 1) -> DataFrame:
     """``(ctx, nxt, n)``: character codes of neighbours, for a longer context its text before the next code.
 
-    Counted per Arrow batch before the shuffle, whatever the order.
+    Counted per task before the shuffle, whatever the order.
     """
     if order > 1:
         data = df.filter(F.length(tokens) > order).select(tokens)
