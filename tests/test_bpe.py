@@ -312,3 +312,18 @@ def test_groups_of_merges_equal_one_after_another():
         for group in groups:
             swept = training.merge_group(swept, group)
         assert [s for g in groups for s in g] == steps and one.tolist() == swept.tolist()
+
+
+def test_rows_are_worked_on_in_parts():
+    texts = pa.array(["abcd", None, "", "ef", "g" * 30, "h", None])
+    seen = []
+
+    def work(part):
+        seen.append(part.to_pylist())
+        return part
+
+    assert bpe.in_parts(texts, work, pa.string(), 5).to_pylist() == texts.to_pylist()
+    assert seen == [["abcd", None, ""], ["ef"], ["g" * 30], ["h", None]]
+    assert bpe.in_parts(texts.slice(0, 0), work, pa.string()).to_pylist() == []
+    lists = pa.array([[1, 2, 3], None, [4], []])
+    assert bpe.in_parts(lists.slice(1), work, lists.type, 1).to_pylist() == [None, [4], []] and len(seen) == 5
