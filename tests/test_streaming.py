@@ -1,5 +1,7 @@
 from pyspark.sql import functions as F
 
+from textmill import catalog
+from textmill.catalog import live
 from textmill.streaming import ingest as I
 from textmill.streaming import progress as P
 
@@ -74,3 +76,16 @@ def test_ingest_without_budget_takes_all(spark, tmp_path):
     folder, target, state = (str(tmp_path / x) for x in ("in", "out", "state"))
     spark.createDataFrame([(i, "x" * 48) for i in range(9)], "k long, t string").repartition(3).write.parquet(folder)
     assert I.ingest(spark, folder, "k long, t string", target, state, text="t", key="k", min_chars=40) == 450
+
+
+def test_arriving_files_do_not_grow_with_the_table(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("id as doc_id", "concat('text ', id) as text").repartition(40)
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+    try:
+        folder, files = live.arriving(spark, str(tmp_path))
+        got = catalog.queries()["stream_ingest"](spark, str(tmp_path))
+        assert files == 10 and len(spark.read.parquet(folder).inputFiles()) == 40
+        assert got.count() == 0 and spark.read.parquet(folder).count() == 4000
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")

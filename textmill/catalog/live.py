@@ -77,17 +77,27 @@ def stage_status(spark, sf):
     return P.stage_status(events, "run", "seq", "code")
 
 
+LOTS = 4
+
+
+def arriving(spark, sf):
+    """A folder of documents arriving in four lots, and the files of a lot: as many as the scan has parts, so that a file does not grow with the table."""
+    folder, docs = scratch_path(spark, "arriving"), table(spark, sf, "documents").select("doc_id", "text")
+    files = -(-docs.rdd.getNumPartitions() // LOTS)
+    docs.repartition(LOTS * files, "doc_id").write.parquet(folder)
+    return folder, files
+
+
 @query(
     "stream_ingest",
     f"SELECT doc_id, t || {NL} || {NL} AS block, (length(t) + 2)::BIGINT AS n_chars FROM (SELECT doc_id, {sql_clean('text')} AS t FROM documents) WHERE length(t) >= 40",
 )
 def stream_ingest(spark, sf):
-    """Documents arriving in four files, taken in one by one."""
-    folder, target = scratch_path(spark, "arriving"), scratch_path(spark, "ingested")
-    table(spark, sf, "documents").select("doc_id", "text").repartition(4, "doc_id").write.parquet(folder)
+    """Documents arriving in four lots of files, taken in one by one."""
+    (folder, files), target = arriving(spark, sf), scratch_path(spark, "ingested")
     I.ingest(
         spark, folder, "doc_id bigint, text string", target, scratch_path(spark, "state"),
-        text="text", key="doc_id", min_chars=40, files_per_batch=1,
+        text="text", key="doc_id", min_chars=40, files_per_batch=files,
     )
     return spark.read.parquet(target).select("doc_id", "block", "n_chars")
 
@@ -99,8 +109,7 @@ def stream_ingest(spark, sf):
 )
 def stream_ingest_budget(spark, sf):
     """Stopped at one budget, then taken up again with a larger one."""
-    folder, target, state = scratch_path(spark, "arriving"), scratch_path(spark, "ingested"), scratch_path(spark, "state")
-    table(spark, sf, "documents").select("doc_id", "text").repartition(4, "doc_id").write.parquet(folder)
+    (folder, _), target, state = arriving(spark, sf), scratch_path(spark, "ingested"), scratch_path(spark, "state")
     for budget in (100_000, 300_000):
         I.ingest(spark, folder, "doc_id bigint, text string", target, state, text="text", key="doc_id", min_chars=40, budget=budget)
     return spark.read.parquet(target).select("doc_id", "block", "n_chars")
