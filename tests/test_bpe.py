@@ -179,6 +179,22 @@ def test_decoding_bad_input(spark):
         spark.createDataFrame([([999],)], "i array<int>").select(bpe.decode_tokens(K.tokens_from_ids(F.col("i")), tok)).collect()
 
 
+def test_decoding_by_a_table(spark):
+    vocab = spark.createDataFrame([(0xD801, bytearray(b"\xc3")), (300, bytearray(b"the ")), (7, bytearray(b"\xa9"))], "id int, bytes binary")
+    df = spark.createDataFrame([(0, [300, 0xD801, 7, 300]), (1, []), (2, None), (3, [7])], "k int, i array<int>")
+    got = df.orderBy("k").select(bpe.decode_by_table(K.tokens_from_ids(F.col("i")), vocab).alias("t")).collect()
+    assert [r.t for r in got] == ["the éthe ", "", None, "\ufffd"]
+    for bad in (8, 301, 0xD802):
+        with pytest.raises(Exception, match="unknown"):
+            spark.createDataFrame([([bad],)], "i array<int>").select(bpe.decode_by_table(K.tokens_from_ids(F.col("i")), vocab)).collect()
+
+
+@pytest.mark.parametrize("name", ["decode_join", "decode_join_large"])
+def test_decoding_by_a_table_has_no_expression_per_token(spark, name):
+    plan = catalog.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "collect_list" not in plan
+
+
 def test_ids_and_characters(spark):
     ids = [0, 10, 255, 256, 300, 4351, 0xD7FF, 0xD800, 0xDFFF, K.MAX_ID]
     df = spark.createDataFrame([(ids,)], "i array<int>")
@@ -218,6 +234,16 @@ def test_runs_and_overlaps(merges):
     assert [[K.id_of(c) for c in t] for t in encoder.encode([t.encode() for t in texts])] == [plain_encode(t, merges) for t in texts]
 
 
+def test_first_look_is_at_merged_byte_pairs_alone(monkeypatch):
+    merges = [(97, 98), (0, 0), (256, 256), (98, 0)]
+    encoder, seen = bpe.BatchEncoder(bpe.make_tokenizer(merges)), []
+    rank = encoder._rank
+    monkeypatch.setattr(encoder, "_rank", lambda left, right: (seen.append(len(left)), rank(left, right))[1])
+    texts = ["", "\0", "x" * 5000 + "abab", "b", "", "\0\0\0", "a", "b\0", "\0b", "x" * 5000]
+    assert [[K.id_of(c) for c in t] for t in encoder.encode([t.encode() for t in texts])] == [plain_encode(t, merges) for t in texts]
+    assert sum(seen) < 30
+
+
 def test_large_vocabulary(spark):
     rnd = random.Random(9)
     words = [" " + "".join(rnd.choice("abcdefé") for _ in range(rnd.randrange(2, 9))) for _ in range(1200)]
