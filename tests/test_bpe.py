@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -258,6 +259,30 @@ def test_large_vocabulary(spark):
 # ---------------------------------------------------------------- incremental training
 
 
+@pytest.mark.parametrize("held", [1, 400, 1 << 25])
+def test_a_task_gives_each_run_once(monkeypatch, held):
+    rnd = random.Random(4)
+    texts = ["".join(rnd.choice("abcx") for _ in range(rnd.randrange(1, 40))).encode() for _ in range(300)]
+    order = rnd.sample(range(1000), len(texts))
+    hot = np.array(sorted(a << 16 | b for a in b"abc" for b in b"abc"), np.int64)
+    want = {}
+    for o, t in zip(order, texts, strict=True):
+        for m in re.finditer(rb"[abc]{2,}", t):
+            n, met = want.get(m[0], (0, (o, m.start())))
+            want[m[0]] = (n + 1, min(met, (o, m.start())))
+    rows = pa.RecordBatch.from_arrays([pa.array(order, pa.int64()), pa.array(texts, pa.binary())], names=["i", "ids"])
+    monkeypatch.setattr(training, "SLICE", 100)
+    monkeypatch.setattr(training, "HELD", held)
+    found = list(training._hot_runs(hot, np.ones(256, np.int64), np.uint8, "i")(iter([rows.slice(0, 170), rows.slice(170)])))
+    got = {}
+    for r in (r for b in found for r in b.to_pylist()):
+        key = np.frombuffer(r["ids"], np.uint16).astype(np.uint8).tobytes()
+        n, met = got.get(key, (0, (r["i"], r["at"])))
+        got[key] = (n + r["n"], min(met, (r["i"], r["at"])))
+    assert got == want
+    assert held < 1 << 25 or sum(b.num_rows for b in found) == len(want)
+
+
 def test_changes_of_a_merge_are_those_of_counting_anew():
     rnd = random.Random(11)
     for _ in range(400):
